@@ -25,8 +25,7 @@ def normalize_names(df: DataFrame) -> DataFrame:
 # P2
 def to_number(c) -> Column:
     """Text or number to double; anything unparsable becomes null."""
-    return F.try_cast(F.trim(_c(c).cast("string")), "double") if hasattr(F, "try_cast") else \
-        F.expr(f"try_cast(trim(cast({c} as string)) as double)")
+    return F.trim(_c(c).cast("string")).try_cast("double")
 
 
 # P3
@@ -58,7 +57,7 @@ def parse_liters(c) -> Column:
 def parse_liters_strict(c) -> Column:
     """Strip 'l', comma→dot; the whole remaining text must be numeric."""
     s = F.replace(F.replace(F.lower(_c(c).cast("string")), F.lit("l"), F.lit("")), F.lit(","), F.lit("."))
-    return F.try_cast(F.trim(s), "double")
+    return F.trim(s).try_cast("double")
 
 
 # P7
@@ -96,7 +95,7 @@ def history_slice(df: DataFrame, date_col: str, ref_week: str, n_weeks: int) ->
     lo = F.date_sub(ref, 7 * n_weeks)
     hi = F.date_add(ref, 7)
     c = F.col(date_col)
-    return df.filter((c >= lo.cast("timestamp")) & (c < hi.cast("timestamp")))
+    return df.filter((c >= lo.cast("timestamp_ntz")) & (c < hi.cast("timestamp_ntz")))
 
 
 # P12
@@ -166,20 +165,20 @@ def align_schema(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     parses = {}
     if str_cols:
         row = df.agg(*[
-            F.bool_and(F.col(c).isNull() | F.try_cast(F.col(c), "double").isNotNull()).alias(c)
+            F.bool_and(F.col(c).isNull() | F.col(c).try_cast("double").isNotNull()).alias(c)
             for c in str_cols
         ]).first()
         parses = {c: bool(row[c]) if row[c] is not None else False for c in str_cols}
     out = []
     for c in expected:
         if c not in present:
-            out.append(F.lit(None).alias(c))
+            out.append(F.lit(None).cast("string").alias(c))
             continue
         dt = df.schema[c].dataType.simpleString()
         if dt == "boolean":
             out.append(F.col(c).cast("int").alias(c))
         elif c in parses and parses[c]:
-            out.append(F.try_cast(F.col(c), "double").alias(c))
+            out.append(F.col(c).try_cast("double").alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)
@@ -225,3 +224,12 @@ def route_text(c, rules: Sequence[tuple[str, Sequence[str]]], default: str) -> C
 def split_xy(df: DataFrame, features: Sequence[str], label: str, ids: Sequence[str]):
     """Named selections (X, y, ids) of one DataFrame; all share the same rows."""
     return df.select(*ids, *features), df.select(*ids, label), df.select(*ids)
+
+
+def round_half_away(c, k: int) -> Column:
+    """Round on the binary value: sign(x)·floor(|x|·10^k + 0.5)/10^k — half away
+    from zero, the convention of most SQL engines for DOUBLE (Spark's
+    ``round`` rounds the shortest decimal text instead)."""
+    x = _c(c)
+    m = float(10 ** k)
+    return F.signum(x) * F.floor(F.abs(x) * m + 0.5) / m

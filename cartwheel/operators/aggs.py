@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.scalars import week_start
+from cartwheel.functions.scalars import round_half_away, week_start
 
 
 def days_between(later, earlier):
@@ -126,8 +126,8 @@ def lrmfp(lines: DataFrame) -> DataFrame:
         days_between(F.col("_last"), F.col("_first")).alias("length"),
         days_between(F.col("_end"), F.col("_last")).alias("recency"),
         F.col("frequency").cast("bigint").alias("frequency"),
-        F.round(F.col("_mon"), 2).alias("monetary"),
-        F.round(F.coalesce(F.col("_per"), F.lit(0.0)), 2).alias("periodicity"),
+        round_half_away(F.round(F.col("_mon"), 6), 2).alias("monetary"),
+        round_half_away(F.round(F.coalesce(F.col("_per"), F.lit(0.0)), 6), 2).alias("periodicity"),
     )
 
 

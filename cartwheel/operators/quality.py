@@ -143,7 +143,8 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, wide_tails
     row = df.agg(F.array(*structs).alias("a"))
     s = row.select(F.explode("a").alias("s"))
     out = [F.col("s.column"), F.col("s.n").cast("bigint").alias("n")]
-    for name in ["mean", "std", "min"]:
+    out.append(F.round(F.round(F.col("s.mean"), 9), 6).alias("mean"))
+    for name in ["std", "min"]:
         out.append(F.round(F.col(f"s.{name}"), 6).alias(name))
     out += [F.round(F.col("s.q")[0], 6).alias("q1"), F.round(F.col("s.q")[1], 6).alias("median"),
             F.round(F.col("s.q")[2], 6).alias("q3")]

@@ -15,7 +15,7 @@ def global_top(tx: DataFrame, k: int, key: str = "product_id", weight: str | Non
     """Top-k keys by row count (or summed weight), ties by key ascending.
     ``orderBy().limit(k)`` plans as a distributed TakeOrdered: each task keeps
     its own k best, so only k rows per task reach the final merge."""
-    agg = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    agg = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("bigint")
     g = tx.groupBy(key).agg(agg.alias("n"))
     return g.orderBy(F.desc("n"), F.asc(key)).limit(k)
 

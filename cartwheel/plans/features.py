@@ -16,6 +16,7 @@ from cartwheel.operators.aggs import weekly_activity
 from cartwheel.operators.joins import densify, enrich, expand_weeks
 from cartwheel.operators.quality import dedupe_first
 from cartwheel.operators.topk import candidate_pairs, global_top
+from cartwheel.session import materialize
 from cartwheel.operators.windows import (add_pair_features, affinity_prior_rate, period_index,
                                          product_prior_rate, rank_topk)
 
@@ -31,13 +32,24 @@ def clean_transactions(tx: DataFrame) -> DataFrame:
 
 
 def dense_universe(clean: DataFrame, customers: DataFrame, top_k: int = 20, anchor: str = "MON") -> DataFrame:
-    """(customer, product, week, week_idx, num_tx, bought) over candidates × weeks."""
-    act = weekly_activity(clean, anchor)
-    top = global_top(clean, top_k)
-    cand = candidate_pairs(clean, customers, top)
+    """(customer, product, week, week_idx, num_tx, bought) over candidates × weeks.
+
+    Densified at PAIR level: each pair's activity is folded into a map
+    week_idx → num_tx (≤ one entry per calendar week), left-joined to the
+    candidate pairs on (customer, product), then expanded by the broadcast
+    calendar.  The expanded rows inherit the (customer, product) partitioning,
+    so the pair windows that follow need no further shuffle."""
+    act = materialize(weekly_activity(clean, anchor))
+    top = global_top(act, top_k, weight="num_tx")
+    cand = candidate_pairs(act, customers, top)
     weeks = period_index(act.select("week").distinct())
-    uni = expand_weeks(cand, weeks)
-    return densify(uni, act, ["customer_id", "product_id", "week"], {"num_tx": 0, "bought": 0})
+    per_pair = (act.join(F.broadcast(weeks), "week")
+                .groupBy("customer_id", "product_id")
+                .agg(F.map_from_entries(F.collect_list(F.struct("week_idx", "num_tx"))).alias("_acts")))
+    uni = expand_weeks(cand.join(per_pair, ["customer_id", "product_id"], "left"), weeks)
+    n = F.coalesce(F.try_element_at(F.col("_acts"), F.col("week_idx")), F.lit(0).cast("bigint"))
+    return uni.select("customer_id", "product_id", "week", "week_idx", n.alias("num_tx"),
+                      (n > 0).cast("int").alias("bought"))
 
 
 def build_feature_matrix(clean: DataFrame, customers: DataFrame, products: DataFrame,
@@ -60,11 +72,47 @@ def offer_score(df: DataFrame) -> DataFrame:
     return df.withColumn("score", F.round(s, 6))
 
 
+def next_week_state(clean: DataFrame, customers: DataFrame, products: DataFrame,
+                    top_k: int = 20, anchor: str = "MON") -> DataFrame:
+    """The feature-matrix row of every candidate pair at the LAST calendar
+    week, computed from aggregates instead of windows over the dense grid.
+
+    On a dense grid every pair has a row for every week, so at the last week
+    L: cp_count_12w = active weeks in [L−11, L]; the product prior has
+    buys = activity rows of the product before L and obs = (its candidate
+    pairs) × L; likewise per customer × category.  The work is over pairs and
+    activity rows, not pairs × weeks."""
+    act = materialize(weekly_activity(clean, anchor))
+    # everything below derives from the one activity aggregate, so the scan,
+    # join and de-duplication of the facts run once (exchange reuse)
+    weeks = period_index(act.select("week").distinct())
+    last = weeks.agg(F.max("week_idx").alias("L"), F.max("week").alias("week"))
+    prods = products.select("product_id", "category")
+    a = act.join(F.broadcast(weeks), "week").crossJoin(F.broadcast(last)).join(prods, "product_id", "left")
+    top = global_top(act, top_k, weight="num_tx")
+    cand = candidate_pairs(act, customers, top).join(prods, "product_id", "left")
+    before = F.col("week_idx") < F.col("L")
+    pair = a.groupBy("customer_id", "product_id").agg(
+        F.count_if(F.col("week_idx") >= F.col("L") - 11).alias("cp_count_12w"))
+    prod_buys = a.filter(before).groupBy("product_id").agg(F.count(F.lit(1)).alias("pb"))
+    cc_buys = a.filter(before).groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("cb"))
+    prod_pairs = cand.groupBy("product_id").agg(F.count(F.lit(1)).alias("pn"))
+    cc_pairs = cand.groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("cn"))
+    j = (cand.crossJoin(F.broadcast(last))
+         .join(pair, ["customer_id", "product_id"], "left")
+         .join(prod_buys, "product_id", "left").join(prod_pairs, "product_id", "left")
+         .join(cc_buys, ["customer_id", "category"], "left").join(cc_pairs, ["customer_id", "category"], "left"))
+    return j.select(
+        "customer_id", "product_id", "week", "category",
+        F.coalesce(F.col("cp_count_12w"), F.lit(0)).cast("bigint").alias("cp_count_12w"),
+        ((F.coalesce(F.col("pb"), F.lit(0)) + 1.0) / (F.col("pn") * F.col("L") + 2.0)).alias("prod_prior_rate"),
+        ((F.coalesce(F.col("cb"), F.lit(0)) + 1.0) / (F.col("cn") * F.col("L") + 2.0)).alias("cust_cat_prior_rate"),
+    )
+
+
 def offer_next_week(clean: DataFrame, customers: DataFrame, products: DataFrame,
                     top_k_candidates: int = 20, k: int = 10) -> DataFrame:
     """Flagship: rank the products to offer each customer next week."""
-    fm = build_feature_matrix(clean, customers.select("customer_id"), products, top_k_candidates)
-    last = fm.agg(F.max("week_idx").alias("_last"))
-    latest = fm.join(F.broadcast(last), fm.week_idx == F.col("_last")).drop("_last")   # W11 on a dense grid
-    ranked = rank_topk(offer_score(latest), k)
+    state = next_week_state(clean, customers.select("customer_id"), products, top_k_candidates)
+    ranked = rank_topk(offer_score(state), k)
     return ranked.select("customer_id", "product_id", "week", "score", F.col("rank").cast("int").alias("rank"))

@@ -49,11 +49,11 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        l_discount, l_tax FROM lineitem""",
     "clf": """
 SELECT d.doc_id, lang, source, n_chars, n_words,
-       CASE WHEN n_words > 0 THEN CAST(list_sum(list_transform(w, x -> length(x))) AS DOUBLE) / n_words ELSE 0.0 END AS mean_word_len,
+       CASE WHEN n_words > 0 THEN CAST(list_sum(list_transform(w, lambda x: length(x))) AS DOUBLE) / n_words ELSE 0.0 END AS mean_word_len,
        CASE WHEN n_words > 0 THEN len(list_distinct(w)) / n_words ELSE 0.0 END AS distinct_share,
        lb.quality
 FROM (SELECT doc_id, lang, source, CAST(n_chars AS DOUBLE) AS n_chars, w, CAST(len(w) AS DOUBLE) AS n_words
-      FROM (SELECT *, list_filter(regexp_split_to_array(lower(text), '\\s+'), x -> length(x) > 0) AS w
+      FROM (SELECT *, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: length(x) > 0) AS w
             FROM documents)) d
 JOIN labels lb ON d.doc_id = lb.doc_id""",
     "sc": """

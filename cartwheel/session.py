@@ -57,3 +57,14 @@ def bounded_broadcast(df: DataFrame, bound: int, what: str = "side") -> DataFram
     if n <= bound:
         return F.broadcast(df)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used for an intermediate that several branches of a plan read (e.g. the
+    weekly activity aggregate): the fact scan, join and de-duplication then
+    run once instead of once per branch, and a lost executor re-reads the
+    checkpoint instead of recomputing from the facts."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -64,7 +64,7 @@ def tx(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderdate").cast("timestamp").alias("purchase_date"),
+        F.col("o_orderdate").alias("purchase_date"),
         F.col("l_quantity").alias("items"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("payment"),
     )
@@ -82,7 +82,7 @@ def txd(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("p_brand").alias("product_id"),
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderdate").cast("timestamp").alias("purchase_date"),
+        F.col("o_orderdate").alias("purchase_date"),
         F.col("l_quantity").alias("items"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("payment"),
     )
@@ -94,7 +94,7 @@ def ev(t: Tables) -> DataFrame:
         F.col("event_id"),
         F.col("user_id").alias("customer_id"),
         F.col("event_type").alias("product_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("ts"),
         F.to_date("ts").alias("period"),
         F.col("value"),
         F.lit(1).alias("bought"),
@@ -152,7 +152,7 @@ def ret(t: Tables) -> DataFrame:
     return j.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderkey").alias("invoice"),
-        F.col("o_orderdate").cast("timestamp").alias("invoice_date"),
+        F.col("o_orderdate").alias("invoice_date"),
         q.alias("quantity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
     )
