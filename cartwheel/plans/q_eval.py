@@ -354,10 +354,10 @@ def q_d2(t):
 
 @query("d3_chi2_drift", f"""WITH {DRIFT_SQL},
 c AS (SELECT product_id AS v, sample, count(*) AS n FROM e GROUP BY 1, 2),
-rt AS (SELECT v, sum(n) AS rt FROM c GROUP BY 1), ct AS (SELECT sample, sum(n) AS ct FROM c GROUP BY 1), tot AS (SELECT sum(n) AS N FROM c),
-g AS (SELECT rt.v, ct.sample, rt, ct, N, coalesce(c.n, 0) AS n FROM rt CROSS JOIN ct CROSS JOIN tot
+rt AS (SELECT v, sum(n) AS rt FROM c GROUP BY 1), ct AS (SELECT sample, sum(n) AS ct FROM c GROUP BY 1), tot AS (SELECT sum(n) AS total FROM c),
+g AS (SELECT rt.v, ct.sample, rt, ct, total, coalesce(c.n, 0) AS n FROM rt CROSS JOIN ct CROSS JOIN tot
       LEFT JOIN c ON c.v = rt.v AND c.sample = ct.sample)
-SELECT 'product_id' AS feature, round(sum(pow(n - rt * ct / N, 2) / (rt * ct / N)), 6) AS statistic,
+SELECT 'product_id' AS feature, round(sum(pow(n - rt * ct / total, 2) / (rt * ct / total)), 6) AS statistic,
   CAST((count(DISTINCT v) - 1) * (count(DISTINCT sample) - 1) AS BIGINT) AS dof FROM g""", ("ev",))
 def q_d3(t):
     r, n = _drift_frames(t)
