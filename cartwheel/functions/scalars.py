@@ -197,13 +197,14 @@ def logit_sum(base, contribs: Iterable) -> Column:
 
 
 # P21
-TOKEN_PATTERN = r"[^a-záéíóúñü]+"  # fixed value: letters kept (Spanish accents included)
+# fixed value: characters kept by the tokenizer (letters, Spanish accents, digits, whitespace)
+TOKEN_PATTERN = r"[^a-záéíóúüñ0-9\s]"
 
 
 def tokenize(c) -> Column:
-    """Lower-case, non-letters to space, split, blanks dropped."""
+    """Lower-case, other characters to space, split on whitespace, blanks dropped."""
     s = F.regexp_replace(F.lower(_c(c)), TOKEN_PATTERN, " ")
-    return F.filter(F.split(F.trim(s), " "), lambda w: F.length(w) > 0)
+    return F.filter(F.split(s, r"\s+"), lambda w: F.length(w) > 0)
 
 
 # P22

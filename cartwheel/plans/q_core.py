@@ -267,7 +267,12 @@ def q_p20(t):
     return V.sc(t).select("doc_id", F.round(P.sigmoid(F.col("score") * 4 - 2), 6).alias("p"))
 
 
-TOKEN_SQL = "list_filter(string_split(trim(regexp_replace(lower(text), '[^a-záéíóúñü]+', ' ', 'g')), ' '), lambda x: length(x) > 0)"
+def token_sql(col: str) -> str:
+    return (f"list_filter(regexp_split_to_array(regexp_replace(lower({col}), '[^a-záéíóúüñ0-9\\s]', ' ', 'g'), '\\s+'), "
+            "lambda x: length(x) > 0)")
+
+
+TOKEN_SQL = token_sql("text")
 
 
 @query("p21_tokenize", f"""SELECT doc_id, len(tok) AS n_tokens, array_to_string(tok, ' ') AS tokens
