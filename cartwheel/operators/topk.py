@@ -39,8 +39,9 @@ def extremes_with_support(intervals: DataFrame, n: int = 10, value: str = "mean_
 
 # T4
 def top_pairs(corr_long: DataFrame, n: int = 10) -> DataFrame:
-    """n strongest positive and n strongest negative pairs (a < b)."""
-    c = corr_long.filter(F.col("a") < F.col("b"))
+    """n strongest positive and n strongest negative pairs, each unordered
+    pair once as (a, b) with a < b."""
+    c = corr_long.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "rho").distinct()
     pos = c.filter(F.col("rho") > 0).orderBy(F.desc("rho"), "a", "b").limit(n).withColumn("sign", F.lit("positive"))
     neg = c.filter(F.col("rho") < 0).orderBy(F.asc("rho"), "a", "b").limit(n).withColumn("sign", F.lit("negative"))
     return pos.unionByName(neg)
