@@ -20,6 +20,7 @@ MODULES = [
     "cartwheel.plans.q_prep",
     "cartwheel.plans.q_text_grid",
     "cartwheel.plans.q_models",
+    "cartwheel.plans.q_stream",
 ]
 
 

@@ -429,3 +429,39 @@ SELECT * FROM pos UNION ALL SELECT * FROM neg""")
 def q_t4(t):
     d = t.lineitem.select(F.monotonically_increasing_id().alias("_id"), *NUM4)
     return topk.top_pairs(prep.spearman(d, NUM4, "_id"))
+
+
+# ------------------------------------------------------------------ weekly jobs
+
+def _weekly_inputs(t):
+    from cartwheel.plans.features import clean_transactions  # noqa: F401 - same cleaning as the job
+    return V.txd(t), V.cust(t), V.brand_dim(t)
+
+
+@query("d5_choose_model")
+def q_d5(t):
+    from cartwheel.plans import weekly as W
+    c = V.clf(t).withColumn("label", F.col("quality").cast("double"))
+    half = V.md5_bucket(F.col("doc_id"), 1, 2) == 0
+    path = W.model_dir(t.spark, f"d5_{id(t)}")
+    rows = []
+    # first call: nothing saved → retrain; second call on the same halves: reuse or retrain by the gate
+    for _ in range(2):
+        ch = W.choose_model(c, c.filter(half), c.filter(~half), path, features=CLF4)
+        rows.append((ch.decision, ch.reason))
+    return t.spark.createDataFrame(rows, "decision string, reason string")
+
+
+@query("d7_weekly_run")
+def q_d7(t):
+    from cartwheel.plans import weekly as W
+    tx, cust, prod = _weekly_inputs(t)
+    ranking, _, _ = W.weekly_run(tx, cust, prod, W.model_dir(t.spark, f"d7_{id(t)}"), k=10)
+    return ranking
+
+
+@query("d8_score_week")
+def q_d8(t):
+    from cartwheel.plans import weekly as W
+    tx, cust, prod = _weekly_inputs(t)
+    return W.score_week(tx, cust, prod, "2001-06-25", 26, W.model_dir(t.spark, f"d8_{id(t)}"), k=10)
