@@ -24,7 +24,7 @@ HEADLINE = [
     "v1_chunk",
     "v2_cosine_topk",
     "d2_ks_drift",
-    "g6_convolve",
+    "g6_convolve_box7",
     "r2_stream_weekly_activity",
 ]
 
