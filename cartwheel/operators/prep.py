@@ -18,10 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.prefix import running_sums
+from cartwheel.functions.quantiles import quantile_row
 
 
 def _quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    return df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(f"_q_{c}") for c in cols])
+    """One row of exact quantile arrays (multi-round selection, no column
+    gathered into one task; see functions/quantiles.py)."""
+    return quantile_row(df, cols, probs)
 
 
 # F1 ---------------------------------------------------------------- IQR clip
@@ -77,7 +80,8 @@ def impute_stats(df: DataFrame, cols: Sequence[str], strategy: str = "mean") ->
     if strategy == "mean":
         return df.agg(*[F.avg(c).alias(f"fill_{c}") for c in cols])
     if strategy == "median":
-        return df.agg(*[F.percentile(F.col(c), 0.5).alias(f"fill_{c}") for c in cols])
+        q = _quantile_row(df, cols, [0.5])
+        return q.select(*[F.col(f"_q_{c}")[0].alias(f"fill_{c}") for c in cols])
     raise ValueError(strategy)
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from cartwheel.functions.quantiles import exact_quantiles
+
 
 def _numeric_cols(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
@@ -125,6 +127,9 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, wide_tails
     per numeric column; optional q01/q05/q95/q99.  Exact percentiles (Q11)."""
     cols = list(cols) if cols else _numeric_cols(df)
     probs = [0.25, 0.5, 0.75] + ([0.01, 0.05, 0.95, 0.99] if wide_tails else [])
+    # exact quantiles by multi-round selection (a few numbers per column reach the driver)
+    qvals = {c: exact_quantiles(df, c, probs)[1] for c in cols}
+    qmap = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(v).cast("double") for v in qvals[c]]))])
     structs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -135,7 +140,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, wide_tails
             F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"),
             F.min(x).alias("min"),
-            F.percentile(x, F.array(*[F.lit(p) for p in probs])).alias("q"),
+            qmap[F.lit(c)].alias("q"),
             F.max(x).alias("max"),
             (F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"),
             (100.0 * F.count_if(x == 0) / n).alias("zeros_pct"),
