@@ -7,7 +7,7 @@ quantiles (plus even splits of [min, max], which guarantees progress), one
 grouped count per range locates the range holding the rank, and only that
 range stays in play.  Each round shrinks the set by ~``buckets``; a range
 with one distinct value answers directly, and a range with ≤ ``limit`` rows
-is read with a bounded ``orderBy().offset().limit(1)``.  Only range bounds
+is ranked in one bounded job.  Only range bounds
 and counts (a few thousand numbers per round) reach the driver.
 Interpolation matches ``percentile`` / ``quantile_cont``: position (n−1)·p
 between the two neighbouring ranks.

@@ -145,8 +145,9 @@ def qcut(df: DataFrame, col: str, q: int, labels: Sequence[str] | None = None, o
     """Quantile bins with right-closed edges at interpolated quantiles; the
     lowest edge is closed on the left (as pandas ``qcut``).  The edges are one
     aggregate row joined back by broadcast (size q+1 values)."""
+    from cartwheel.functions.quantiles import quantile_row
     probs = [i / q for i in range(q + 1)]
-    edges = df.agg(F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs])).alias("_edges"))
+    edges = quantile_row(df, [col], probs).select(F.col(f"_q_{col}").alias("_edges"))  # exact, one row
     j = df.crossJoin(F.broadcast(edges))
     x = F.col(col)
     idx = F.size(F.filter(F.slice(F.col("_edges"), 2, q - 1), lambda e: e < x))

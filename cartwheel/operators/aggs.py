@@ -183,8 +183,9 @@ def histogram(df: DataFrame, col: str, bins: int | None = None, clip: tuple[floa
     x = F.col(col).cast("double")
     base = df.select(x.alias("x")).filter(F.col("x").isNotNull())
     probs = [0.25, 0.75] + (list(clip) if clip else [])
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"),
-                  F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q"))
+    from cartwheel.functions.quantiles import quantile_row
+    qs = quantile_row(base, ["x"], probs).select(F.col("_q_x").alias("q"))   # exact, one row
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).crossJoin(qs)
     if clip:
         st = st.withColumn("lo", F.col("q")[2]).withColumn("hi", F.col("q")[3])
     else:
