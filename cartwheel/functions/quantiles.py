@@ -6,8 +6,8 @@ narrowing: the rows still in play are cut into ranges at approximate
 quantiles (plus even splits of [min, max], which guarantees progress), one
 grouped count per range locates the range holding the rank, and only that
 range stays in play.  Each round shrinks the set by ~``buckets``; a range
-with one distinct value answers directly, and a range with ≤ ``limit`` rows
-is ranked in one bounded job.  Only range bounds
+with one distinct value answers directly, and ranges with ≤ ``limit`` rows
+(2M: one task sorts them in about a second) are ranked together in one job.  Only range bounds
 and counts (a few thousand numbers per round) reach the driver.
 Interpolation matches ``percentile`` / ``quantile_cont``: position (n−1)·p
 between the two neighbouring ranks.
@@ -31,10 +31,34 @@ def _in_range(lo, hi):
     return c
 
 
+def _ranks_from_counts(counts: DataFrame, wanted: dict[int, list[int]]) -> dict[tuple[int, int], float]:
+    """Ranks inside small ranges from (tag, distinct value, count) rows: a
+    cumulative count per tag (each tag ≤ limit rows) and a range test."""
+    w = Window.partitionBy("_t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    c = counts.select("_t", "v", "n", F.sum("n").over(w).alias("_cum"))
+    cond = None
+    for t, ranks in wanted.items():
+        for k in ranks:
+            x = (F.col("_t") == t) & (F.col("_cum") - F.col("n") <= k) & (F.lit(k) < F.col("_cum"))
+            cond = x if cond is None else cond | x
+    out = {}
+    for r in c.filter(cond).collect():
+        for k in wanted[r["_t"]]:
+            if r["_cum"] - r["n"] <= k < r["_cum"]:
+                out[(r["_t"], k)] = r["v"]
+    return out
+
+
+def _read_tagged(tagged: DataFrame, wanted: dict[int, list[int]]) -> dict[tuple[int, int], float]:
+    """Ranks inside several small ranges at once (values collapsed to
+    distinct counts first, map-side), one job."""
+    counts = tagged.filter(F.col("_t").isin(list(wanted))).groupBy("_t", "v").agg(F.count(F.lit(1)).alias("n"))
+    return _ranks_from_counts(counts, wanted)
+
+
 def _read_ranks(part: DataFrame, ranks: list[int]) -> dict[int, float]:
-    """Ranks (0-based) of a range holding ≤ limit rows: one bounded job."""
-    r = part.select("v", (F.row_number().over(Window.orderBy("v")) - 1).alias("_r")).filter(F.col("_r").isin(ranks))
-    return {x["_r"]: x["v"] for x in r.collect()}
+    got = _read_tagged(part.select("v", F.lit(0).alias("_t")), {0: ranks})
+    return {k: got[(0, k)] for k in ranks}
 
 
 def _kth(values: DataFrame, ks: list[int], buckets: int, limit: int, n_total: int,
@@ -59,8 +83,8 @@ def _kth(values: DataFrame, ks: list[int], buckets: int, limit: int, n_total: in
         probs = F.array(*[F.lit(j / buckets) for j in range(1, buckets)])
         st = {r["_t"]: r for r in tagged.groupBy("_t").agg(
             F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-            F.percentile_approx("v", probs, 10 * buckets).alias("b")).collect()}
-        big = []
+            F.percentile_approx("v", probs, 4 * buckets).alias("b")).collect()}
+        big, small = [], {}
         for i, rng in enumerate(tags):
             lo, hi, below = rng
             s = st[i]
@@ -69,12 +93,16 @@ def _kth(values: DataFrame, ks: list[int], buckets: int, limit: int, n_total: in
                     out[k] = s["mn"]
                     del state[k]
             elif s["n"] <= limit:
-                got = _read_ranks(tagged.filter(F.col("_t") == i).select("v"), [k - below for k in groups[rng]])
-                for k in groups[rng]:
-                    out[k] = got[k - below]
-                    del state[k]
+                small[i] = [k - below for k in groups[rng]]
             else:
                 big.append(i)
+        if small:
+            got = _read_tagged(tagged, small)
+            for i in small:
+                below = tags[i][2]
+                for k in groups[tags[i]]:
+                    out[k] = got[(i, k - below)]
+                    del state[k]
         if not big:
             break
         edges = {}
@@ -105,8 +133,8 @@ def _kth(values: DataFrame, ks: list[int], buckets: int, limit: int, n_total: in
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 2048,
-                    limit: int = 200_000) -> tuple[int, list[float | None]]:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1024,
+                    limit: int = 2_000_000) -> tuple[int, list[float | None]]:
     """(n non-null, [quantile for each p]) with linear interpolation."""
     v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     n = v.count()
