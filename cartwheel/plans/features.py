@@ -132,29 +132,29 @@ def next_week_state(clean: DataFrame, customers: DataFrame, products: DataFrame,
     activity rows, not pairs × weeks."""
     act = materialize(weekly_activity(clean, anchor))
     # everything below derives from the one activity aggregate, so the scan,
-    # join and de-duplication of the facts run once (exchange reuse)
-    weeks = period_index(act.select("week").distinct())
-    last = weeks.agg(F.max("week_idx").alias("L"), F.max("week").alias("week"))
-    prods = products.select("product_id", "category")
-    a = act.join(F.broadcast(weeks), "week").crossJoin(F.broadcast(last)).join(prods, "product_id", "left")
+    # join and de-duplication of the facts run once
+    cal = act.select("week").distinct().agg(F.array_sort(F.collect_list("week")).alias("_ws"))  # one row
+    last = cal.select((F.size("_ws") - 1).alias("L"), F.element_at("_ws", -1).alias("_last"),
+                      F.element_at("_ws", F.greatest(F.size("_ws") - 11, F.lit(1))).alias("_w12"))
+    # per active pair: activity weeks among the last 12 and before the last week
+    stats = act.crossJoin(F.broadcast(last)).groupBy("customer_id", "product_id").agg(
+        F.count_if(F.col("week") >= F.col("_w12")).alias("cp_count_12w"),
+        F.count_if(F.col("week") < F.col("_last")).alias("_before"))
     top = global_top(act, top_k, weight="num_tx")
-    cand = candidate_pairs(act, customers, top).join(prods, "product_id", "left")
-    before = F.col("week_idx") < F.col("L")
-    pair = a.groupBy("customer_id", "product_id").agg(
-        F.count_if(F.col("week_idx") >= F.col("L") - 11).alias("cp_count_12w"))
-    prod_buys = a.filter(before).groupBy("product_id").agg(F.count(F.lit(1)).alias("pb"))
-    cc_buys = a.filter(before).groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("cb"))
-    prod_pairs = cand.groupBy("product_id").agg(F.count(F.lit(1)).alias("pn"))
-    cc_pairs = cand.groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("cn"))
-    j = (cand.crossJoin(F.broadcast(last))
-         .join(pair, ["customer_id", "product_id"], "left")
-         .join(prod_buys, "product_id", "left").join(prod_pairs, "product_id", "left")
-         .join(cc_buys, ["customer_id", "category"], "left").join(cc_pairs, ["customer_id", "category"], "left"))
+    pairs = (candidate_pairs(act, customers, top)
+             .join(products.select("product_id", "category"), "product_id", "left")
+             .join(stats, ["customer_id", "product_id"], "left")
+             .na.fill({"cp_count_12w": 0, "_before": 0}))
+    # the prior numerators and denominators are sums over the pair table
+    prod_tot = pairs.groupBy("product_id").agg(F.sum("_before").alias("pb"), F.count(F.lit(1)).alias("pn"))
+    cc_tot = pairs.groupBy("customer_id", "category").agg(F.sum("_before").alias("cb"), F.count(F.lit(1)).alias("cn"))
+    j = (pairs.join(prod_tot, "product_id").join(cc_tot, ["customer_id", "category"])
+         .crossJoin(F.broadcast(last)))
     return j.select(
-        "customer_id", "product_id", "week", "category",
-        F.coalesce(F.col("cp_count_12w"), F.lit(0)).cast("bigint").alias("cp_count_12w"),
-        ((F.coalesce(F.col("pb"), F.lit(0)) + 1.0) / (F.col("pn") * F.col("L") + 2.0)).alias("prod_prior_rate"),
-        ((F.coalesce(F.col("cb"), F.lit(0)) + 1.0) / (F.col("cn") * F.col("L") + 2.0)).alias("cust_cat_prior_rate"),
+        "customer_id", "product_id", F.col("_last").alias("week"), "category",
+        F.col("cp_count_12w").cast("bigint").alias("cp_count_12w"),
+        ((F.col("pb") + 1.0) / (F.col("pn") * F.col("L") + 2.0)).alias("prod_prior_rate"),
+        ((F.col("cb") + 1.0) / (F.col("cn") * F.col("L") + 2.0)).alias("cust_cat_prior_rate"),
     )
 
 
