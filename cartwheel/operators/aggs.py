@@ -59,14 +59,12 @@ def orders_per_customer(tx: DataFrame) -> DataFrame:
 
 # A5
 def describe_counts(df: DataFrame, col: str) -> DataFrame:
+    from cartwheel.functions.quantiles import quantile_row
     x = F.col(col).cast("double")
-    return df.agg(
-        F.round(F.avg(x), 6).alias("mean"),
-        F.round(F.percentile(x, 0.5), 6).alias("median"),
-        F.round(F.percentile(x, 0.1), 6).alias("p10"),
-        F.round(F.percentile(x, 0.9), 6).alias("p90"),
-        F.max(x).alias("max"),
-    )
+    q = quantile_row(df, [col], [0.5, 0.1, 0.9]).select(F.col(f"_q_{col}").alias("_q"))  # exact, one row
+    s = df.agg(F.round(F.avg(x), 6).alias("mean"), F.max(x).alias("max")).crossJoin(q)
+    return s.select("mean", F.round(F.col("_q")[0], 6).alias("median"), F.round(F.col("_q")[1], 6).alias("p10"),
+                    F.round(F.col("_q")[2], 6).alias("p90"), "max")
 
 
 # A6
@@ -74,8 +72,9 @@ def basket_breadth(weekly: DataFrame) -> DataFrame:
     """Distinct products per customer-week → mean per customer → global mean and median."""
     per_cw = weekly.groupBy("customer_id", "week").agg(F.count_distinct("product_id").alias("k"))
     per_c = per_cw.groupBy("customer_id").agg(F.avg("k").alias("avg_k"))
-    return per_c.agg(F.round(F.avg("avg_k"), 6).alias("mean_breadth"),
-                     F.round(F.percentile("avg_k", 0.5), 6).alias("median_breadth"))
+    from cartwheel.functions.quantiles import quantile_row
+    med = quantile_row(per_c, ["avg_k"], [0.5]).select(F.round(F.col("_q_avg_k")[0], 6).alias("median_breadth"))
+    return per_c.agg(F.round(F.avg("avg_k"), 6).alias("mean_breadth")).crossJoin(med)
 
 
 # A7

@@ -80,7 +80,8 @@ def pdp(model, df: DataFrame, cols: Sequence[str], col: str, grid: int = 30, sam
     """Partial dependence: mean P(1) over a sample with ``col`` set to each of
     ``grid`` evenly spaced values between its 5th and 95th percentiles."""
     s = sample_n(df, sample, seed, id_col)
-    q = df.agg(F.percentile(col, 0.05).alias("lo"), F.percentile(col, 0.95).alias("hi"))
+    from cartwheel.functions.quantiles import quantile_row
+    q = quantile_row(df, [col], [0.05, 0.95]).select(F.col(f"_q_{col}")[0].alias("lo"), F.col(f"_q_{col}")[1].alias("hi"))
     pts = q.select(F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"), "lo", "hi").select(
         "g", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("g") / (grid - 1)).alias("value"))
     j = s.crossJoin(F.broadcast(pts)).withColumn(col, F.col("value"))
@@ -213,7 +214,8 @@ def find_rule(df: DataFrame, row: dict, cols: Sequence[str], label: str, target_
     rule and add the predicate 'feature in the row's quartile' that gives the
     highest precision (ties: coverage), until the precision target is met.
     Each step is ONE aggregate over all candidate predicates."""
-    q = df.agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in cols]).first()
+    from cartwheel.functions.quantiles import exact_quantiles
+    q = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75])[1] for c in cols}
     def bin_of(c, v):
         e = q[c]
         return sum(1 for x in e if v > x)

@@ -333,14 +333,16 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], n_trees: i
         return pd.Series(np.power(2.0, -mean / c_psi) if c_psi > 0 else np.zeros(len(X)))
 
     scored = df.withColumn("anomaly_score", path_score(*[F.col(c) for c in cols]))
-    cut = scored.agg(F.percentile("anomaly_score", 1.0 - contamination).alias("_cut"))
+    from cartwheel.functions.quantiles import quantile_row
+    cut = quantile_row(scored, ["anomaly_score"], [1.0 - contamination]).select(F.col("_q_anomaly_score")[0].alias("_cut"))
     return scored.crossJoin(F.broadcast(cut)).withColumn("anomaly", (F.col("anomaly_score") >= F.col("_cut")).cast("int")).drop("_cut")
 
 
 # M16
 def proxy_eval(flags: DataFrame, col: str, flag: str = "anomaly", q: float = 0.99) -> DataFrame:
     """Anomaly flags against a proxy truth (value above the q-quantile)."""
-    cut = flags.agg(F.percentile(col, q).alias("_cut"))
+    from cartwheel.functions.quantiles import quantile_row
+    cut = quantile_row(flags, [col], [q]).select(F.col(f"_q_{col}")[0].alias("_cut"))
     j = flags.crossJoin(F.broadcast(cut)).withColumn("y", (F.col(col) > F.col("_cut")).cast("int"))
     return metrics.binary_metrics(j.withColumn("y_hat", F.col(flag)), "y", "y_hat")
 

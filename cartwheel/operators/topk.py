@@ -30,7 +30,8 @@ def train_pool(weekly: DataFrame, p: int = 80, split_col: str = "split") -> Data
 def extremes_with_support(intervals: DataFrame, n: int = 10, value: str = "mean_days",
                           support: str = "support", key: str = "product_id") -> DataFrame:
     """Fastest and slowest n keys among those with support ≥ the first quartile."""
-    q1 = intervals.agg(F.percentile(support, 0.25).alias("_q1"))
+    from cartwheel.functions.quantiles import quantile_row
+    q1 = quantile_row(intervals, [support], [0.25]).select(F.col(f"_q_{support}")[0].alias("_q1"))  # exact, one row
     ok = intervals.crossJoin(F.broadcast(q1)).filter(F.col(support) >= F.col("_q1")).drop("_q1")
     fast = ok.orderBy(F.asc(value), F.asc(key)).limit(n).withColumn("kind", F.lit("fastest"))
     slow = ok.orderBy(F.desc(value), F.asc(key)).limit(n).withColumn("kind", F.lit("slowest"))

@@ -259,7 +259,8 @@ SELECT tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, ro
   round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM m""")
 def q_m16(t):
     d = t.lineitem.select((F.col("l_quantity") * F.col("l_discount")).alias("s"), F.col("l_extendedprice").alias("v"))
-    cut = d.agg(F.percentile("s", 0.99).alias("_c"))
+    from cartwheel.functions.quantiles import quantile_row
+    cut = quantile_row(d, ["s"], [0.99]).select(F.col("_q_s")[0].alias("_c"))
     flags = d.crossJoin(F.broadcast(cut)).withColumn("anomaly", (F.col("s") >= F.col("_c")).cast("int")).drop("_c")
     return M.proxy_eval(flags, "v", "anomaly", 0.99)
 
