@@ -115,46 +115,55 @@ def mllib_imputer(cols: Sequence[str], strategy: str = "mean"):
 
 # F4 ------------------------------------------------------------------ kNN imputation
 def impute_knn(df: DataFrame, id_col: str, target: str, features: Sequence[str], k: int = 5,
-               cell: float | None = None) -> DataFrame:
+               cell: float | None = None, max_rounds: int = 12) -> DataFrame:
     """Fill ``target`` where null with the inverse-distance-weighted mean of the
     k nearest donors (rows with a target), distance on ``features``.
 
-    Candidates come from an equi-join on grid cells of the first feature
-    (±1 cell), so only nearby donors are compared; a row whose cells hold
-    fewer than k donors falls back to the full donor set.  Exact when the k
-    nearest donors lie within one cell width, which the fallback guarantees
-    for the rows it covers."""
+    Expanding ring search on a 1-D grid of the first feature: in round r a
+    row is compared only with donors in the cells within ±R (R = 1, 2, 4, …).
+    A donor outside that ring is at least R cell widths away, so once the
+    row's k-th distance is ≤ R·width its neighbours are exact and the row is
+    done; the others go to the next, wider ring.  Never a cross product."""
+    from cartwheel.session import ensure_checkpoint_dir
     f0 = features[0]
+    ensure_checkpoint_dir(df.sparkSession)
     if cell is None:
         st = df.agg(((F.max(f0) - F.min(f0)) / 20.0).alias("w")).first()["w"] or 1.0
         cell = float(st) if st > 0 else 1.0
-    need = df.filter(F.col(target).isNull()).select(id_col, *features)
-    donors = df.filter(F.col(target).isNotNull()).select(F.col(id_col).alias("_did"), *[F.col(c).alias(f"_d_{c}") for c in features],
-                                                         F.col(target).alias("_dv"))
-    nb = need.withColumn("_cell", F.floor(F.col(f0) / cell)).withColumn("_off", F.explode(F.array(*[F.lit(o) for o in (-1, 0, 1)])))
-    nb = nb.withColumn("_cell", F.col("_cell") + F.col("_off")).drop("_off")
-    db = donors.withColumn("_cell", F.floor(F.col(f"_d_{f0}") / cell))
-    cand = nb.join(db, "_cell")
+    donors = df.filter(F.col(target).isNotNull()).select(
+        F.col(id_col).alias("_did"), *[F.col(c).alias(f"_d_{c}") for c in features], F.col(target).alias("_dv"),
+        F.floor(F.col(f0) / cell).cast("bigint").alias("_cell"))
+    span = donors.agg(F.min("_cell").alias("lo"), F.max("_cell").alias("hi")).first()
+    todo = df.filter(F.col(target).isNull()).select(id_col, *features).withColumn(
+        "_c0", F.floor(F.col(f0) / cell).cast("bigint"))
     d2 = None
     for c in features:
         t = F.pow(F.col(c) - F.col(f"_d_{c}"), 2)
         d2 = t if d2 is None else d2 + t
-    cand = cand.withColumn("_dist", F.sqrt(d2))
     w = Window.partitionBy(id_col).orderBy("_dist", "_did")
-    top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     wt = 1.0 / F.greatest(F.col("_dist"), F.lit(1e-12))
-    filled = top.groupBy(id_col).agg(
-        (F.sum(wt * F.col("_dv")) / F.sum(wt)).alias("_fill"), F.count(F.lit(1)).alias("_m"),
-        F.max(F.when(F.col("_dist") == 0, F.col("_dv"))).alias("_exact"), F.max("_dist").alias("_dk"))
-    # a donor outside the ±1 cells is farther than one cell width
-    ok = filled.filter((F.col("_m") >= k) & (F.col("_dk") <= cell))
-    short = need.join(ok.select(id_col), id_col, "left_anti")
-    # fallback: rows without k donors nearby compare against all donors
-    cand2 = short.crossJoin(donors).withColumn("_dist", F.sqrt(d2))
-    top2 = cand2.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    filled2 = top2.groupBy(id_col).agg((F.sum(wt * F.col("_dv")) / F.sum(wt)).alias("_fill"),
-                                       F.max(F.when(F.col("_dist") == 0, F.col("_dv"))).alias("_exact"))
-    fills = ok.select(id_col, "_fill", "_exact").unionByName(filled2)
+    done = []
+    radius = 1
+    full = (span["hi"] - span["lo"] + 1) if span["lo"] is not None else 0
+    for _ in range(max_rounds):
+        last = radius >= full  # the ring covers every donor cell: exact for all rows left
+        offs = F.sequence(F.lit(-radius), F.lit(radius))
+        probe = todo.select("*", F.explode(offs).alias("_o")).withColumn("_cell", F.col("_c0") + F.col("_o")).drop("_o")
+        cand = probe.join(donors, "_cell").withColumn("_dist", F.sqrt(d2))
+        top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+        got = top.groupBy(id_col).agg(
+            (F.sum(wt * F.col("_dv")) / F.sum(wt)).alias("_fill"), F.count(F.lit(1)).alias("_m"),
+            F.max(F.when(F.col("_dist") == 0, F.col("_dv"))).alias("_exact"), F.max("_dist").alias("_dk"))
+        ok_cond = F.lit(True) if last else ((F.col("_m") >= k) & (F.col("_dk") <= radius * cell))
+        ok = got.filter(ok_cond).select(id_col, "_fill", "_exact").checkpoint()
+        done.append(ok)
+        todo = todo.join(ok.select(id_col), id_col, "left_anti").checkpoint()
+        if last or todo.limit(1).count() == 0:
+            break
+        radius *= 2
+    fills = done[0]
+    for d in done[1:]:
+        fills = fills.unionByName(d)
     out = df.join(fills, id_col, "left")
     return out.withColumn(target, F.coalesce(F.col(target), F.col("_exact"), F.col("_fill"))).drop("_fill", "_exact")
 
