@@ -251,9 +251,9 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], n_trees: i
     """Anomaly scores 2^(−E[h(x)]/c(ψ)); the top ``contamination`` share
     (exact quantile of the scores) is flagged.
 
-    Subsamples: every row draws per tree by md5(id|tree) with a rate giving
-    ~3ψ rows per tree, then the first ψ by md5 order are kept — groups of
-    bounded size.  Trees grow in ``groupBy(tree).applyInPandas``; the forest
+    Subsamples: a pool of ~3ψ·n_trees rows is drawn by md5(id), each tree
+    draws ~3ψ of the pool by md5(id|tree) and keeps the first ψ in md5
+    order — groups of bounded size, work independent of the input size.  Trees grow in ``groupBy(tree).applyInPandas``; the forest
     (≤ n_trees · 2ψ nodes, bounded) is broadcast to a pandas UDF scoring
     batches of rows."""
     # helpers are nested so the tasks receive them by value (no package import on executors)
@@ -297,11 +297,17 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], n_trees: i
     spark = df.sparkSession
     n = df.count()
     psi = min(sample_size, n)
-    rate = min(1.0, 3.0 * psi / max(n, 1))
+    # a bounded pool first (~3ψ rows per tree in total), so the per-tree
+    # draw below touches |pool| × n_trees rows whatever the input size
+    pool_rate = min(1.0, 3.0 * psi * n_trees / max(n, 1))
+    h0 = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit("pool"), F.lit(str(seed))))
+    u0 = F.conv(F.substring(h0, 1, 8), 16, 10).cast("double") / float(16 ** 8)
+    pool = df.select(id_col, *cols).filter(u0 < pool_rate)
+    rate = min(1.0, 3.0 * psi / max(n * pool_rate, 1.0))
     trees = spark.range(n_trees).select(F.col("id").cast("int").alias("tree"))
     h = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.col("tree").cast("string"), F.lit(str(seed))))
     u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / float(16 ** 8)
-    cand = df.select(id_col, *cols).crossJoin(F.broadcast(trees)).withColumn("_h", h).filter(u < rate)
+    cand = pool.crossJoin(F.broadcast(trees)).withColumn("_h", h).filter(u < rate)
     w = Window.partitionBy("tree").orderBy("_h")
     sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).drop("_r", "_h")
     schema = "tree int, node int, feature int, threshold double, left int, right int, size int"

@@ -214,3 +214,24 @@ def test_stream_equals_batch_shape(spark):
     a = rows(q(spark, "/root/testdata/sf0.001"), "customer_id", "product_id", "n_events")
     b = rows(q(spark, "/root/testdata/sf0.001"), "customer_id", "product_id", "n_events")
     assert a == b and len(a) > 0
+
+
+def test_exact_quantiles_match_percentile_with_forced_rounds(spark):
+    from cartwheel.functions.quantiles import exact_quantiles
+    df = spark.range(0, 5000).select(((F.col("id") * 37) % 1013 / 7.0).alias("x"))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    n, got = exact_quantiles(df, "x", probs, buckets=8, limit=100)   # several narrowing rounds
+    ref = df.agg(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    assert n == 5000 and all(abs(a - b) < 1e-9 for a, b in zip(got, ref))
+    ties = spark.createDataFrame([(1.0,)] * 300 + [(2.0,)] * 3, "x double")
+    assert exact_quantiles(ties, "x", [0.5], buckets=4, limit=10)[1] == [1.0]
+
+
+def test_isolation_forest_flags_contamination_share(spark):
+    from cartwheel.operators.models import isolation_forest
+    pts = [(i, float(i % 17), float(i % 13)) for i in range(600)] + [(1000 + i, 500.0 + i, -400.0) for i in range(6)]
+    df = spark.createDataFrame(pts, "id int, a double, b double")
+    out = isolation_forest(df, "id", ["a", "b"], n_trees=20, sample_size=64, contamination=0.01)
+    flagged = {r["id"] for r in out.filter("anomaly = 1").collect()}
+    assert len(flagged) >= 6 and {1000 + i for i in range(6)} <= flagged
+    assert out.filter("anomaly_score <= 0 OR anomaly_score >= 1").count() == 0
