@@ -1,9 +1,11 @@
 """D6 feature-matrix job and the flagship next-week offer ranking.
 
-One lazy plan: clean → weekly activity → candidates → dense universe →
-window features → priors.  The windows W1-W6 share one partitioning on
-(customer, product); the calendar and top-K side are parameter-bounded and
-broadcast; dimensions are joined with AQE's runtime size check.
+Clean → weekly activity (checkpointed once) → candidate pairs → one row
+per pair carrying its activity map and prior curves → one expansion over the
+calendar → pair windows.  The windows W1-W6 share the pair table's
+(customer, product) partitioning; the calendar and top-K side are
+parameter-bounded and broadcast; dimensions are joined with AQE's runtime
+size check.  The flagship scores from pair aggregates without the grid.
 """
 
 from __future__ import annotations
@@ -13,12 +15,11 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import drop_null_keys, positive_only
 from cartwheel.operators.aggs import weekly_activity
-from cartwheel.operators.joins import densify, enrich, expand_weeks
+from cartwheel.operators.joins import expand_weeks
 from cartwheel.operators.quality import dedupe_first
 from cartwheel.operators.topk import candidate_pairs, global_top
+from cartwheel.operators.windows import add_pair_features, period_index, rank_topk
 from cartwheel.session import materialize
-from cartwheel.operators.windows import (add_pair_features, affinity_prior_rate, period_index,
-                                         product_prior_rate, rank_topk)
 
 PAIR_KEYS = ["customer_id", "product_id", "purchase_date"]
 
@@ -99,7 +100,10 @@ def build_feature_matrix(clean: DataFrame, customers: DataFrame, products: DataF
              .join(cc_curve.withColumnRenamed("_curve", "_cc"), ["customer_id", "category"], "left")
              .join(customers, "customer_id", "left")
              .join(per_pair, ["customer_id", "product_id"], "left")
-             .repartition("customer_id", "product_id")                     # pair table: small shuffle
+             # pair table: small shuffle; the partition count is pinned to the
+             # session's shuffle width (AQE would coalesce it by the pair
+             # table's size, but the expansion below is n_weeks times larger)
+             .repartition(int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id", "product_id")
              .crossJoin(F.broadcast(cal)))
     grid = pairs.select("*", F.posexplode("_cal").alias("week_idx", "_wk"))
     n = F.coalesce(F.try_element_at(F.col("_acts"), F.col("week_idx")), F.lit(0).cast("bigint"))
