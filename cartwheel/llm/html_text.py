@@ -4,7 +4,8 @@ A page is cut into blocks at block-level tags.  The first pass labels blocks on
 their own: chrome (menus, headers, footers, sidebars, notices, adverts, forms,
 reader comments) and link-dense blocks are bad, long blocks with enough stop
 words are good, the rest stays open.  The second pass gives open short blocks
-the label of their nearest decided neighbours.  Inside an explicit article or
+the label of their nearest decided neighbours (at equal distance from a good and
+a bad one, paragraphs are good).  Inside an explicit article or
 main element the page itself vouches for the text, so a block there needs no
 stop words and looks to neighbours inside that element only.
 
@@ -72,6 +73,7 @@ class Block:
     chrome: bool
     inside: int            # number of the article or main element, 0 outside
     heading: bool
+    paragraph: bool
     label: str = field(default="")
 
 
@@ -101,7 +103,7 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks in order, with what the labelling needs."""
     out: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, in chrome, number of the article
+    stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, in chrome, number of the article, in a paragraph
     articles = linked = depth = 0
     heading = False
 
@@ -109,7 +111,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked, heading
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, linked, stack[-1][1], stack[-1][2], heading))
+            out.append(Block(text, linked, stack[-1][1], stack[-1][2], heading, stack[-1][3]))
         parts.clear()
         linked, heading = 0, False
 
@@ -142,7 +144,7 @@ def blocks(page: str) -> list[Block]:
             depth = 1
         if tag in VOID or m[4].endswith("/"):
             continue
-        _, chrome, inside = stack[-1]
+        _, chrome, inside, paragraph = stack[-1]
         if tag in ("article", "main") and not inside:
             articles += 1
             inside = articles
@@ -150,7 +152,8 @@ def blocks(page: str) -> list[Block]:
             chrome = chrome or _is_chrome(tag, _attributes(m[4]), inside)
         if tag in ("p", "li", "tr", "dt", "dd") and stack[-1][0] == tag:
             stack.pop()  # such an element ends where the next one begins
-        stack.append((tag, chrome, inside))
+        paragraph = tag in ("p", "pre", "blockquote") or paragraph and tag not in BLOCK
+        stack.append((tag, chrome, inside, paragraph))
         heading = heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6")
     close()
     return out
@@ -199,7 +202,7 @@ def label(found: list[Block]) -> None:
         elif first[i] == "near" or b.heading and y == "good":
             b.label = "good"
         else:
-            b.label = x if i - p < q - i else y if q - i < i - p else "bad"
+            b.label = x if i - p < q - i else y if q - i < i - p else "good" if b.paragraph else "bad"
 
 
 def main_text(page: str | None) -> str:

@@ -318,7 +318,7 @@ def test_tool_calls(spark):
     ]
     df = spark.createDataFrame([(*r, 1, "k") for r in rows], "conv_id long, turn long, role string, text string, part int, level string")
     got = {(r.conv_id, r.turn, r.part, r.kind): r for r in tool_calls.link(df, TOOLS).collect()}
-    assert len(got) == 5 + 9 + 3
+    assert len(got) == 6 + 9 + 3
     a, b, c, again = got[1, 1, 1, "call"], got[1, 1, 2, "call"], got[1, 4, 1, "call"], got[1, 4, 2, "call"]
     assert a.json == '{"arguments":{"b":true,"o":{},"tags":[],"x":1,"y":1.5},"id":"a","name":"add"}' and a.valid and a.linked and a.level == 0
     assert b.json == '{"arguments":{"t":"é\\n"},"id":"b","name":"say"}' and b.level == 1 and b.valid and not b.linked
