@@ -177,7 +177,7 @@ def _first_pass(b: Block) -> str:
 def label(found: list[Block]) -> None:
     """Both passes: leaves ``good`` or ``bad`` in every block."""
     first = [_first_pass(b) for b in found]
-    any_good = any(x in ("good", "near") for x in first)
+    vouched = any(x in ("good", "near") or b.inside for x, b in zip(first, found))
 
     # a run of open blocks shares its neighbours, so each direction is one sweep
     before, after = [("", 0)] * len(found), [("", 0)] * len(found)
@@ -194,7 +194,7 @@ def label(found: list[Block]) -> None:
             continue
         (x, p), (y, q) = before[i], after[i]
         if not x and not y:
-            b.label = "good" if b.inside or first[i] == "near" or not any_good else "bad"
+            b.label = "good" if b.inside or first[i] == "near" or not vouched else "bad"
         elif x == y or not y:
             b.label = x if first[i] != "near" else "good"
         elif not x:
