@@ -8,19 +8,25 @@ sets link when ``den * intersection >= num * union``.
   by hash into blocks of 64 bits, and each shingle flips one bit of its block.
   The Hamming distance of two such sketches is at most the symmetric difference
   of the sets.  A link allows at most ``f(n) = n (den - num) / num`` differences
-  for the smaller size n, and a difference spoils one block only, so of the
-  first f(n) + 1 non-empty blocks of either set one is equal in both: these
-  blocks are the join keys.
+  for the smaller size n, and a difference spoils one block only.  So take the
+  non-empty blocks fullest first (ties in block order): before the first block
+  that is equal in both sets stand spoilt blocks only, hence one of the first
+  f(n) + 1 is equal in both.  These are the join keys.
 * Shingles of a large share of the documents are left out of the sketches.  That
   never raises the difference, so no link is lost, whichever are left out.  A
   set with too few blocks left is also keyed by its first f(n) + 1 single
   shingles, and a set with no more than f(n) shingles left by the blocks of the
   whole set; the same argument holds for both.
-* Buckets with the same members are merged.  Each member is first compared with
-  the two ends of the buckets it shares most, links give components, and then
-  every pair of a bucket whose members lie in different components is compared.
-  Pairs inside one component can't change the result and are never formed.
-* A comparison recomputes both sets from the whole texts.
+* Buckets with the same members are merged.  Links give components, and pairs
+  inside one component can't change the result, so they are never formed.  In a
+  round each member of a bucket with several components is compared with one
+  member, another one each round; as soon as the pairs that remain are few for
+  the rows (their number is known without forming them), all are compared.  Of
+  large buckets only the pairs whose sketches allow a link become rows: their
+  sets are dealt into tiles of bounded size, and each tile holds its sets
+  against each other.
+* A comparison first holds whole-set parity sketches (about a bit per shingle)
+  against the allowed difference; what passes is recomputed from whole texts.
 
 Defined cases: a null text, or one without words, is an empty set, linked with
 nothing; fewer than k words are one shingle; ids may repeat (rows with one id
@@ -34,14 +40,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import U64, bloom_hit, bloom_of, mix, space_words, table, text_bytes, written
+from cartwheel.llm.common import U64, bloom_hit, bloom_of, mix, space_words, spread, table, text_bytes, written
 from cartwheel.llm.registry import query
 
-HOT_SHARE = 128   # a shingle of more than 1/128 of the documents stays out of the sketches
+HOT_SHARE = 1024  # a shingle of more than 1/1024 of the documents stays out of the sketches
+REMAINDER = 8     # all pairs are compared once they are at most so many to a row of the buckets
+ROUNDS = 2        # rounds after which they are compared in any case
+LARGE = 16        # members above which a bucket's pairs are compared tile by tile
+TILE = 512        # sets on either side of a tile
 SPARE = 1.5       # blocks of a band to the number that must be equal or not
 
 
@@ -63,6 +74,22 @@ class Sets:
         return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def sketch(x: np.ndarray) -> bytes:
+    """Parity bits of a whole set; a power of two of them, at least its size."""
+    bits = 1 << max(7, int(len(x) - 1).bit_length())
+    return np.packbits(np.bincount((x & U64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def hamming(a: bytes, b: bytes) -> int:
+    """Distance of two sketches; the longer is folded to the other's length,
+    which keeps it a parity sketch.  At most the sets' symmetric difference."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):
+        a = np.bitwise_xor.reduce(np.frombuffer(a, np.uint8).reshape(-1, len(b)), axis=0).tobytes()
+    return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+
+
 class Sketches:
     """Join keys of sets for links of ``num / den`` and more."""
 
@@ -80,14 +107,15 @@ class Sketches:
         return int(np.searchsorted(self.edges, n, side="right")) - 1
 
     def _blocks(self, x: np.ndarray, count: int, salt: int) -> np.ndarray:
-        """A key per non-empty block, in block order; ``x`` is sorted, and so are its blocks."""
+        """A key per non-empty block, fullest first; ``x`` is sorted, and so are its blocks."""
         if not len(x):
             return x
         block = ((x >> U64(32)) * U64(count)) >> U64(32)
         first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
         parity = np.bitwise_xor.reduceat(U64(1) << (x & U64(63)), first)
         size = np.diff(np.append(first, len(x))).astype(U64)
-        return mix(parity ^ mix((block[first] << U64(20)) + size + U64(salt << 44)))
+        order = np.argsort(-size.astype(np.int64), kind="stable")
+        return mix(parity ^ mix((block[first] << U64(20)) + size + U64(salt << 44)))[order]
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """All join keys of the set ``x``."""
@@ -114,7 +142,8 @@ class Sketches:
 
 
 def _profile(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, n, sid) per row; rows with ``hot`` set count frequent shingles instead."""
+    """(id, n, sid, sk) per row; sk, the sketch, only at the first copy of a
+    batch.  Rows with ``hot`` set count frequent shingles instead."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("txt"))
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -123,18 +152,18 @@ def _profile(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
         for b in batches:
             found = [sets.of(t) for t in text_bytes(b.column(1))]
             n, sid = np.array([len(x) for x in found], np.int64), np.array([sets.name(x) for x in found], np.int64)
-            none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(sid), none], ["id", "n", "sid", "hot"])
             # each text once, so that a large group of copies doesn't make its shingles frequent
-            own = {s: x for s, x in zip(sid.tolist(), found)}
-            h, c = np.unique(np.concatenate(list(own.values())), return_counts=True) if own else (np.zeros(0, U64), np.zeros(0, int))
-            often = c >= max(8, len(found) // (2 * HOT_SHARE))
+            own = {s: i for i, s in reversed(list(enumerate(sid.tolist())))}
+            sk = [sketch(x) if own[i] == j and len(x) else None for j, (i, x) in enumerate(zip(sid.tolist(), found))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(sid), pa.array(sk, pa.binary()), pa.nulls(len(n), pa.int64())], names)
+            h, c = np.unique(np.concatenate([found[i] for i in own.values()]), return_counts=True) if own else (np.zeros(0, U64), np.zeros(0, int))
+            often = c >= max(4, len(found) // (2 * HOT_SHARE))
             h, c = h[often], c[often]
-            blank = pa.nulls(len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), b.schema.field(0).type), pa.array(c.astype(np.int64)), blank,
-                                              pa.array(h.view(np.int64))], ["id", "n", "sid", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), b.schema.field(0).type), pa.array(c.astype(np.int64)), pa.nulls(len(h), pa.int64()),
+                                              pa.nulls(len(h), pa.binary()), pa.array(h.view(np.int64))], names)
 
-    return rows.mapInArrow(run, f"id {kind}, n long, sid long, hot long")
+    names = ["id", "n", "sid", "sk", "hot"]
+    return rows.mapInArrow(run, f"id {kind}, n long, sid long, sk binary, hot long")
 
 
 def _keys(docs: DataFrame, text_col: str, k: int, num: int, den: int, hot: np.ndarray) -> DataFrame:
@@ -170,6 +199,19 @@ def _buckets(keys: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("w")))
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sketches allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            keep = [hamming(x, y) <= (n + m) * (den - num) // (den + num)
+                    for x, y, n, m in zip(*(b.column(i).to_pylist() for i in range(2, 6)))]
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    one, two = (sets.select(F.col("sid").alias(s), F.col("n").alias(f"n{s}"), F.col("sk").alias(f"s{s}")) for s in ("a", "b"))
+    both = pairs.join(one, "a").join(two, "b").where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}")
+    return both.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long")
+
+
 def _verified(docs: DataFrame, text_col: str, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Those of ``pairs`` (a, b) that link, compared over their whole texts."""
     both = pairs.select(F.explode(F.array("a", "b")).alias("sid"))
@@ -228,26 +270,95 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.toDF("node", "root") if total is None else total
 
 
-def _stars(buckets: DataFrame) -> DataFrame:
-    """(a, b): each set with the low and the high end that it shares most buckets with."""
-    ends = buckets.select("sid", F.explode(F.array("low", "high")).alias("end"), "w", (F.col("low") == F.col("sid")).alias("lowest"))
-    ends = ends.where("sid <> end").groupBy("sid", F.expr("end < sid").alias("below"), "end").agg(F.sum("w").alias("w"))
-    best = ends.groupBy("sid", "below").agg(F.max(F.struct("w", "end")).alias("x"))
-    return best.select(F.least("sid", "x.end").alias("a"), F.greatest("sid", "x.end").alias("b")).distinct()
+def _one_each(rows: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each set with one member of each of its buckets that lies in
+    another component; for a set the four that it meets most often."""
+    pivot = rows.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "root")).alias("p"))
+    met = (rows.join(pivot.select("bucket", F.col("p.sid").alias("end"), F.col("p.root").alias("end_root")), "bucket")
+           .where("root <> end_root").groupBy("sid", "end").agg(F.sum("w").alias("w")))
+    best = met.groupBy("sid").agg(F.slice(F.sort_array(F.collect_list(F.struct("w", "end")), False), 1, 4).alias("x"))
+    best = best.select("sid", F.explode("x.end").alias("end"))
+    return best.select(F.least("sid", "end").alias("a"), F.greatest("sid", "end").alias("b")).distinct()
 
 
-def _across(buckets: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """(a, b): untested pairs of a bucket that lie in different components."""
-    rows = (buckets.select("bucket", "sid").join(labels.toDF("sid", "root"), "sid", "left")
-            .select("bucket", "sid", F.coalesce("root", "sid").alias("root")))
-    mixed = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    rows = written(rows.join(mixed, "bucket", "left_semi"))
-    roots = rows.select("bucket", "root").distinct()
-    two = roots.toDF("bucket", "ra").join(roots.toDF("bucket", "rb"), "bucket").where("ra < rb")
+def _all_across(rows: DataFrame) -> DataFrame:
+    """(a, b): all pairs of a bucket that lie in different components."""
+    counts = written(rows.groupBy("bucket", "root").agg(F.count("*").alias("c")))
+    two = counts.select("bucket", F.col("root").alias("ra")).join(counts.select("bucket", F.col("root").alias("rb")), "bucket").where("ra < rb")
     pairs = (two.join(rows.select("bucket", F.col("root").alias("ra"), F.col("sid").alias("a")), ["bucket", "ra"])
              .join(rows.select("bucket", F.col("root").alias("rb"), F.col("sid").alias("b")), ["bucket", "rb"]))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _tiles(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): pairs of a bucket in different components whose sketches allow a
+    link.  Sets are dealt to c parts, and tile (i, j) holds parts i and j."""
+    own = written(rows.groupBy("sid").agg(F.max("root").alias("root"), F.collect_set("bucket").alias("buckets"))
+                  .join(sets.select("sid", "n", "sk"), "sid"))
+    c = max(1, -(-own.count() // TILE))
+    j = F.explode(F.sequence(F.lit(0), F.lit(c - 1)))
+    dealt = own.withColumn("part", spread(c, "sid")).withColumn("j", j).withColumn(
+        "tile", F.least("part", "j") * c + F.greatest("part", "j")).drop("j")
+
+    def compare(tile: pd.DataFrame) -> pd.DataFrame:
+        low, high = divmod(int(tile["tile"].iloc[0]), c)
+        x, y = tile[tile["part"] == low], tile[tile["part"] == high]
+        names = {v: i for i, v in enumerate(set(np.concatenate(tile["buckets"].to_list())))}
+
+        def member(side):
+            m = np.zeros((len(side), len(names)), np.float32)
+            for i, own in enumerate(side["buckets"]):
+                m[i, [names[v] for v in own]] = 1
+            return m
+
+        n, m = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None, :]
+        open_ = (member(x) @ member(y).T > 0) & (x["root"].to_numpy()[:, None] != y["root"].to_numpy()[None, :])
+        open_ &= np.minimum(n, m) * den >= np.maximum(n, m) * num
+        if low == high:
+            open_ = np.triu(open_, 1)
+        limit = (n + m) * (den - num) // (den + num)
+        sx, sy, ix, iy = x["sk"].to_list(), y["sk"].to_list(), x["sid"].to_numpy(), y["sid"].to_numpy()
+        found = [(ix[i], iy[k]) for i, k in zip(*np.nonzero(open_)) if hamming(sx[i], sy[k]) <= limit[i, k]]
+        return pd.DataFrame({"a": np.array([min(f) for f in found], np.int64), "b": np.array([max(f) for f in found], np.int64)})
+
+    return dealt.groupBy("tile").applyInPandas(compare, "a long, b long")
+
+
+def _labels(docs: DataFrame, text_col: str, buckets: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(node, root) of the sets that have links."""
+    labels, rows = None, buckets.withColumn("root", F.col("sid"))
+    for turn in range(ROUNDS + 1):
+        counts = rows.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+        mixed = counts.groupBy("bucket").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("roots")).where("roots > 1")
+        mixed = written(mixed.select("bucket", ((F.col("c") * F.col("c") - F.col("q")) / 2).alias("left"), "c"))
+        size = mixed.agg(F.sum("left").alias("left"), F.sum("c").alias("c")).first()
+        if not size.left:
+            break
+        rows = written(rows.join(mixed.select("bucket"), "bucket", "left_semi"))
+        last = turn == ROUNDS or size.left <= REMAINDER * size.c
+        if last:
+            large = mixed.where(F.col("c") > LARGE).select("bucket")
+            close = _plausible(written(_all_across(rows.join(large, "bucket", "left_anti"))), sets, num, den)
+            close = written(close.unionByName(_tiles(rows.join(large, "bucket", "left_semi"), sets, num, den)).distinct())
+        else:
+            close = written(_plausible(written(_one_each(rows, turn)), sets, num, den))
+        links = written(_verified(docs, text_col, close, k, num, den)) if not close.isEmpty() else close
+        if not links.isEmpty():
+            if labels is not None:  # links between the components found so far
+                links = (links.join(labels.toDF("a", "ra"), "a", "left").join(labels.toDF("b", "rb"), "b", "left")
+                         .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+            joined = components(links)
+            if labels is None:
+                labels = joined
+            else:
+                old = labels.join(joined.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+                labels = written(old.unionByName(joined.join(labels, "node", "left_anti")))
+        if last:
+            break
+        if not links.isEmpty():
+            rows = (rows.withColumnRenamed("root", "old").join(joined.toDF("old", "next"), "old", "left")
+                    .withColumn("root", F.coalesce("next", "old")).drop("old", "next"))
+    return buckets.selectExpr("sid AS node", "sid AS root").limit(0) if labels is None else labels
 
 
 def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -259,23 +370,10 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     often = profile.where("hot is not null").groupBy("hot").agg(F.sum("n").alias("c"))
     # at most HOT_SHARE times the mean set size of them can exist
     hot = often.where(F.col("c") * HOT_SHARE > rows.count()).select("hot").toPandas()["hot"].to_numpy(np.int64).view(U64)
-    buckets = written(_buckets(_keys(docs, text_col, k, num, den, hot)))
-    tested = written(_stars(buckets))
-    links = written(_verified(docs, text_col, tested, k, num, den))
-    labels = components(links)
-    pairs = written(_across(buckets, labels, tested))
-    if not pairs.isEmpty():
-        more = written(_verified(docs, text_col, pairs, k, num, den))
-        if not more.isEmpty():
-            up = labels.toDF("b", "rb")
-            near = (more.join(labels.toDF("a", "ra"), "a", "left").join(up, "b", "left")
-                    .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-            joined = components(near)
-            old = labels.join(joined.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-            labels = written(old.unionByName(joined.join(labels, "node", "left_anti")))
-    sets = rows.where("n > 0").groupBy("sid").agg(F.min("id").alias("first"))
-    sets = sets.join(labels.toDF("sid", "root"), "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "first")
-    sets = written(sets)
+    sets = written(rows.where("n > 0").groupBy("sid").agg(F.min("id").alias("first"), F.max("n").alias("n"), F.max("sk").alias("sk")))
+    buckets = written(_buckets(_keys(docs, text_col, k, num, den, hot)).drop("low", "high"))
+    labels = _labels(docs, text_col, buckets, sets, k, num, den)
+    sets = written(sets.join(labels.toDF("sid", "root"), "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "first"))
     smallest = written(sets.groupBy("root").agg(F.min("first").alias("component_id")))
     named = written(sets.join(smallest, "root").select("sid", "component_id"))
     return (rows.join(named, "sid", "left")
