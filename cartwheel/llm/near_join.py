@@ -5,7 +5,7 @@ sets link when ``den * intersection >= num * union``.
 
 * Equal sets form one class (a 128-bit hash); only classes are compared.
 * Sets whose sizes may link share a size band.  In a band the shingles are dealt
-  by hash into blocks of 64 bits, and each shingle flips one bit of its block.
+  by hash into blocks of 2^32 bits, and each shingle flips one bit of its block.
   The Hamming distance of two such sketches is at most the symmetric difference
   of the sets.  A link allows at most ``f(n) = n (den - num) / num`` differences
   for the smaller size n, and a difference spoils one block only.  So take the
@@ -94,7 +94,10 @@ class Sketches:
     """Join keys of sets for links of ``num / den`` and more."""
 
     def __init__(self, num: int, den: int, hot: np.ndarray):
-        self.num, self.den, self.hot = num, den, hot
+        self.num, self.den = num, den
+        # a shingle counts as hot if its low bits do: the sets left out are the same for all documents
+        self.hot = np.zeros(1 << 22, bool)
+        self.hot[(hot & U64((1 << 22) - 1)).astype(np.int64)] = True
         self.edges = [1]  # band i holds sizes from edges[i] to below edges[i + 1]
 
     def differences(self, n: int) -> int:
@@ -112,7 +115,9 @@ class Sketches:
             return x
         block = ((x >> U64(32)) * U64(count)) >> U64(32)
         first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-        parity = np.bitwise_xor.reduceat(U64(1) << (x & U64(63)), first)
+        # each shingle flips one bit of its block; a block has 2^32 bits, so it is held as
+        # the xor of a random code per bit that is set
+        parity = np.bitwise_xor.reduceat(mix((x & U64(0xFFFFFFFF)) + U64(1 << 40)), first)
         size = np.diff(np.append(first, len(x))).astype(U64)
         order = np.argsort(-size.astype(np.int64), kind="stable")
         return mix(parity ^ mix((block[first] << U64(20)) + size + U64(salt << 44)))[order]
@@ -122,7 +127,7 @@ class Sketches:
         n = len(x)
         if n == 0:
             return x
-        rare = x[~np.isin(x, self.hot)] if len(self.hot) else x
+        rare = x[~self.hot[(x & U64((1 << 22) - 1)).astype(np.int64)]]
         out = []
         for band in range(self._band(-(-n * self.num // self.den)), self._band(n) + 1):
             top = self.edges[band + 1] - 1
@@ -281,13 +286,24 @@ def _one_each(rows: DataFrame, turn: int) -> DataFrame:
     return best.select(F.least("sid", "end").alias("a"), F.greatest("sid", "end").alias("b")).distinct()
 
 
-def _all_across(rows: DataFrame) -> DataFrame:
-    """(a, b): all pairs of a bucket that lie in different components."""
-    counts = written(rows.groupBy("bucket", "root").agg(F.count("*").alias("c")))
-    two = counts.select("bucket", F.col("root").alias("ra")).join(counts.select("bucket", F.col("root").alias("rb")), "bucket").where("ra < rb")
-    pairs = (two.join(rows.select("bucket", F.col("root").alias("ra"), F.col("sid").alias("a")), ["bucket", "ra"])
-             .join(rows.select("bucket", F.col("root").alias("rb"), F.col("sid").alias("b")), ["bucket", "rb"]))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _all_across(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): pairs of a bucket of at most LARGE members that lie in different
+    components and whose sketches allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            found = set()
+            for bucket in b.column(0).to_pylist():
+                for i, x in enumerate(bucket):
+                    for y in bucket[:i]:
+                        n, m = x["n"], y["n"]
+                        if x["root"] != y["root"] and den * min(n, m) >= num * max(n, m) \
+                                and hamming(x["sk"], y["sk"]) <= (n + m) * (den - num) // (den + num):
+                            found.add((min(x["sid"], y["sid"]), max(x["sid"], y["sid"])))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    full = rows.select("bucket", "sid", "root").join(sets.select("sid", "n", "sk"), "sid")
+    return (full.groupBy("bucket").agg(F.collect_list(F.struct("sid", "root", "n", "sk")).alias("x")).select("x")
+            .mapInArrow(run, "a long, b long"))
 
 
 def _tiles(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -338,7 +354,7 @@ def _labels(docs: DataFrame, text_col: str, buckets: DataFrame, sets: DataFrame,
         last = turn == ROUNDS or size.left <= REMAINDER * size.c
         if last:
             large = mixed.where(F.col("c") > LARGE).select("bucket")
-            close = _plausible(written(_all_across(rows.join(large, "bucket", "left_anti"))), sets, num, den)
+            close = _all_across(rows.join(large, "bucket", "left_anti"), sets, num, den)
             close = written(close.unionByName(_tiles(rows.join(large, "bucket", "left_semi"), sets, num, den)).distinct())
         else:
             close = written(_plausible(written(_one_each(rows, turn)), sets, num, den))
