@@ -219,7 +219,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
 
 def _verified(docs: DataFrame, text_col: str, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Those of ``pairs`` (a, b) that link, compared over their whole texts."""
-    both = pairs.select(F.explode(F.array("a", "b")).alias("sid"))
+    both = pairs.select(F.col("a").alias("sid")).distinct().union(pairs.select("b").distinct()).distinct()
     shared = docs.sparkSession.sparkContext.broadcast(bloom_of(both, "sid"))
 
     def texts(batches: Iterator[pa.RecordBatch]):
