@@ -49,7 +49,7 @@ def clean_label(c) -> Column:
 # P5
 def parse_liters(c) -> Column:
     """First number in the text (comma as decimal mark) as litres."""
-    num = F.regexp_extract(F.regexp_replace(_c(c).cast("string"), ",", "."), r"(\d+(?:\.\d+)?)", 1)
+    num = F.regexp_extract(F.regexp_replace(_c(c).cast("string"), ",", "."), r"(\d*\.?\d+)", 1)
     return F.when(num == "", F.lit(None).cast("double")).otherwise(num.cast("double"))
 
 

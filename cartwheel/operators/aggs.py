@@ -171,7 +171,7 @@ def fd_bins(n, q1, q3, lo, hi, min_bins: int = 10, max_bins: int = 60):
     iqr = q3 - q1
     width = 2.0 * iqr / F.pow(n.cast("double"), 1.0 / 3.0)
     fd = F.ceil((hi - lo) / width)
-    k = F.when((iqr > 0) & (hi > lo), fd).otherwise(F.ceil(F.sqrt(n.cast("double"))))
+    k = F.when((iqr > 0) & (hi > lo), fd).otherwise(F.floor(F.sqrt(n.cast("double"))))
     return F.least(F.greatest(k, F.lit(min_bins)), F.lit(max_bins)).cast("int")
 
 
@@ -234,7 +234,7 @@ def effect_size(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
 
 
 # A18
-def describe_cluster(es: DataFrame, label: str, top: int = 4, thr: float = 0.35) -> DataFrame:
+def standout_means(es: DataFrame, label: str, top: int = 4, thr: float = 0.35) -> DataFrame:
     """Text profile: up to ``top`` variables above +thr and below −thr."""
     g = es.groupBy(label).agg(
         F.collect_list(F.when(F.col("effect") >= thr, F.struct((-F.col("effect")).alias("k"), F.col("variable").alias("v")))).alias("hi"),

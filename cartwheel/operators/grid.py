@@ -90,13 +90,13 @@ def contrast(cells: DataFrame, c: float) -> DataFrame:
 
 # G7 — fixed values: the kernel set
 def kernels() -> dict[str, tuple[list[list[float]], float]]:
-    """name → (matrix, offset added after convolution)."""
+    """name → (matrix, offset added, with saturation, to the saturated convolution)."""
     binom = [1, 6, 15, 20, 15, 6, 1]
     return {
         "box7": ([[1.0 / 49] * 7 for _ in range(7)], 0.0),
         "binomial7": ([[a * b / 4096.0 for b in binom] for a in binom], 0.0),
-        "sharpen": ([[0, -1, 0], [-1, 5, -1], [0, -1, 0]], 0.0),
-        "laplacian": ([[0, 1.5, 0], [1.5, -6.0, 1.5], [0, 1.5, 0]], 0.0),
+        "sharpen": ([[-1, -1, -1], [-1, 9, -1], [-1, -1, -1]], 0.0),
+        "laplacian": ([[-1.5, -1.5, -1.5], [-1.5, 12.0, -1.5], [-1.5, -1.5, -1.5]], 0.0),
         "emboss": ([[-2, -1, 0], [-1, 1, 1], [0, 1, 2]], 128.0),
     }
 
@@ -129,7 +129,7 @@ def convolve(cells: DataFrame, name: str, keys=("frame", "channel")) -> DataFram
     j = src.join(vals, keys + ["sy", "sx"])
     g = j.groupBy(*keys, "y", "x").agg(F.sum(F.col("w") * F.col("v")).alias("_s"))
     # round away summation-order noise before truncating to uint8
-    return g.select(*keys, "y", "x", saturate(F.round(F.col("_s") + off, 9)).alias("v"))
+    return g.select(*keys, "y", "x", saturate(saturate(F.round(F.col("_s"), 9)) + off).alias("v"))
 
 
 # G8

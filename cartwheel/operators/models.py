@@ -202,11 +202,10 @@ def membership(pred: DataFrame, t: float = 0.70, prob: str = "probability") -> D
 
 
 # M13
-def dbscan(df: DataFrame, eps: float, min_pts: int, id_col: str = "id", cols: Sequence[str] = ("x", "y"),
-           max_iter: int = 50) -> DataFrame:
+def dbscan(df: DataFrame, eps: float, min_pts: int, id_col: str = "id", cols: Sequence[str] = ("x", "y")) -> DataFrame:
     """Density clustering: core = ≥ min_pts neighbours within eps (self
     included); clusters = connected components of core points (min-label
-    propagation over core–core edges, checkpointed each round); border points
+    propagation with pointer jumping until nothing changes); border points
     take the smallest label of an adjacent core; the rest is noise (−1)."""
     ensure_checkpoint_dir(df.sparkSession)
     pairs = epsilon_join(df, eps, id_col, cols)
@@ -215,14 +214,14 @@ def dbscan(df: DataFrame, eps: float, min_pts: int, id_col: str = "id", cols: Se
     edges = (pairs.join(core.withColumnRenamed("id", "i"), "i", "left_semi")
              .join(core.withColumnRenamed("id", "j"), "j", "left_semi").select("i", "j")).checkpoint()
     labels = core.withColumn("label", F.col("id")).checkpoint()
-    for _ in range(max_iter):
-        prop = edges.join(labels.withColumnRenamed("id", "j").withColumnRenamed("label", "lj"), "j").groupBy("i").agg(
-            F.min("lj").alias("m"))
-        new = labels.join(prop.withColumnRenamed("i", "id"), "id", "left").select(
-            "id", F.least(F.col("label"), F.coalesce(F.col("m"), F.col("label"))).alias("label")).checkpoint()
-        changed = new.join(labels.withColumnRenamed("label", "old"), "id").filter(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
+    while True:  # smallest label of the neighbours, then the label of that label: paths halve each round
+        prop = edges.join(labels.select(F.col("id").alias("j"), F.col("label").alias("lj")), "j").groupBy("i").agg(F.min("lj").alias("m"))
+        near = labels.join(prop.withColumnRenamed("i", "id"), "id", "left").select(
+            "id", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label")).checkpoint()
+        up = near.select(F.col("id").alias("label"), F.col("label").alias("next"))
+        jumped = near.join(up, "label", "left").select("id", "old", F.least("label", F.coalesce("next", "label")).alias("label")).checkpoint()
+        labels = jumped.select("id", "label")
+        if jumped.where("label <> old").isEmpty():
             break
     border = (pairs.join(labels.withColumnRenamed("id", "j"), "j")
               .join(core.withColumnRenamed("id", "i"), "i", "left_anti")

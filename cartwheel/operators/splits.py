@@ -18,24 +18,18 @@ from cartwheel.sources.tables import md5_order
 
 
 def holdout_counts(n_weeks: int, props=(0.70, 0.15), gap: int = 1) -> tuple[int, int, int]:
-    """(train, valid, test) week counts: floors of the proportions of the
-    weeks left after 2·gap purged weeks, rest to test, ≥ 1 each (taken from
-    the largest split)."""
-    n_eff = n_weeks - 2 * gap
-    if n_eff <= 0:
-        raise ValueError("not enough weeks for the purged holdout")
-    cur = [int(math.floor(n_eff * props[0])), int(math.floor(n_eff * props[1]))]
-    cur.append(n_eff - cur[0] - cur[1])
-    deficit = sum(max(0, 1 - c) for c in cur)
-    if deficit:
-        for i in sorted(range(3), key=lambda i: -cur[i]):
-            give = min(deficit, max(0, cur[i] - 1))
-            cur[i] -= give
-            deficit -= give
-            if deficit <= 0:
-                break
-        cur = [max(c, 1) for c in cur]
-    return tuple(cur)
+    """(train, valid, test) week counts of the weeks left after two gaps: the
+    proportions rounded down, the rest to test.  An empty part takes a week
+    from the longest; fewer than three weeks can't hold the parts."""
+    left = n_weeks - 2 * gap
+    if left < 3:
+        raise ValueError(f"{n_weeks} weeks are too few for three parts and two gaps of {gap}")
+    train, valid = (int(left * p) for p in props)
+    parts = [train, valid, left - train - valid]
+    while 0 in parts:
+        parts[parts.index(max(parts))] -= 1
+        parts[parts.index(0)] += 1
+    return tuple(parts)
 
 
 def _split_by_index(weeks: DataFrame, bounds: list[tuple[int, int, str]], week: str) -> DataFrame:

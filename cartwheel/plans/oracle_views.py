@@ -14,7 +14,7 @@ SELECT o.o_custkey AS customer_id, p.p_brand AS product_id, o.o_orderkey AS orde
        o.o_orderdate AS purchase_date, l.l_quantity AS items,
        l.l_extendedprice * (1 - l.l_discount) AS payment
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-WHERE o.o_orderdate >= TIMESTAMP '2000-07-31'""",
+WHERE o.o_orderdate >= date_trunc('week', (SELECT max(o_orderdate) FROM orders)) - INTERVAL 364 DAY""",
     # C1 on TXD: first row per (customer, product, date) by (order_id, items, payment)
     "txc": """
 SELECT customer_id, product_id, order_id, purchase_date, items, payment FROM (

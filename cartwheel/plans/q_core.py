@@ -170,7 +170,7 @@ def q_p4(t):
 
 
 @query("p5_parse_liters", """SELECT product_id, size,
-  CAST(NULLIF(regexp_extract(replace(size, ',', '.'), '(\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS size_liters FROM prod""", ("prod",))
+  CAST(NULLIF(regexp_extract(replace(size, ',', '.'), '(\\d*\\.?\\d+)', 1), '') AS DOUBLE) AS size_liters FROM prod""", ("prod",))
 def q_p5(t):
     return V.prod(t).select("product_id", "size", P.parse_liters("size").alias("size_liters"))
 
@@ -504,7 +504,7 @@ SELECT bin, round(lo + bin * CASE WHEN hi = lo THEN 0 ELSE (hi - lo) / k END, 6)
        round(lo + (bin + 1) * CASE WHEN hi = lo THEN 0 ELSE (hi - lo) / k END, 6) AS bin_hi, count(*) AS count
 FROM j GROUP BY bin, lo, hi, k"""
 FD_K = """CAST(least(greatest(CASE WHEN q3 - q1 > 0 AND hi > lo THEN ceil((hi - lo) / (2.0 * (q3 - q1) / pow(CAST(n AS DOUBLE), 1.0 / 3.0)))
-  ELSE ceil(sqrt(CAST(n AS DOUBLE))) END, 10), 60) AS INTEGER)"""
+  ELSE floor(sqrt(CAST(n AS DOUBLE))) END, 10), 60) AS INTEGER)"""
 
 
 @query("a14_histogram_fd", HIST_SQL.format(lo="min(x)", hi="max(x)", k=FD_K))
@@ -553,4 +553,4 @@ h AS (SELECT label, string_agg(variable, ', ' ORDER BY effect DESC, variable) FI
 SELECT label, coalesce(NULLIF(concat_ws('; ', CASE WHEN hi IS NOT NULL THEN 'high: ' || hi END,
                                           CASE WHEN lo IS NOT NULL THEN 'low: ' || lo END), ''), 'balanced') AS description FROM h""")
 def q_a18(t):
-    return aggs.describe_cluster(aggs.effect_size(_emb3(t), "label", ["e0", "e1", "e2"]), "label")
+    return aggs.standout_means(aggs.effect_size(_emb3(t), "label", ["e0", "e1", "e2"]), "label")

@@ -300,7 +300,7 @@ def q_k11(t):
 @query("k12_jaccard_stability", """WITH runs AS (SELECT unnest(range(1, 5)) AS run),
 s AS (SELECT run, doc_id AS item, round(0.5 * (('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '|' || CAST(run AS VARCHAR)), 1, 8))::BIGINT % 1000) / 1000.0
         + 0.5 * least(distinct_share, 1.0), 3) AS score FROM clf, runs),
-top AS (SELECT s.run, item FROM s JOIN (SELECT run, quantile_cont(score, 0.9) AS cut FROM s GROUP BY run) c ON s.run = c.run WHERE score >= cut),
+top AS (SELECT s.run, item FROM s JOIN (SELECT run, quantile_cont(score, 0.99) AS cut FROM s GROUP BY run) c ON s.run = c.run WHERE score >= cut),
 sz AS (SELECT run, count(*) AS n FROM top GROUP BY run),
 inter AS (SELECT a.run AS run_a, b.run AS run_b, count(*) AS inter FROM top a JOIN top b ON a.item = b.item AND a.run < b.run GROUP BY 1, 2)
 SELECT x.run AS run_a, y.run AS run_b, coalesce(inter, 0) AS inter, round(coalesce(inter, 0) / (x.n + y.n - coalesce(inter, 0)), 6) AS jaccard
@@ -314,7 +314,7 @@ def q_k12(t):
                                                F.round(0.5 * b + 0.5 * F.least(F.col("distinct_share"), F.lit(1.0)), 3).alias("score"))
     from cartwheel.functions.quantiles import exact_quantiles
     # one exact cut per resample (4 runs: a parameter-bounded loop)
-    cuts = [(r, exact_quantiles(s.filter(F.col("run") == r), "score", [0.9])[1][0]) for r in range(1, 5)]
+    cuts = [(r, exact_quantiles(s.filter(F.col("run") == r), "score", [0.99])[1][0]) for r in range(1, 5)]
     cut = t.spark.createDataFrame(cuts, "run long, cut double")
     top = s.join(F.broadcast(cut), "run").filter(F.col("score") >= F.col("cut"))
     return metrics.jaccard_stability(top)

@@ -155,8 +155,17 @@ def q_g5(t):
     return G.contrast(V.grid(t), 60)
 
 
+_BINOM = (1, 6, 15, 20, 15, 6, 1)
+_KERNELS = {  # written out apart from the engine's own
+    "box7": ([[1 / 49] * 7] * 7, 0.0), "binomial7": ([[a * b / 4096 for b in _BINOM] for a in _BINOM], 0.0),
+    "sharpen": ([[-1, -1, -1], [-1, 9, -1], [-1, -1, -1]], 0.0),
+    "laplacian": ([[-1.5, -1.5, -1.5], [-1.5, 12, -1.5], [-1.5, -1.5, -1.5]], 0.0),
+    "emboss": ([[-2, -1, 0], [-1, 1, 1], [0, 1, 2]], 128.0),
+}
+
+
 def _conv_sql(name):
-    m, off = G.kernels()[name]
+    m, off = _KERNELS[name]
     kh, kw = len(m), len(m[0])
     vals = ", ".join(f"({i}, {j}, {float(m[i][j])!r}::DOUBLE)" for i in range(kh) for j in range(kw))
     ch, cw = (kh - 1) // 2, (kw - 1) // 2
@@ -165,7 +174,7 @@ def _conv_sql(name):
     sx = mir.format(e=f"(o.x + {cw} - k.kj)", n="8")
     return f"""WITH k(ki, kj, w) AS (VALUES {vals})
 SELECT o.frame, o.channel, o.y, o.x,
-  CAST(trunc(least(greatest(round(sum(k.w * g.v) + {off}::DOUBLE, 9), 0), 255)) AS INTEGER) AS v
+  CAST(trunc(least(trunc(least(greatest(round(sum(k.w * g.v), 9), 0), 255)) + {off}::DOUBLE, 255)) AS INTEGER) AS v
 FROM grid o CROSS JOIN k JOIN grid g ON g.frame = o.frame AND g.channel = o.channel AND g.y = {sy} AND g.x = {sx}
 GROUP BY o.frame, o.channel, o.y, o.x"""
 

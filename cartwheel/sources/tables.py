@@ -17,7 +17,7 @@ TABLE_NAMES = (
 ).split()
 
 # Start of the dense 53-week window of the TXD view (fixed value of the fixture).
-TXD_START = "2000-07-31"
+TXD_WEEKS = 53  # weeks of history of the dense view, the last one included
 
 
 class Tables:
@@ -70,12 +70,13 @@ def tx(t: Tables) -> DataFrame:
     )
 
 
-def txd(t: Tables) -> DataFrame:
-    """TXD: TX at brand grain over the last 53 weeks (dense repeat purchases)."""
+def txd(t: Tables, weeks: int = TXD_WEEKS) -> DataFrame:
+    """TXD: TX at brand grain over the last ``weeks`` weeks, counted back from
+    the latest order (dense repeat purchases)."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").filter(
-        F.col("o_orderdate") >= F.lit(TXD_START).cast("timestamp_ntz")
-    )
+    last = t.orders.agg(F.max("o_orderdate").cast("string").alias("d")).first().d
+    start = F.date_trunc("week", F.lit(last).cast("timestamp_ntz")) - F.expr(f"INTERVAL {7 * (weeks - 1)} DAYS")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").filter(F.col("o_orderdate") >= start.cast("timestamp_ntz"))
     p = t.part.select("p_partkey", "p_brand")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return j.select(
