@@ -58,12 +58,12 @@ def plain_text(page: Column) -> Column:
     t = F.regexp_replace(page, r"(?s)<!--.*?(?:-->|\z)", " ")
     for tag in DROPPED:
         t = F.regexp_replace(t, rf"(?is)<{tag}\b.*?(?:</{tag}\s*>|\z)", " ")
-    t = F.regexp_replace(t, r"[\x20\t\r\n\f]+", " ")
+    t = F.regexp_replace(t, r"[\x20\t\r\n\f]{2,}|[\t\r\n\f]", " ")  # lone blanks stay as they are
     t = F.regexp_replace(t, rf"(?i)</?(?:{LINE_TAGS.replace(' ', '|')})\b[^>]*>", "\n")
     t = F.regexp_replace(t, r"<[A-Za-z/!][^>]*>", "")
     for name, char in REFERENCES:
         t = F.replace(t, F.lit(name), F.lit(char))
-    t = F.regexp_replace(t, r"\x20+", " ")
+    t = F.regexp_replace(t, r"\x20{2,}", " ")
     return F.regexp_replace(F.regexp_replace(t, r"\x20?\n[\x20\n]*", "\n"), r"^[\x20\n]+|[\x20\n]+\z", "")
 
 
