@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.prefix import running_sums
 from cartwheel.operators.models import assemble
-from cartwheel.operators.splits import sample_n
 
 
 # X1
@@ -75,16 +74,14 @@ def permutation_importance(model, df: DataFrame, cols: Sequence[str], label: str
 
 
 # X3
-def pdp(model, df: DataFrame, cols: Sequence[str], col: str, grid: int = 30, sample: int = 1000,
-        id_col: str = "id", seed: int = 7) -> DataFrame:
-    """Partial dependence: mean P(1) over a sample with ``col`` set to each of
+def pdp(model, df: DataFrame, cols: Sequence[str], col: str, grid: int = 30) -> DataFrame:
+    """Partial dependence: mean P(1) over all rows with ``col`` set to each of
     ``grid`` evenly spaced values between its 5th and 95th percentiles."""
-    s = sample_n(df, sample, seed, id_col)
     from cartwheel.functions.quantiles import quantile_row
     q = quantile_row(df, [col], [0.05, 0.95]).select(F.col(f"_q_{col}")[0].alias("lo"), F.col(f"_q_{col}")[1].alias("hi"))
     pts = q.select(F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"), "lo", "hi").select(
         "g", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("g") / (grid - 1)).alias("value"))
-    j = s.crossJoin(F.broadcast(pts)).withColumn(col, F.col("value"))
+    j = df.crossJoin(F.broadcast(pts)).withColumn(col, F.col("value"))  # grid points are a parameter
     return _proba(model, j, cols).groupBy("g", "value").agg(F.avg("score").alias("mean_proba"))
 
 

@@ -95,6 +95,7 @@ def pr_curve(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
     P = df.agg(F.count_if(F.col(y) == 1).alias("_P"))
     j = c.crossJoin(F.broadcast(P))
     return j.select(
+        "_P",
         F.col("score").alias("threshold"),
         (F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))).alias("precision"),
         F.when(F.col("_P") > 0, F.col("pos_cum") / F.col("_P")).alias("recall"),
@@ -106,9 +107,7 @@ def pr_curve(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
 def average_precision(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
     """Σ (R_i − R_{i−1}) · P_i over distinct thresholds (stepwise, no interpolation)."""
     c = pr_curve(df, score, y)
-    P = df.agg(F.count_if(F.col(y) == 1).alias("_P"))
-    t = c.crossJoin(F.broadcast(P)).agg(F.sum(F.col("_pos") / F.col("_P") * F.col("precision")).alias("ap"),
-                                        F.max("_P").alias("_P"))
+    t = c.agg(F.sum(F.when(F.col("_P") > 0, F.col("_pos") / F.col("_P") * F.col("precision"))).alias("ap"), F.max("_P").alias("_P"))
     return t.select(F.when(F.col("_P") > 0, F.round("ap", 6)).alias("average_precision"))
 
 

@@ -166,8 +166,10 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, wide_tails
 def constant_columns(df: DataFrame) -> DataFrame:
     """Columns with at most one distinct value, null counted as a value."""
     cols = df.columns
+    # two values at most matter, and the smallest and the largest show them
     row = df.agg(*[
-        (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in cols
+        (F.when(F.min(c).isNull(), 0).when(F.min(c) == F.max(c), 1).otherwise(2)
+         + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in cols
     ])
     long = row.unpivot([], cols, "column", "n_values")
     return long.filter(F.coalesce(F.col("n_values"), F.lit(0)) <= 1).select("column")

@@ -86,14 +86,14 @@ def build_context(ranked: DataFrame, texts: DataFrame, q_id: str = "query_id", c
 
 # V5
 def retrieval_grid(docs: DataFrame, queries: DataFrame, sizes: Sequence[int] = (500, 1000, 2000),
-                   ks: Sequence[int] = (1, 3, 5, 10), overlap_share: float = 0.2, id_col: str = "doc_id") -> DataFrame:
+                   ks: Sequence[int] = (1, 3, 5, 10), overlap: int = 200, id_col: str = "doc_id") -> DataFrame:
     """Keyword retrieval for every (chunk size, k): per configuration the number
     of retrieved chunks, queries answered and mean shared-token score.  One
     chunking and one scoring per size; the k values reuse that ranking."""
     kmax = max(ks)
     parts = []
     for size in sizes:
-        ch = chunk(docs, id_col, size=size, overlap=int(size * overlap_share))
+        ch = chunk(docs, id_col, size=size, overlap=overlap)
         ch = ch.withColumn("chunk_id", F.concat_ws(":", F.col(id_col).cast("string"), F.lpad(F.col("chunk_no").cast("string"), 6, "0")))
         top = keyword_topk(queries, ch, kmax)
         for k in ks:

@@ -3,6 +3,8 @@ aggregations (A*) over the fixture views."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as P
@@ -126,8 +128,12 @@ RUNS_SQL = """runs AS (
 
 @query("s12_log_run", f"""WITH {RUNS_SQL} SELECT run_name, valid_f1, CAST(n AS DOUBLE) AS n FROM runs""", ("clf",))
 def q_s12(t):
-    path = shared_path(t.spark, "s12_runs")
-    _runs(t).write.mode("overwrite").parquet(path)
+    path = shared_path(t.spark, f"s12_runs_{uuid.uuid4().hex}")
+    runs = _runs(t)
+    first = runs.agg(F.min("run_name").alias("_first"))
+    for later in (False, True):  # two appends to one table
+        part = runs.crossJoin(F.broadcast(first)).where((F.col("run_name") > F.col("_first")) == later).drop("_first")
+        io.log_run(part, path)
     r = t.spark.read.parquet(path)
     return r.select("run_name", F.col("metrics")["valid_f1"].alias("valid_f1"), F.col("metrics")["n"].alias("n"))
 
@@ -387,7 +393,9 @@ def q_c9(t):
     return quality.numeric_summary(V.numn(t), NUMN_COLS, wide_tails=True)
 
 
-@query("c10_constant_columns", "SELECT 'bought' AS \"column\"", ("ev",))
+@query("c10_constant_columns", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column" FROM ev HAVING count(DISTINCT {c}) + coalesce(max(CAST({c} IS NULL AS INTEGER)), 0) <= 1"""
+    for c in ["event_id", "customer_id", "product_id", "period", "value", "bought"]), ("ev",))
 def q_c10(t):
     return quality.constant_columns(V.ev(t).drop("ts"))
 
@@ -517,23 +525,22 @@ def q_a14c(t):
     return aggs.histogram(t.lineitem, "l_extendedprice", bins=20, clip=(0.01, 0.99))
 
 
-EMB3 = """e3 AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1,
-  CAST(embedding[3] AS DOUBLE) AS e2 FROM embeddings)"""
+EMB_LONG = """l AS (SELECT label, 'e' || (pos - 1) AS variable, CAST(e AS DOUBLE) AS value FROM (
+  SELECT label, unnest(embedding) AS e, unnest(generate_series(1, len(embedding))) AS pos FROM embeddings))"""
 
 
-def _emb3(t):
-    e = t.embeddings
-    return e.select("label", *[e.embedding[i].cast("double").alias(f"e{i}") for i in range(3)])
+def _by_label(wide):
+    return wide[0], "label", wide[1]
 
 
-@query("a16_cluster_profile", f"""WITH {EMB3}, l AS (SELECT * FROM e3 UNPIVOT (value FOR variable IN (e0, e1, e2)))
+@query("a16_cluster_profile", f"""WITH {EMB_LONG}
 SELECT label, variable, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, count(value) AS count
 FROM l GROUP BY 1, 2""")
 def q_a16(t):
-    return aggs.cluster_profile(_emb3(t), "label", ["e0", "e1", "e2"])
+    return aggs.cluster_profile(*_by_label(V.emb_wide(t, "label")))
 
 
-ES_SQL = f"""{EMB3}, l AS (SELECT * FROM e3 UNPIVOT (value FOR variable IN (e0, e1, e2))),
+ES_SQL = f"""{EMB_LONG},
 g AS (SELECT variable, avg(value) AS gm, stddev_pop(value) AS gs FROM l GROUP BY 1),
 es AS (SELECT label, l.variable, round(CASE WHEN gs > 0 THEN (avg(value) - any_value(gm)) / any_value(gs) END, 6) AS effect
        FROM l JOIN g ON l.variable = g.variable GROUP BY label, l.variable, gs)"""
@@ -541,7 +548,7 @@ es AS (SELECT label, l.variable, round(CASE WHEN gs > 0 THEN (avg(value) - any_v
 
 @query("a17_effect_size", f"WITH {ES_SQL} SELECT * FROM es")
 def q_a17(t):
-    return aggs.effect_size(_emb3(t), "label", ["e0", "e1", "e2"])
+    return aggs.effect_size(*_by_label(V.emb_wide(t, "label")))
 
 
 @query("a18_describe_cluster", f"""WITH {ES_SQL},
@@ -553,4 +560,4 @@ h AS (SELECT label, string_agg(variable, ', ' ORDER BY effect DESC, variable) FI
 SELECT label, coalesce(NULLIF(concat_ws('; ', CASE WHEN hi IS NOT NULL THEN 'high: ' || hi END,
                                           CASE WHEN lo IS NOT NULL THEN 'low: ' || lo END), ''), 'balanced') AS description FROM h""")
 def q_a18(t):
-    return aggs.standout_means(aggs.effect_size(_emb3(t), "label", ["e0", "e1", "e2"]), "label")
+    return aggs.standout_means(aggs.effect_size(*_by_label(V.emb_wide(t, "label"))), "label")

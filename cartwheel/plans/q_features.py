@@ -199,13 +199,11 @@ def q_j7(t):
     return joins.attach_features(r.select("customer_id", "invoice", "quantity"), per)
 
 
-@query("j8_epsilon_join", """WITH p AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)
+@query("j8_epsilon_join", f"""WITH p AS ({V.EMB_PLANE_SQL})
 SELECT a.id AS i, b.id AS j, round(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)), 6) AS dist
 FROM p a JOIN p b ON sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 0.05""")
 def q_j8(t):
-    p = t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("x"),
-                            F.col("embedding")[1].cast("double").alias("y"))
-    return joins.epsilon_join(p, 0.05).withColumn("dist", F.round("dist", 6))
+    return joins.epsilon_join(V.emb_plane(t), 0.05).withColumn("dist", F.round("dist", 6))
 
 
 # ------------------------------------------------------------------ set operations

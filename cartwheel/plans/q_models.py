@@ -6,6 +6,8 @@ pytest invariants); everything derived deterministically carries a twin."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -37,11 +39,6 @@ def _multi(t):
     return prep.with_weight_col(e, "label")
 
 
-def _emb2(t):
-    e = t.embeddings
-    return e.select(F.col("vec_id").alias("id"), e.embedding[0].cast("double").alias("x"), e.embedding[1].cast("double").alias("y"))
-
-
 # ------------------------------------------------------------------ M1-M4, M17, M18
 
 @query("m1_fit_logreg")
@@ -115,16 +112,15 @@ def q_f11(t):
 
 @query("f15_pca")
 def q_f15(t):
-    e = t.embeddings
-    d = e.select("vec_id", *[e.embedding[i].cast("double").alias(f"e{i}") for i in range(8)])
-    out, _ = prep.pca(d, [f"e{i}" for i in range(8)], k=3)
+    d, cols = V.emb_wide(t, "vec_id")
+    out, _ = prep.pca(d, cols, k=3)
     return out.select("vec_id", vector_to_array("pca").alias("pca"))
 
 
 @query("s14_save_load_model")
 def q_s14(t):
     m, c = _pipeline_model(t)
-    path = shared_path(t.spark, "s14_model")
+    path = shared_path(t.spark, f"s14_model_{uuid.uuid4().hex}")
     M.save_model(m, path, {"features": ",".join(CLF4), "kind": "logreg"}, t.spark)
     loaded, meta = M.load_model(path, t.spark)
     return M.score(c, loaded, ["doc_id"]).crossJoin(F.broadcast(meta.filter(F.col("key") == "kind").select(F.col("value").alias("kind"))))
@@ -133,7 +129,7 @@ def q_s14(t):
 @query("s15_materialize_matrix")
 def q_s15(t):
     tr, _ = _clf_split(t)
-    path = shared_path(t.spark, "s15_train_matrix")
+    path = shared_path(t.spark, f"s15_train_matrix_{uuid.uuid4().hex}")
     return io.materialize_matrix(tr.select("doc_id", "label", vector_to_array("features").alias("x")), path)
 
 
@@ -209,18 +205,18 @@ def q_m10(t):
 
 @query("m11_gmm_select")
 def q_m11(t):
-    return M.gmm_select(M.assemble(_emb2(t), ["x", "y"]), [3, 4, 5])
+    return M.gmm_select(M.assemble(V.emb_plane(t), ["x", "y"]), [3, 4, 5])
 
 
 @query("m12_membership")
 def q_m12(t):
     from pyspark.ml.clustering import GaussianMixture
-    d = M.assemble(_emb2(t), ["x", "y"])
+    d = M.assemble(V.emb_plane(t), ["x", "y"])
     pred = GaussianMixture(k=3, seed=7).fit(d).transform(d)
     return M.membership(pred).select("id", "prediction", F.round("max_posterior", 6).alias("max_posterior"), "membership")
 
 
-@query("m13_dbscan", """WITH p AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+@query("m13_dbscan", f"""WITH p AS ({V.EMB_PLANE_SQL}),
 nb AS (SELECT a.id AS i, b.id AS j FROM p a JOIN p b ON sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 0.05),
 deg AS (SELECT i, count(*) AS n FROM nb GROUP BY i), core AS (SELECT i FROM deg WHERE n >= 4)
 SELECT p.id, coalesce(d.n, 0) AS n_neighbors,
@@ -228,12 +224,12 @@ SELECT p.id, coalesce(d.n, 0) AS n_neighbors,
        WHEN EXISTS (SELECT 1 FROM nb WHERE nb.i = p.id AND nb.j IN (SELECT i FROM core)) THEN 'border' ELSE 'noise' END AS kind
 FROM p LEFT JOIN deg d ON d.i = p.id""")
 def q_m13(t):
-    return M.dbscan(_emb2(t), 0.05, 4).select("id", "n_neighbors", "kind")
+    return M.dbscan(V.emb_plane(t), 0.05, 4).select("id", "n_neighbors", "kind")
 
 
 @query("m13_dbscan_clusters")
 def q_m13c(t):
-    return M.dbscan(_emb2(t), 0.05, 4)
+    return M.dbscan(V.emb_plane(t), 0.05, 4)
 
 
 @query("m14_silhouette")
@@ -244,9 +240,8 @@ def q_m14(t):
 
 @query("m15_isolation_forest")
 def q_m15(t):
-    e = t.embeddings
-    d = e.select("vec_id", *[e.embedding[i].cast("double").alias(f"e{i}") for i in range(4)])
-    return M.isolation_forest(d, "vec_id", [f"e{i}" for i in range(4)], n_trees=50, sample_size=128)
+    d, cols = V.emb_wide(t, "vec_id")
+    return M.isolation_forest(d, "vec_id", cols, n_trees=50, sample_size=128).select("vec_id", "anomaly_score", "anomaly")
 
 
 @query("m16_proxy_eval", """WITH d AS (SELECT l_quantity * l_discount AS s, l_extendedprice AS v FROM lineitem),
@@ -288,7 +283,7 @@ def q_x2(t):
 @query("x3_pdp")
 def q_x3(t):
     m, tr, _ = _lr_model(t)
-    return X.pdp(m, tr.drop("features"), CLF4, "distinct_share", grid=10, sample=200, id_col="doc_id")
+    return X.pdp(m, tr.drop("features"), CLF4, "distinct_share", grid=10)
 
 
 @query("x4_shapley_sampled")
@@ -444,7 +439,7 @@ def q_d5(t):
     from cartwheel.plans import weekly as W
     c = V.clf(t).withColumn("label", F.col("quality").cast("double"))
     half = V.md5_bucket(F.col("doc_id"), 1, 2) == 0
-    path = W.model_dir(t.spark, f"d5_{id(t)}")
+    path = W.model_dir(t.spark, f"d5_{uuid.uuid4().hex}")
     rows = []
     # first call: nothing saved → retrain; second call on the same halves: reuse or retrain by the gate
     for _ in range(2):
@@ -457,7 +452,7 @@ def q_d5(t):
 def q_d7(t):
     from cartwheel.plans import weekly as W
     tx, cust, prod = _weekly_inputs(t)
-    ranking, _, _ = W.weekly_run(tx, cust, prod, W.model_dir(t.spark, f"d7_{id(t)}"), k=10)
+    ranking, _, _ = W.weekly_run(tx, cust, prod, W.model_dir(t.spark, f"d7_{uuid.uuid4().hex}"), k=10)
     return ranking
 
 
@@ -465,4 +460,4 @@ def q_d7(t):
 def q_d8(t):
     from cartwheel.plans import weekly as W
     tx, cust, prod = _weekly_inputs(t)
-    return W.score_week(tx, cust, prod, "2001-06-25", 26, W.model_dir(t.spark, f"d8_{id(t)}"), k=10)
+    return W.score_week(tx, cust, prod, "2001-06-25", 26, W.model_dir(t.spark, f"d8_{uuid.uuid4().hex}"), k=10)

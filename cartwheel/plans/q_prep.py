@@ -47,14 +47,16 @@ def q_f3(t):
     return prep.impute(d, ["l_quantity"], "mode")
 
 
+# the distance is taken on a projection of all dimensions but the target's
 EMBN = """e AS (SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN NULL ELSE CAST(embedding[1] AS DOUBLE) END AS e0,
-  CAST(embedding[2] AS DOUBLE) AS e1, CAST(embedding[3] AS DOUBLE) AS e2 FROM embeddings)"""
+  {} AS e1, {} AS e2 FROM embeddings)""".format(*V.plane_sql("embedding[2:]"))
 
 
 def _embn(t):
     e = t.embeddings
-    return e.select("vec_id", F.when(F.col("vec_id") % 5 == 0, F.lit(None)).otherwise(e.embedding[0].cast("double")).alias("e0"),
-                    e.embedding[1].cast("double").alias("e1"), e.embedding[2].cast("double").alias("e2"))
+    x, y = V.plane(F.slice("embedding", F.lit(2), F.greatest(F.size("embedding") - 1, F.lit(0))))
+    return e.select("vec_id", F.when(F.col("vec_id") % 5 == 0, F.lit(None)).otherwise(F.get("embedding", F.lit(0)).cast("double")).alias("e0"),
+                    x.alias("e1"), y.alias("e2"))
 
 
 @query("f4_impute_knn", f"""WITH {EMBN},
@@ -63,10 +65,10 @@ c AS (SELECT n.vec_id, d.vec_id AS did, d.e0 AS dv, sqrt(pow(n.e1 - d.e1, 2) + p
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, did) AS r FROM c) WHERE r <= 5),
 f AS (SELECT vec_id, sum(dv / greatest(dist, 1e-12)) / sum(1 / greatest(dist, 1e-12)) AS fill, max(CASE WHEN dist = 0 THEN dv END) AS ex
       FROM top GROUP BY 1)
-SELECT e.vec_id, round(coalesce(e.e0, f.ex, f.fill), 6) AS e0, e1, e2 FROM e LEFT JOIN f ON e.vec_id = f.vec_id""")
+SELECT e.vec_id, round(coalesce(e.e0, f.ex, f.fill), 6) AS e0, round(e1, 6) AS e1, round(e2, 6) AS e2 FROM e LEFT JOIN f ON e.vec_id = f.vec_id""")
 def q_f4(t):
     o = prep.impute_knn(_embn(t), "vec_id", "e0", ["e1", "e2"], k=5)
-    return o.select("vec_id", F.round("e0", 6).alias("e0"), "e1", "e2")
+    return o.select("vec_id", *[F.round(c, 6).alias(c) for c in ("e0", "e1", "e2")])
 
 
 @query("f5_min_max", """SELECT round((l_quantity - min(l_quantity) OVER ()) / (max(l_quantity) OVER () - min(l_quantity) OVER ()), 6) AS l_quantity,

@@ -10,9 +10,12 @@ from cartwheel.sources import tables as V
 from cartwheel.streaming import batches as S
 
 
-def _landed(t, name):
+def _landed(t, name, spoilt=None):
     d = S.fresh_run_dirs(t.spark, name)
-    ev = V.ev(t).select("event_id", "customer_id", "product_id", "ts", "value", "bought")
+    ev = V.ev(t)
+    if spoilt is not None:  # rows that validation must reject
+        ev = ev.withColumn("customer_id", F.when(~spoilt, F.col("customer_id")))
+    ev = ev.select("event_id", "customer_id", "product_id", "ts", "value", "bought")
     S.land_weekly_files(ev, d["landing"])
     return d
 
@@ -20,10 +23,10 @@ def _landed(t, name):
 EVW = "evw AS (SELECT *, CAST(date_trunc('week', ts) AS DATE) AS week FROM ev)"
 
 
-@query("r1_ingest_batches", f"""WITH {EVW} SELECT week, count(*) AS rows, count(*) AS valid, CAST(0 AS BIGINT) AS rejected
-FROM evw GROUP BY week""", ("ev",))
+@query("r1_ingest_batches", f"""WITH {EVW} SELECT week, count(*) AS rows, count(*) FILTER (WHERE event_id % 97 <> 0) AS valid,
+  count(*) FILTER (WHERE event_id % 97 = 0) AS rejected FROM evw GROUP BY week""", ("ev",))
 def q_r1(t):
-    d = _landed(t, "r1")
+    d = _landed(t, "r1", F.col("event_id") % 97 == 0)
     return S.ingest_batches(t.spark, d["landing"], d["sink"], d["ckpt"]).drop("batch")
 
 

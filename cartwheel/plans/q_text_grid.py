@@ -92,7 +92,7 @@ def _grid_sql():
     parts = []
     for size in (500, 1000, 2000):
         for k in (1, 3, 5, 10):
-            body = _kw_sql(10, size=size, step=int(size * 0.8))
+            body = _kw_sql(10, size=size, step=size - 200)
             parts.append(f"""SELECT {size} AS chunk_size, {k} AS k, 'keyword' AS search, count(*) AS n_retrieved,
   count(DISTINCT query_id) AS n_queries, round(avg(score), 6) AS mean_score FROM (WITH {body} SELECT * FROM ranked) WHERE rank <= {k}""")
     return "\nUNION ALL ".join(parts)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,8 +47,9 @@ def choose_model(train: DataFrame, ref: DataFrame, new: DataFrame, model_path: s
     saved = None
     try:
         saved = LogisticRegressionModel.load(model_path)
-    except Exception:  # noqa: BLE001 - no saved model yet
-        saved = None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     if saved is not None and gate["decision"] == "skip":
         return Choice("reuse", f"rate change {gate['rel_change']} below {threshold}", saved)
     try:

@@ -207,6 +207,39 @@ def emb(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", "embedding", "label")
 
 
+def emb_wide(t: Tables, *keep: str) -> tuple[DataFrame, list[str]]:
+    """Every dimension of the vectors as a column e0, e1, …, and their names."""
+    dims = t.embeddings.agg(F.max(F.size("embedding")).alias("n")).first()["n"] or 0
+    cols = [f"e{i}" for i in range(dims)]
+    return t.embeddings.select(*keep, *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)]), cols
+
+
+def plane(vector: Column) -> list[Column]:
+    """A fixed projection of a vector to two numbers: the sums of its even and
+    of its odd positions, each over the root of their number."""
+    def half(r):
+        own = F.filter(vector, lambda v, i: i % 2 == r)
+        return F.aggregate(own, F.lit(0.0), lambda s, v: s + v.cast("double")) / F.sqrt(F.size(own))
+    return [half(0), half(1)]
+
+
+def plane_sql(vector: str) -> list[str]:
+    """The same projection for the oracles."""
+    out = []
+    for r in (1, 0):  # list positions count from one
+        own = f"list_transform(list_filter({vector}, lambda v, i: i % 2 = {r}), lambda v: CAST(v AS DOUBLE))"
+        out.append(f"list_sum({own}) / sqrt(len({own}))")
+    return out
+
+
+def emb_plane(t: Tables) -> DataFrame:
+    x, y = plane(F.col("embedding"))
+    return t.embeddings.select(F.col("vec_id").alias("id"), x.alias("x"), y.alias("y"))
+
+
+EMB_PLANE_SQL = "SELECT vec_id AS id, {} AS x, {} AS y FROM embeddings".format(*plane_sql("embedding"))
+
+
 def grid(t: Tables) -> DataFrame:
     """GRID: each 64-float embedding as an 8×8 frame scaled to 0..255."""
     e = t.embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "e"))

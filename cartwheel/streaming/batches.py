@@ -21,21 +21,21 @@ from cartwheel.functions.scalars import week_start
 from cartwheel.session import shared_path
 
 EVENT_SCHEMA = ("event_id long, customer_id long, product_id string, ts timestamp_ntz, value double, "
-                "bought int, week date, resent boolean")
+                "bought int, week date")
 
 
 def land_weekly_files(events: DataFrame, path: str, resend_days: int = 1) -> list[str]:
     """Write the event view as one file per week, in week order; each file
     also re-sends the previous week's last ``resend_days`` days (at-least-once
     delivery) so de-duplication has work to do.  Returns the week list."""
-    e = events.withColumn("week", week_start(F.col("ts"))).withColumn("resent", F.lit(False))
+    e = events.withColumn("week", week_start(F.col("ts")))
     weeks = [r[0] for r in e.select("week").distinct().orderBy("week").collect()]  # one row per week
     prev = None
     for w in weeks:
         cur = e.filter(F.col("week") == w)
         if prev is not None and resend_days > 0:
             tail = e.filter((F.col("week") == prev) & (F.to_date("ts") >= F.date_sub(F.lit(w), resend_days)))
-            cur = cur.unionByName(tail.withColumn("resent", F.lit(True)))
+            cur = cur.unionByName(tail)
         cur.select(*[c.split()[0] for c in EVENT_SCHEMA.split(", ")]).coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/week={w}")
         prev = w
@@ -47,6 +47,14 @@ def _stream(spark: SparkSession, path: str) -> DataFrame:
             .option("recursiveFileLookup", "true").parquet(path))
 
 
+def _fresh(spark: SparkSession, path: str, delay: str = "8 days") -> DataFrame:
+    """The stream without re-sent events, which arrive under the same id; the
+    watermark bounds the ids that are kept."""
+    # watermarks need zone-aware event time; the session zone is UTC
+    return (_stream(spark, path).withColumn("et", F.col("ts").cast("timestamp")).withWatermark("et", delay)
+            .dropDuplicatesWithinWatermark(["event_id"]))
+
+
 def _run(query_builder, ckpt: str):
     q = query_builder.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -60,12 +68,13 @@ def ingest_batches(spark: SparkSession, landing: str, sink: str, ckpt: str) -> D
     (week, rows, valid, rejected) per batch."""
     def per_batch(df: DataFrame, batch_id: int):
         ok = df.customer_id.isNotNull() & df.product_id.isNotNull() & df.ts.isNotNull() & df.value.isNotNull()
-        fresh = df.filter(~F.col("resent"))
-        fresh.filter(ok).drop("resent").write.mode("overwrite").parquet(f"{sink}/rows/batch={batch_id}")
-        fresh.groupBy("week").agg(F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("valid"),
+        df = df.drop("et").persist()  # a stateful result is made once for both writes
+        df.filter(ok).write.mode("overwrite").parquet(f"{sink}/rows/batch={batch_id}")
+        df.groupBy("week").agg(F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("valid"),
                                   F.count_if(~ok).alias("rejected")) \
             .write.mode("overwrite").parquet(f"{sink}/metrics/batch={batch_id}")
-    _run(_stream(spark, landing).writeStream.foreachBatch(per_batch), ckpt)
+        df.unpersist()
+    _run(_fresh(spark, landing).writeStream.foreachBatch(per_batch), ckpt)
     return spark.read.parquet(f"{sink}/metrics")
 
 
@@ -74,8 +83,7 @@ def stream_weekly_activity(spark: SparkSession, landing: str, sink: str, ckpt: s
     """A1 over the stream: Monday-aligned 7-day tumbling windows per
     (customer, product) with a watermark; update mode, each batch's changed
     windows appended under its batch id, the latest version per key wins."""
-    # watermarks need zone-aware event time; the session zone is UTC
-    s = _stream(spark, landing).filter(~F.col("resent")).withColumn("et", F.col("ts").cast("timestamp")).withWatermark("et", delay)
+    s = _fresh(spark, landing, delay)
     agg = s.groupBy(F.window("et", "7 days", "7 days", "4 days").alias("w"), "customer_id", "product_id").agg(
         F.count(F.lit(1)).alias("num_tx"))
 
@@ -91,10 +99,9 @@ def stream_weekly_activity(spark: SparkSession, landing: str, sink: str, ckpt: s
 # R3
 def stream_dedupe(spark: SparkSession, landing: str, sink: str, ckpt: str, delay: str = "8 days") -> DataFrame:
     """Re-delivered events dropped across batches (state bounded by the watermark)."""
-    s = (_stream(spark, landing).withColumn("et", F.col("ts").cast("timestamp")).withWatermark("et", delay)
-         .dropDuplicatesWithinWatermark(["event_id"]))
-    _run(s.drop("resent", "et").writeStream.format("parquet").option("path", sink), ckpt)
-    return spark.read.schema(EVENT_SCHEMA.replace(", resent boolean", "")).parquet(sink)
+    s = _fresh(spark, landing, delay)
+    _run(s.drop("et").writeStream.format("parquet").option("path", sink), ckpt)
+    return spark.read.schema(EVENT_SCHEMA).parquet(sink)
 
 
 # R4
@@ -115,7 +122,7 @@ def stream_recency(spark: SparkSession, landing: str, sink: str, ckpt: str) -> D
         state.update((last, n))
         yield pd.DataFrame({"customer_id": [key[0]], "product_id": [key[1]], "last_period": [last], "n_events": [n]})
 
-    s = _stream(spark, landing).filter(~F.col("resent")).select("customer_id", "product_id", "ts")
+    s = _fresh(spark, landing).select("customer_id", "product_id", "ts")
     out = s.groupBy("customer_id", "product_id").applyInPandasWithState(
         update, STATE_OUT, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
@@ -134,14 +141,13 @@ def stream_drift(spark: SparkSession, landing: str, sink: str, ckpt: str, ref: D
     ref_rate = ref.agg(F.avg(label_expr.cast("double")).alias("ref_rate"))
 
     def per_batch(df: DataFrame, batch_id: int):
-        fresh = df.filter(~F.col("resent"))
-        new = fresh.groupBy("week").agg(F.avg(label_expr.cast("double")).alias("new_rate"))
+        new = df.groupBy("week").agg(F.avg(label_expr.cast("double")).alias("new_rate"))
         rel = F.abs(F.col("new_rate") - F.col("ref_rate")) / F.greatest(F.col("ref_rate"), F.lit(1e-6))
         new.crossJoin(F.broadcast(ref_rate)).select(
             "week", F.round("ref_rate", 6).alias("ref_rate"), F.round("new_rate", 6).alias("new_rate"),
             F.round(rel, 6).alias("rel_change"), F.when(rel >= threshold, "retrain").otherwise("skip").alias("decision")
         ).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-    _run(_stream(spark, landing).writeStream.foreachBatch(per_batch), ckpt)
+    _run(_fresh(spark, landing).writeStream.foreachBatch(per_batch), ckpt)
     return spark.read.parquet(sink).drop("batch")
 
 

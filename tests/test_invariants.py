@@ -249,3 +249,34 @@ def test_leading_decimal_mark(spark):
     from cartwheel.functions import scalars
     rows = spark.createDataFrame([(".5 l",), (",5 l",), ("2,5 L",), ("n/a",), (None,)], "s string")
     assert [r.v for r in rows.select(scalars.parse_liters("s").alias("v")).collect()] == [0.5, 0.5, 2.5, None, None]
+
+
+def test_knn_far_rows_and_missing_features(spark):
+    near = [(i, float(i % 10), float(i % 7), float(i)) for i in range(60)]
+    data = near + [(100, 5000.0, 1.0, None), (101, None, 3.0, None), (102, 4.0, None, None), (103, None, None, None), (104, 2.5, 2.5, None),
+                   (105, None, 6.5, 7.0)]
+    df = spark.createDataFrame(data, "id long, a double, b double, t double")
+    got = {r["id"]: r["t"] for r in prep.impute_knn(df, "id", "t", ["a", "b"], k=3).collect()}
+    donors = [r for r in data if r[3] is not None]
+
+    def brute(a, b):
+        far = []
+        for i, x, y, v in donors:
+            part = [(p - q) ** 2 for p, q in ((a, x), (b, y)) if p is not None and q is not None]
+            if part:
+                far.append(((sum(part) * 2 / len(part)) ** 0.5, i, v))
+        far = sorted(far)[:3]
+        if not far:
+            return sum(r[3] for r in donors) / len(donors)
+        same = [v for d, _, v in far if d == 0]
+        w = [1 / max(d, 1e-12) for d, _, _ in far]
+        return max(same) if same else sum(x * r[2] for x, r in zip(w, far)) / sum(w)
+
+    for i, a, b, v in data:
+        assert got[i] == pytest.approx(v if v is not None else brute(a, b)), i
+    assert prep.impute_knn(df.where("t is null"), "id", "t", ["a", "b"]).where("t is not null").isEmpty()
+
+
+def test_constant_columns_counts_null_as_a_value(spark):
+    df = spark.createDataFrame([(1, None, "x", None), (1, None, "x", 2)], "a int, b int, c string, d int")
+    assert sorted(r["column"] for r in quality.constant_columns(df).collect()) == ["a", "b", "c"]
