@@ -125,8 +125,9 @@ def impute_knn(df: DataFrame, id_col: str, target: str, features: Sequence[str],
 
     Expanding ring search on cells of the first feature (about a thousand donors
     to a cell): in round R = 1, 2, 4, … a row meets the donors in the cells
-    within ±R, those beyond are at least R cell widths away.  A row is done when
-    its k-th distance is at most that, or when its ring covers all donor cells.
+    within ±R of its own (of the nearest donor cell, if it lies outside them);
+    those beyond are at least as far as the ring's edge.  A row is done when its
+    k-th distance is at most that, or when its ring covers all donor cells.
     Donors without the first feature sit in one extra cell that every ring
     holds; rows without it see all cells at once.  Rounds end when no row is
     left, which the doubling reaches for any distance."""
@@ -146,7 +147,8 @@ def impute_knn(df: DataFrame, id_col: str, target: str, features: Sequence[str],
     donors = df.filter(F.col(target).isNotNull()).select(
         F.col(id_col).alias("_did"), *[F.col(c).alias(f"_d_{c}") for c in features], F.col(target).alias("_dv"),
         F.coalesce(at, F.lit(extra)).alias("_cell"))
-    todo = df.filter(F.col(target).isNull()).select(id_col, *features).withColumn("_c0", at)
+    todo = df.filter(F.col(target).isNull()).select(id_col, *features).withColumn(
+        "_c0", F.when(at.isNotNull(), F.greatest(F.least(at, F.lit(hi)), F.lit(lo))))
     parts = [F.pow(F.col(c) - F.col(f"_d_{c}"), 2) for c in features]
     both = sum((x.isNotNull().cast("int") for x in parts[1:]), parts[0].isNotNull().cast("int"))
     d2 = sum((F.coalesce(x, F.lit(0.0)) for x in parts[1:]), F.coalesce(parts[0], F.lit(0.0))) * (F.lit(len(parts)) / both)
@@ -157,17 +159,17 @@ def impute_knn(df: DataFrame, id_col: str, target: str, features: Sequence[str],
     while True:
         first = F.greatest(F.coalesce(F.col("_c0") - radius, F.lit(lo)), F.lit(lo))
         last = F.least(F.coalesce(F.col("_c0") + radius, F.lit(hi)), F.lit(hi))
-        ring = todo.withColumn("_all", (first <= lo) & (last >= hi))
-        cells = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-        probe = ring.select("*", F.explode(F.array_append(cells, F.lit(extra))).alias("_cell"))
+        edge = F.least(F.when(first > lo, F.col(f0) - first * cell), F.when(last < hi, (last + 1) * cell - F.col(f0)))
+        ring = todo.withColumn("_edge", edge).withColumn("_all", (first <= lo) & (last >= hi))
+        probe = ring.select("*", F.explode(F.array_append(F.sequence(first, last), F.lit(extra))).alias("_cell"))
         cand = probe.join(donors, "_cell").where(both > 0).withColumn("_dist", F.sqrt(d2))
         top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
         got = top.groupBy(id_col).agg(
             (F.sum(wt * F.col("_dv")) / F.sum(wt)).alias("_fill"), F.count(F.lit(1)).alias("_m"),
-            F.max(F.when(F.col("_dist") == 0, F.col("_dv"))).alias("_exact"), F.max("_dist").alias("_dk"), F.first("_all").alias("_all"))
-        ok = got.filter(F.col("_all") | ((F.col("_m") >= k) & (F.col("_dk") <= radius * cell))).select(id_col, "_fill", "_exact").checkpoint()
+            F.max(F.when(F.col("_dist") == 0, F.col("_dv"))).alias("_exact"), F.max("_dist").alias("_dk"), F.first("_all").alias("_all"), F.first("_edge").alias("_edge"))
+        ok = got.filter(F.col("_all") | ((F.col("_m") >= k) & (F.col("_dk") <= F.col("_edge")))).select(id_col, "_fill", "_exact").checkpoint()
         done.append(ok)
-        todo = ring.where("not _all").drop("_all").join(ok.select(id_col), id_col, "left_anti").checkpoint()
+        todo = ring.where("not _all").drop("_all", "_edge").join(ok.select(id_col), id_col, "left_anti").checkpoint()
         if todo.isEmpty():
             break
         radius *= 2
