@@ -1,14 +1,15 @@
 """Exact interpolated quantiles without gathering a column into one task.
 
 ``percentile`` (exact) merges every distinct value of a group in a single
-task; at scale that is unbounded.  Here each target rank is found by
-narrowing: the rows still in play are cut into ranges at approximate
-quantiles (plus even splits of [min, max], which guarantees progress), one
-grouped count per range locates the range holding the rank, and only that
-range stays in play.  Each round shrinks the set by ~``buckets``; a range
-with one distinct value answers directly, and ranges with ≤ ``limit`` rows
-(2M: one task sorts them in about a second) are ranked together in one job.  Only range bounds
-and counts (a few thousand numbers per round) reach the driver.
+task; at scale that is unbounded.  Here each wanted rank is found in rounds,
+for all columns at once.  A round takes approximate quantiles around the open
+ranks (one aggregate), then counts the rows below and up to each of these
+values (another aggregate).  A value with ``below <= rank < up to`` is the
+answer; otherwise the next round looks strictly between the two nearest
+values.  With the smallest and the largest value among those counted, every
+round settles a rank or shrinks its range to about 6 / ``accuracy`` of its
+rows, so the rounds grow with the logarithm of the rows.  There is one path
+for all sizes; only bounds and counts reach the driver.
 Interpolation matches ``percentile`` / ``quantile_cont``: position (n−1)·p
 between the two neighbouring ranks.
 """
@@ -18,143 +19,97 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _in_range(lo, hi):
-    c = F.lit(True)
+ACCURACY = 10_000
+
+
+class _Ranks:
+    """What is known of one column: rows, wanted ranks, counted values."""
+
+    def __init__(self, n: int, probs: Sequence[float]):
+        self.n = n
+        self.pos = [(n - 1) * p for p in probs] if n else [None for _ in probs]
+        self.open = {k for h in self.pos if h is not None for k in (math.floor(h), min(math.ceil(h), n - 1))}
+        self.counted: dict[float, tuple[int, int]] = {}  # value → rows below it, rows up to it
+        self.found: dict[int, float] = {}
+
+    def settle(self) -> None:
+        for v, (below, upto) in self.counted.items():
+            for k in [k for k in self.open if below <= k < upto]:
+                self.found[k] = v
+                self.open.discard(k)
+
+    def ranges(self) -> dict[tuple[float | None, float | None], list[int]]:
+        """Open ranks by the counted values on either side."""
+        out: dict[tuple, list[int]] = {}
+        for k in sorted(self.open):
+            lo = max((v for v, (_, upto) in self.counted.items() if upto <= k), default=None)
+            hi = min((v for v, (below, _) in self.counted.items() if below > k), default=None)
+            out.setdefault((lo, hi), []).append(k)
+        return out
+
+    def rows_between(self, lo: float | None, hi: float | None) -> int:
+        return (self.n if hi is None else self.counted[hi][0]) - (0 if lo is None else self.counted[lo][1])
+
+    def result(self) -> list[float | None]:
+        out = []
+        for h in self.pos:
+            if h is None:
+                out.append(None)
+                continue
+            a, b = self.found[math.floor(h)], self.found[min(math.ceil(h), self.n - 1)]
+            out.append(a if a == b else a + (h - math.floor(h)) * (b - a))
+        return out
+
+
+def _between(v: Column, lo: float | None, hi: float | None) -> Column:
+    inside = v
     if lo is not None:
-        c = c & (F.col("v") > F.lit(lo))
+        inside = F.when(v > F.lit(lo), inside)
     if hi is not None:
-        c = c & (F.col("v") <= F.lit(hi))
-    return c
-
-
-def _ranks_from_counts(counts: DataFrame, wanted: dict[int, list[int]]) -> dict[tuple[int, int], float]:
-    """Ranks inside small ranges from (tag, distinct value, count) rows: a
-    cumulative count per tag (each tag ≤ limit rows) and a range test."""
-    w = Window.partitionBy("_t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    c = counts.select("_t", "v", "n", F.sum("n").over(w).alias("_cum"))
-    cond = None
-    for t, ranks in wanted.items():
-        for k in ranks:
-            x = (F.col("_t") == t) & (F.col("_cum") - F.col("n") <= k) & (F.lit(k) < F.col("_cum"))
-            cond = x if cond is None else cond | x
-    out = {}
-    for r in c.filter(cond).collect():
-        for k in wanted[r["_t"]]:
-            if r["_cum"] - r["n"] <= k < r["_cum"]:
-                out[(r["_t"], k)] = r["v"]
-    return out
-
-
-def _read_tagged(tagged: DataFrame, wanted: dict[int, list[int]]) -> dict[tuple[int, int], float]:
-    """Ranks inside several small ranges at once (values collapsed to
-    distinct counts first, map-side), one job."""
-    counts = tagged.filter(F.col("_t").isin(list(wanted))).groupBy("_t", "v").agg(F.count(F.lit(1)).alias("n"))
-    return _ranks_from_counts(counts, wanted)
-
-
-def _read_ranks(part: DataFrame, ranks: list[int]) -> dict[int, float]:
-    got = _read_tagged(part.select("v", F.lit(0).alias("_t")), {0: ranks})
-    return {k: got[(0, k)] for k in ranks}
-
-
-def _kth(values: DataFrame, ks: list[int], buckets: int, limit: int, n_total: int,
-         max_rounds: int = 12) -> dict[int, float]:
-    """Exact k-th smallest (0-based) values of the single column ``v``."""
-    if n_total <= limit:
-        return _read_ranks(values, ks)
-    out: dict[int, float] = {}
-    state = {k: (None, None, 0) for k in ks}   # k → (lo exclusive, hi inclusive, rows below lo)
-    for _ in range(max_rounds):
-        if not state:
-            break
-        groups: dict[tuple, list[int]] = {}
-        for k, rng in state.items():
-            groups.setdefault(rng, []).append(k)
-        tags = list(groups)
-        tag_col = None
-        for i, (lo, hi, _) in enumerate(tags):
-            c = _in_range(lo, hi)
-            tag_col = F.when(c, F.lit(i)) if tag_col is None else tag_col.when(c, F.lit(i))
-        tagged = values.select("v", tag_col.alias("_t")).filter(F.col("_t").isNotNull())
-        probs = F.array(*[F.lit(j / buckets) for j in range(1, buckets)])
-        st = {r["_t"]: r for r in tagged.groupBy("_t").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-            F.percentile_approx("v", probs, 4 * buckets).alias("b")).collect()}
-        big, small = [], {}
-        for i, rng in enumerate(tags):
-            lo, hi, below = rng
-            s = st[i]
-            if s["mn"] == s["mx"]:
-                for k in groups[rng]:
-                    out[k] = s["mn"]
-                    del state[k]
-            elif s["n"] <= limit:
-                small[i] = [k - below for k in groups[rng]]
-            else:
-                big.append(i)
-        if small:
-            got = _read_tagged(tagged, small)
-            for i in small:
-                below = tags[i][2]
-                for k in groups[tags[i]]:
-                    out[k] = got[(i, k - below)]
-                    del state[k]
-        if not big:
-            break
-        edges = {}
-        for i in big:
-            s = st[i]
-            even = [s["mn"] + (s["mx"] - s["mn"]) * j / 64 for j in range(1, 64)]
-            edges[i] = sorted(set(float(x) for x in list(s["b"]) + even if s["mn"] <= x < s["mx"]))
-        e_map = F.create_map(*[x for i in big for x in (F.lit(i), F.array(*[F.lit(v) for v in edges[i]]))])
-        bk = F.size(F.filter(e_map[F.col("_t")], lambda e: e < F.col("v")))
-        cnt = tagged.filter(F.col("_t").isin(big)).groupBy("_t", bk.alias("_b")).agg(F.count(F.lit(1)).alias("n")).collect()
-        per: dict[int, dict[int, int]] = {}
-        for r in cnt:
-            per.setdefault(r["_t"], {})[r["_b"]] = r["n"]
-        for i in big:
-            lo, hi, below = tags[i]
-            e = edges[i]
-            for k in groups[tags[i]]:
-                c = below
-                for b in sorted(per[i]):
-                    n = per[i][b]
-                    if k < c + n:
-                        state[k] = (lo if b == 0 else e[b - 1], hi if b >= len(e) else e[b], c)
-                        break
-                    c += n
-    if state:  # pathological: read the remaining ranks from their (bounded) ranges
-        for k, (lo, hi, below) in state.items():
-            out[k] = values.filter(_in_range(lo, hi)).orderBy("v").offset(k - below).limit(1).first()["v"]
-    return out
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1024,
-                    limit: int = 2_000_000) -> tuple[int, list[float | None]]:
+        inside = F.when(v < F.lit(hi), inside)
+    return inside
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                     accuracy: int = ACCURACY) -> dict[str, tuple[int, list[float | None]]]:
+    """(n non-null, [quantile for each p]) of each of ``cols``, with linear interpolation."""
+    names = [f"v{i}" for i in range(len(cols))]
+    if not names:
+        return {}
+    rows = df.select(*[F.col(c).cast("double").alias(v) for c, v in zip(cols, names)])
+    rows = rows.select(*[F.when(~F.isnan(v), F.col(v)).alias(v) for v in names])  # nulls stay null
+    first = rows.agg(*[F.count(v).alias(v) for v in names]).first()
+    state = {v: _Ranks(first[v], probs) for v in names}
+    while any(s.open for s in state.values()):
+        looks = []  # (column, aggregates of one open range)
+        for v, s in state.items():
+            for (lo, hi), ranks in s.ranges().items():
+                x, n = _between(F.col(v), lo, hi), s.rows_between(lo, hi)
+                below = 0 if lo is None else s.counted[lo][1]
+                near = {min(max((k - below + 1) / n + d / accuracy, 0.0), 1.0) for k in ranks for d in (-2, 0, 2)}
+                looks.append((v, F.array(F.min(x), F.max(x)), F.percentile_approx(x, F.array(*[F.lit(p) for p in sorted(near)]), accuracy)))
+        ends = rows.agg(*[c.alias(f"{kind}{i}") for i, (_, ext, mid) in enumerate(looks) for kind, c in (("e", ext), ("m", mid))]).first()
+        values = sorted({(v, x) for i, (v, _, _) in enumerate(looks) for x in [*ends[f"e{i}"], *ends[f"m{i}"]]})
+        counts = rows.agg(*[F.count_if(test).alias(f"{kind}{i}") for i, (v, x) in enumerate(values)
+                            for kind, test in (("b", F.col(v) < F.lit(x)), ("u", F.col(v) <= F.lit(x)))]).first()
+        for i, (v, x) in enumerate(values):
+            state[v].counted[x] = (counts[f"b{i}"], counts[f"u{i}"])
+        for s in state.values():
+            s.settle()
+    return {c: (state[v].n, state[v].result()) for c, v in zip(cols, names)}
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = ACCURACY) -> tuple[int, list[float | None]]:
     """(n non-null, [quantile for each p]) with linear interpolation."""
-    v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = v.count()
-    if n == 0:
-        return 0, [None for _ in probs]
-    pos = [(n - 1) * p for p in probs]
-    ks = sorted({int(math.floor(h)) for h in pos} | {min(int(math.ceil(h)), n - 1) for h in pos})
-    vals = _kth(v, ks, buckets, limit, n)
-    out = []
-    for h in pos:
-        lo, hi = int(math.floor(h)), min(int(math.ceil(h)), n - 1)
-        a, b = vals[lo], vals[hi]
-        out.append(a + (h - lo) * (b - a))
-    return n, out
+    return column_quantiles(df, [col], probs, accuracy)[col]
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **kw) -> DataFrame:
     """One-row DataFrame with ``_q_<col>`` = array of exact quantiles (for
     broadcasting back into a plan)."""
-    spark = df.sparkSession
-    vals = [exact_quantiles(df, c, probs, **kw)[1] for c in cols]
+    found = column_quantiles(df, cols, probs, **kw)
     schema = ", ".join(f"_q_{c} array<double>" for c in cols)
-    return spark.createDataFrame([tuple(vals)], schema)
+    return df.sparkSession.createDataFrame([tuple(found[c][1] for c in cols)], schema)

@@ -52,19 +52,15 @@ def permutation_importance(model, df: DataFrame, cols: Sequence[str], label: str
     reps = spark.range(repeats).select(F.col("id").cast("int").alias("rep"))
     feats = spark.createDataFrame([(c,) for c in cols], "feature string")
     tags = feats.crossJoin(reps)  # features × repeats: parameter-bounded
-    # the permutation is drawn inside random buckets of ≤ ~100k rows, so no
-    # window ever holds a whole copy of the data in one task
-    n_buckets = max(1, -(-df.count() // 100_000))
-    rows = df.select(id_col, label, *cols)
+    # positions are distributed running counts, so a permutation runs over all
+    # rows and no window holds a whole copy of the data in one task
+    rows = running_sums(df.select(id_col, label, *cols, F.lit(1).alias("_one")), id_col, ["_one"]).withColumnRenamed("_one_cum", "_pos")
     copies = rows.crossJoin(F.broadcast(tags))
     key = F.concat_ws("|", F.col(id_col).cast("string"), F.col("feature"), F.col("rep").cast("string"), F.lit(str(seed)))
-    copies = copies.withColumn("_b", F.conv(F.substring(F.md5(F.concat(key, F.lit("|b"))), 1, 8), 16, 10).cast("bigint") % n_buckets)
-    grp = Window.partitionBy("feature", "rep", "_b")
-    copies = copies.withColumn("_pos", F.row_number().over(grp.orderBy(id_col)))
-    donor = copies.withColumn("_dpos", F.row_number().over(grp.orderBy(F.md5(key))))
     stack = F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("double"))])
-    dv = donor.select("feature", "rep", "_b", F.col("_dpos").alias("_pos"), stack[F.col("feature")].alias("_val"))
-    j = copies.join(dv, ["feature", "rep", "_b", "_pos"])
+    donor = copies.select("feature", "rep", "_one", F.md5(key).alias("_h"), stack[F.col("feature")].alias("_val"))
+    dv = running_sums(donor, "_h", ["_one"], keys=["feature", "rep"]).select("feature", "rep", F.col("_one_cum").alias("_pos"), "_val")
+    j = copies.join(dv, ["feature", "rep", "_pos"])
     perm = j.select(id_col, label, "feature", "rep",
                     *[F.when(F.col("feature") == c, F.col("_val")).otherwise(F.col(c).cast("double")).alias(c) for c in cols])
     s = _proba(model, perm, cols).withColumnRenamed(label, "y")
@@ -211,8 +207,8 @@ def find_rule(df: DataFrame, row: dict, cols: Sequence[str], label: str, target_
     rule and add the predicate 'feature in the row's quartile' that gives the
     highest precision (ties: coverage), until the precision target is met.
     Each step is ONE aggregate over all candidate predicates."""
-    from cartwheel.functions.quantiles import exact_quantiles
-    q = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75])[1] for c in cols}
+    from cartwheel.functions.quantiles import column_quantiles
+    q = {c: e for c, (_, e) in column_quantiles(df, cols, [0.25, 0.5, 0.75]).items()}
     def bin_of(c, v):
         e = q[c]
         return sum(1 for x in e if v > x)

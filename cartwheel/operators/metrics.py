@@ -92,7 +92,7 @@ def roc_auc(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
 def pr_curve(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
     """Precision and recall when predicting positive at score ≥ each distinct score."""
     c = running_sums(score_counts(df, score, y), "score", ["pos", "neg"], descending=True)
-    P = df.agg(F.count_if(F.col(y) == 1).alias("_P"))
+    P = c.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("_P"))  # the counts hold it already
     j = c.crossJoin(F.broadcast(P))
     return j.select(
         "_P",

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from cartwheel.operators import metrics
 from cartwheel.operators.joins import epsilon_join
-from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.session import ensure_checkpoint_dir, materialize
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -250,9 +250,9 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], n_trees: i
     """Anomaly scores 2^(−E[h(x)]/c(ψ)); the top ``contamination`` share
     (exact quantile of the scores) is flagged.
 
-    Subsamples: a pool of ~3ψ·n_trees rows is drawn by md5(id), each tree
-    draws ~3ψ of the pool by md5(id|tree) and keeps the first ψ in md5
-    order — groups of bounded size, work independent of the input size.  Trees grow in ``groupBy(tree).applyInPandas``; the forest
+    Subsamples: each tree draws ~3ψ of all rows by a hash of (id, tree) and
+    keeps the first ψ in hash order; a row is copied only for the trees that
+    drew it, in the scan.  Trees grow in ``groupBy(tree).applyInPandas``; the forest
     (≤ n_trees · 2ψ nodes, bounded) is broadcast to a pandas UDF scoring
     batches of rows."""
     # helpers are nested so the tasks receive them by value (no package import on executors)
@@ -296,18 +296,11 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], n_trees: i
     spark = df.sparkSession
     n = df.count()
     psi = min(sample_size, n)
-    # a bounded pool first (~3ψ rows per tree in total), so the per-tree
-    # draw below touches |pool| × n_trees rows whatever the input size
-    pool_rate = min(1.0, 3.0 * psi * n_trees / max(n, 1))
-    h0 = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit("pool"), F.lit(str(seed))))
-    u0 = F.conv(F.substring(h0, 1, 8), 16, 10).cast("double") / float(16 ** 8)
-    pool = df.select(id_col, *cols).filter(u0 < pool_rate)
-    rate = min(1.0, 3.0 * psi / max(n * pool_rate, 1.0))
-    trees = spark.range(n_trees).select(F.col("id").cast("int").alias("tree"))
-    h = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.col("tree").cast("string"), F.lit(str(seed))))
-    u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / float(16 ** 8)
-    cand = pool.crossJoin(F.broadcast(trees)).withColumn("_h", h).filter(u < rate)
-    w = Window.partitionBy("tree").orderBy("_h")
+    draw = lambda t: F.pmod(F.xxhash64(F.col(id_col).cast("string"), t, F.lit(seed)), F.lit(1 << 53))
+    cut = int(min(1.0, 3.0 * psi / max(n, 1)) * (1 << 53))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: draw(t) < F.lit(cut))
+    cand = df.select(id_col, *cols, F.explode(drawn).alias("tree")).withColumn("_h", draw(F.col("tree")))
+    w = Window.partitionBy("tree").orderBy("_h", id_col)
     sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).drop("_r", "_h")
     schema = "tree int, node int, feature int, threshold double, left int, right int, size int"
     forest = sample.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, cols, seed), schema)
@@ -337,7 +330,8 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], n_trees: i
         mean = total / max(len(bc.value), 1)
         return pd.Series(np.power(2.0, -mean / c_psi) if c_psi > 0 else np.zeros(len(X)))
 
-    scored = df.withColumn("anomaly_score", path_score(*[F.col(c) for c in cols]))
+    # scored once: the quantile below reads the scores in several rounds
+    scored = materialize(df.withColumn("anomaly_score", path_score(*[F.col(c) for c in cols])))
     from cartwheel.functions.quantiles import quantile_row
     cut = quantile_row(scored, ["anomaly_score"], [1.0 - contamination]).select(F.col("_q_anomaly_score")[0].alias("_cut"))
     return scored.crossJoin(F.broadcast(cut)).withColumn("anomaly", (F.col("anomaly_score") >= F.col("_cut")).cast("int")).drop("_cut")

@@ -297,15 +297,27 @@ def with_weight_col(df: DataFrame, label: str, out: str = "weight") -> DataFrame
 
 
 # F13
+HOT_SHARE = 1000
+
+
 def mid_ranks(df: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:
     """Average ranks (ties share the mean rank) per column, long form
-    (id, feature, rank), via value counts + distributed running sums."""
+    (id, feature, rank), via value counts + distributed running sums.
+    A value held by more than 1/HOT_SHARE of a feature's rows gets its rank
+    from a broadcast (at most HOT_SHARE values a feature), so it never becomes
+    a hot join key."""
     long = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [id_col], list(cols), "feature", "value").filter(F.col("value").isNotNull())
     cnt = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     cum = running_sums(cnt, "value", ["n"], keys=["feature"])
-    r = cum.select("feature", "value", (F.col("n_cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias("rank"))
-    return long.join(r, ["feature", "value"]).select(id_col, "feature", "rank")
+    total = cum.groupBy("feature").agg(F.sum("n").alias("_all"))
+    r = cum.join(F.broadcast(total), "feature").select(  # one row per feature
+        "feature", "value", (F.col("n_cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias("rank"),
+        (F.col("n") * HOT_SHARE > F.col("_all")).alias("_hot"))
+    hot, rest = F.broadcast(r.filter("_hot")), r.filter("NOT _hot")
+    common = long.join(hot, ["feature", "value"])
+    others = long.join(hot, ["feature", "value"], "left_anti").join(rest, ["feature", "value"])
+    return common.unionByName(others).select(id_col, "feature", "rank")
 
 
 def spearman(df: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:

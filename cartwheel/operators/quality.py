@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from cartwheel.functions.quantiles import exact_quantiles
+from cartwheel.functions.quantiles import column_quantiles
 
 
 def _numeric_cols(df: DataFrame) -> list[str]:
@@ -128,7 +128,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, wide_tails
     cols = list(cols) if cols else _numeric_cols(df)
     probs = [0.25, 0.5, 0.75] + ([0.01, 0.05, 0.95, 0.99] if wide_tails else [])
     # exact quantiles by multi-round selection (a few numbers per column reach the driver)
-    qvals = {c: exact_quantiles(df, c, probs)[1] for c in cols}
+    qvals = {c: q for c, (_, q) in column_quantiles(df, cols, probs).items()}
     qmap = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(v).cast("double") for v in qvals[c]]))])
     structs = []
     for c in cols:

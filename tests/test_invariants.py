@@ -157,9 +157,9 @@ def test_exact_take_matches_row_number(spark):
 def test_running_sums_match_window_and_repartition_invariant(spark):
     df = spark.range(0, 500).select((F.col("id") * 7 % 101).cast("double").alias("v"), F.lit(1).alias("n")) \
         .groupBy("v").agg(F.sum("n").alias("n"))
-    a = rows(running_sums(df, "v", ["n"], buckets=8), "v", "n_cum")
-    b = rows(running_sums(df.repartition(1), "v", ["n"], buckets=3), "v", "n_cum")
-    c = rows(running_sums(df.repartition(16), "v", ["n"], buckets=32, descending=True), "v", "n_cum")
+    a = rows(running_sums(df, "v", ["n"]), "v", "n_cum")
+    b = rows(running_sums(df.repartition(1), "v", ["n"]), "v", "n_cum")
+    c = rows(running_sums(df.repartition(16), "v", ["n"], descending=True), "v", "n_cum")
     tot = sum(r[1] for r in a[-1:])
     assert a == b and a[-1][1] == 500
     assert c[0][1] == 500 and tot == 500
@@ -222,11 +222,11 @@ def test_exact_quantiles_match_percentile_with_forced_rounds(spark):
     from cartwheel.functions.quantiles import exact_quantiles
     df = spark.range(0, 5000).select(((F.col("id") * 37) % 1013 / 7.0).alias("x"))
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
-    n, got = exact_quantiles(df, "x", probs, buckets=8, limit=100)   # several narrowing rounds
+    n, got = exact_quantiles(df, "x", probs, accuracy=20)   # several narrowing rounds
     ref = df.agg(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
     assert n == 5000 and all(abs(a - b) < 1e-9 for a, b in zip(got, ref))
     ties = spark.createDataFrame([(1.0,)] * 300 + [(2.0,)] * 3, "x double")
-    assert exact_quantiles(ties, "x", [0.5], buckets=4, limit=10)[1] == [1.0]
+    assert exact_quantiles(ties, "x", [0.5], accuracy=4)[1] == [1.0]
 
 
 def test_isolation_forest_flags_contamination_share(spark):
@@ -280,3 +280,25 @@ def test_knn_far_rows_and_missing_features(spark):
 def test_constant_columns_counts_null_as_a_value(spark):
     df = spark.createDataFrame([(1, None, "x", None), (1, None, "x", 2)], "a int, b int, c string, d int")
     assert sorted(r["column"] for r in quality.constant_columns(df).collect()) == ["a", "b", "c"]
+
+
+def test_column_quantiles_ties_nulls_nan_and_all_columns(spark):
+    from cartwheel.functions.quantiles import column_quantiles, quantile_row
+    vals = [(1.0, None)] * 997 + [(float(i), None) for i in range(3)] + [(float("nan"), None), (None, None), (float("inf"), None)]
+    df = spark.createDataFrame(vals, "a double, b double")
+    got = column_quantiles(df, ["a", "b"], [0.0, 0.5, 0.999, 1.0], accuracy=7)
+    ref = sorted(x for x, _ in vals if x is not None and x == x)
+    assert got["a"][0] == len(ref) and got["a"][1][:2] == [0.0, 1.0] and got["a"][1][3] == float("inf")
+    assert got["b"] == (0, [None] * 4)
+    assert quantile_row(df.limit(0), ["a"], [0.5]).first()[0] == [None]
+    assert column_quantiles(df, [], [0.5]) == {}
+
+
+def test_running_sums_by_key_and_mid_ranks_with_a_hot_value(spark):
+    df = spark.createDataFrame([(f"k{i % 3}", float(i % 50 + i % 3 * 100), 1) for i in range(150)], "k string, v double, n int")
+    got = {(r["k"], r["v"]): r["n_cum"] for r in running_sums(df, "v", ["n"], keys=["k"]).collect()}
+    src = [(r["k"], r["v"]) for r in df.collect()]
+    assert all(c == sum(1 for k2, v2 in src if k2 == k and v2 <= v) for (k, v), c in got.items())
+    hot = spark.createDataFrame([(i, 5.0 if i % 3 else float(i)) for i in range(3000)], "id int, x double")
+    ref = hot.toPandas().set_index("id")["x"].rank()
+    assert {r["id"]: r["rank"] for r in prep.mid_ranks(hot, ["x"], "id").collect()} == ref.to_dict()
