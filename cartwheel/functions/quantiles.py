@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
+ACCURACY = 2_000
 
 
 class _Ranks:

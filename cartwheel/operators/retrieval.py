@@ -1,27 +1,34 @@
 """Text retrieval (V1-V5) as Spark jobs.
 
 Chunks are generated with ``sequence`` + ``posexplode`` (whole texts, every
-chunk).  Cosine and keyword search score every chunk against a broadcast
-query set (the query table is the small side: questions, bounded by the
-``max_queries`` check), then keep the top-k per query with a
-``row_number`` filter that Spark pre-limits per task.
+chunk).  Cosine and keyword search score every chunk against the queries,
+broadcast in batches of measured size, then keep the top-k per query with a
+``row_number`` filter that Spark pre-limits per task, so that no more than
+k rows a query and task are shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import tokenize
 
-MAX_QUERIES = 100_000  # size bound of a broadcast query set
+BATCH_BYTES = 64 << 20  # of queries in one broadcast
 
 
-def _small(df: DataFrame, bound: int = MAX_QUERIES) -> DataFrame:
-    """Broadcast the query side only after checking its size."""
-    return F.broadcast(df) if df.count() <= bound else df
+def _batches(queries: DataFrame, size: Column, limit: int = BATCH_BYTES) -> list[DataFrame]:
+    """The queries (query_id, ...) for broadcasts of about ``limit`` bytes each;
+    ``size`` gives the bytes of a row."""
+    n = -(-(queries.agg(F.sum(size)).first()[0] or 1) // limit)
+    return [F.broadcast(queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i)) for i in range(n)]
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 # V1
@@ -49,9 +56,9 @@ def cosine_topk(queries: DataFrame, docs: DataFrame, k: int, q_id: str = "query_
     """Top-k documents per query by dot/(|d|·(|q|+1e-10) + 1e-10); ties by doc id."""
     q = queries.select(F.col(q_id).alias("query_id"), F.col(vec).alias("_q")).withColumn("_qn", _norm(F.col("_q")) + 1e-10)
     d = docs.select(F.col(d_id).alias("doc_id"), F.col(vec).alias("_d")).withColumn("_dn", _norm(F.col("_d")))
-    j = d.crossJoin(_small(q))
     sim = _dot(F.col("_d"), F.col("_q")) / (F.col("_dn") * F.col("_qn") + 1e-10)
-    s = j.select("query_id", "doc_id", sim.alias("similarity"))
+    s = _union([d.crossJoin(b).select("query_id", "doc_id", sim.alias("similarity"))
+                for b in _batches(q, 8 * F.size("_q") + 64)])
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -62,16 +69,21 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "que
     """Top-k chunks per query by the number of shared distinct tokens; ties
     by chunk id; zero-score chunks fill the list when fewer than k overlap.
 
-    Query tokens (small) are broadcast into the chunk-token stream, so a
-    very common token never becomes a hot shuffle key."""
+    Query tokens are broadcast into the chunk-token stream, so a very common
+    token never becomes a shuffle key.  The chunks are partitioned by id once;
+    counting per (query, chunk) then needs no further shuffle, though nearly
+    every pair shares a token."""
     qt = queries.select(F.col(q_id).alias("query_id"), F.explode(F.array_distinct(tokenize(q_text))).alias("tok"))
-    ct = chunks.select(F.col(c_id).alias("chunk_id"), F.explode(F.array_distinct(tokenize(c_text))).alias("tok"))
-    hits = ct.join(_small(qt), "tok").groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).alias("score"))
+    ct = chunks.select(F.col(c_id).alias("chunk_id"), F.col(c_text).alias("_c")).repartition("chunk_id")
+    ct = ct.select("chunk_id", F.explode(F.array_distinct(tokenize("_c"))).alias("tok"))
+    hits = _union([ct.join(b, "tok").groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).alias("score"))
+                   for b in _batches(qt, F.octet_length("tok") + 64)])
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")
+    hits = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("rank")
     # zero-score fillers: the k smallest chunk ids, for every query (k × queries rows)
     first_k = chunks.select(F.col(c_id).alias("chunk_id")).distinct().orderBy("chunk_id").limit(k)
     fill = queries.select(F.col(q_id).alias("query_id")).crossJoin(F.broadcast(first_k)).withColumn("score", F.lit(0).cast("bigint"))
     cand = hits.unionByName(fill).groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -89,19 +101,17 @@ def retrieval_grid(docs: DataFrame, queries: DataFrame, sizes: Sequence[int] = (
                    ks: Sequence[int] = (1, 3, 5, 10), overlap: int = 200, id_col: str = "doc_id") -> DataFrame:
     """Keyword retrieval for every (chunk size, k): per configuration the number
     of retrieved chunks, queries answered and mean shared-token score.  One
-    chunking and one scoring per size; the k values reuse that ranking."""
+    chunking, one scoring and one aggregate per size, for all k."""
     kmax = max(ks)
     parts = []
     for size in sizes:
         ch = chunk(docs, id_col, size=size, overlap=overlap)
         ch = ch.withColumn("chunk_id", F.concat_ws(":", F.col(id_col).cast("string"), F.lpad(F.col("chunk_no").cast("string"), 6, "0")))
         top = keyword_topk(queries, ch, kmax)
-        for k in ks:
-            parts.append(top.filter(F.col("rank") <= k).agg(
-                F.count(F.lit(1)).alias("n_retrieved"), F.count_distinct("query_id").alias("n_queries"),
-                F.round(F.avg("score"), 6).alias("mean_score")).select(
-                F.lit(size).alias("chunk_size"), F.lit(k).alias("k"), F.lit("keyword").alias("search"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        # every query that has rows has one of rank 1
+        row = lambda k: F.struct(
+            F.lit(size).alias("chunk_size"), F.lit(k).alias("k"), F.lit("keyword").alias("search"),
+            F.count_if(F.col("rank") <= k).alias("n_retrieved"), F.count_if(F.col("rank") == 1).alias("n_queries"),
+            F.round(F.avg(F.when(F.col("rank") <= k, F.col("score"))), 6).alias("mean_score"))
+        parts.append(top.agg(F.array(*[row(k) for k in ks]).alias("_r")).select(F.inline("_r")))
+    return _union(parts)

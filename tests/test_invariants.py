@@ -302,3 +302,18 @@ def test_running_sums_by_key_and_mid_ranks_with_a_hot_value(spark):
     hot = spark.createDataFrame([(i, 5.0 if i % 3 else float(i)) for i in range(3000)], "id int, x double")
     ref = hot.toPandas().set_index("id")["x"].rank()
     assert {r["id"]: r["rank"] for r in prep.mid_ranks(hot, ["x"], "id").collect()} == ref.to_dict()
+
+
+def test_keyword_search_in_batches_without_a_shuffle_of_pairs(spark, monkeypatch):
+    import re
+    from cartwheel.operators import retrieval
+    qs = spark.createDataFrame([(i, f"common w{i} w{i + 1}") for i in range(9)] + [(99, "absent"), (100, None)], "query_id int, text string")
+    ch = spark.createDataFrame([(f"c{i:02d}", f"common w{i % 5} w{i % 7}") for i in range(40)] + [("c90", None), ("c91", "")], "chunk_id string, chunk string")
+    plain = rows(retrieval.keyword_topk(qs, ch, 3), "query_id", "rank", "chunk_id", "score")
+    monkeypatch.setattr(retrieval._batches, "__defaults__", (400,))  # several broadcasts
+    assert rows(retrieval.keyword_topk(qs, ch, 3), "query_id", "rank", "chunk_id", "score") == plain
+    words = lambda t: set(re.findall(r"\w+", t or ""))
+    chunks = [(r["chunk_id"], words(r["chunk"])) for r in ch.collect()]
+    for q in qs.collect():
+        best = sorted((-len(words(q["text"]) & w), c) for c, w in chunks)[:3]
+        assert [(-s, c) for s, c in best] == [(r[3], r[2]) for r in plain if r[0] == q["query_id"]]
