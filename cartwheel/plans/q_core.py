@@ -32,7 +32,7 @@ def q_s1(t):
 
 @query("s2_read_csv", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def q_s2(t):
-    path = shared_path(t.spark, "s2_nation_csv")
+    path = shared_path(t.spark, f"s2_nation_csv_{uuid.uuid4().hex}")
     io.write_table(t.nation, path, fmt="csv")
     return io.read_csv(t.spark, path, "n_nationkey int, n_name string, n_regionkey int")
 
@@ -40,10 +40,10 @@ def q_s2(t):
 @query("s3_read_available", """SELECT r_regionkey, r_name, NULL::INTEGER AS n_nationkey, NULL::VARCHAR AS n_name FROM region
 UNION ALL SELECT n_regionkey, NULL, n_nationkey, n_name FROM nation""")
 def q_s3(t):
-    a, b = shared_path(t.spark, "s3_region"), shared_path(t.spark, "s3_nation")
+    a, b = shared_path(t.spark, f"s3_region_{uuid.uuid4().hex}"), shared_path(t.spark, f"s3_nation_{uuid.uuid4().hex}")
     io.write_table(t.region, a)
     io.write_table(t.nation.withColumnRenamed("n_regionkey", "r_regionkey"), b)
-    return io.read_available(t.spark, [a, shared_path(t.spark, "s3_missing"), b]).select(
+    return io.read_available(t.spark, [a, shared_path(t.spark, f"s3_missing_{uuid.uuid4().hex}"), b]).select(
         "r_regionkey", "r_name", "n_nationkey", "n_name")
 
 
@@ -57,7 +57,7 @@ def q_s4(t):
 
 @query("s5_read_pairs", """SELECT DISTINCT CAST(customer_id AS VARCHAR) AS customer_id, product_id FROM ev""", ("ev",))
 def q_s5(t):
-    path = shared_path(t.spark, "s5_pairs")
+    path = shared_path(t.spark, f"s5_pairs_{uuid.uuid4().hex}")
     V.ev(t).select("customer_id", "product_id").write.mode("overwrite").option("header", False).csv(path)
     return io.read_pairs(t.spark, path)
 
@@ -65,7 +65,7 @@ def q_s5(t):
 @query("s6_read_truth", """SELECT DISTINCT CAST(customer_id AS VARCHAR) AS customer_id, product_id FROM ev
 WHERE period >= DATE '2024-01-23'""", ("ev",))
 def q_s6(t):
-    stem = shared_path(t.spark, "s6_truth")
+    stem = shared_path(t.spark, f"s6_truth_{uuid.uuid4().hex}")
     (V.ev(t).filter(F.col("period") >= "2024-01-23").select("customer_id", "product_id")
      .write.mode("overwrite").option("header", True).csv(stem + ".csv"))
     return io.read_truth(t.spark, stem + ".parquet")
@@ -73,7 +73,7 @@ def q_s6(t):
 
 @query("s7_read_records", """SELECT c_custkey, c_nationkey, c_acctbal FROM customer""")
 def q_s7(t):
-    path = shared_path(t.spark, "s7_records")
+    path = shared_path(t.spark, f"s7_records_{uuid.uuid4().hex}")
     t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment").write.mode("overwrite").json(path)
     return io.read_records(t.spark, path, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string",
                            target="c_mktsegment")
@@ -88,7 +88,7 @@ def q_s8(t):
 @query("s9_write_table", """SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week,
   count(*) AS num_tx, 1 AS bought FROM txc GROUP BY 1, 2, 3""", ("txc",))
 def q_s9(t):
-    path = shared_path(t.spark, "s9_weekly")
+    path = shared_path(t.spark, f"s9_weekly_{uuid.uuid4().hex}")
     io.write_table(aggs.weekly_activity(_clean(t)), path, partition_by=["week"])
     return t.spark.read.parquet(path).select("customer_id", "product_id", F.col("week").cast("date"), "num_tx", "bought")
 

@@ -18,7 +18,7 @@ from cartwheel.functions.scalars import history_slice
 from cartwheel.operators import drift, explain, models
 from cartwheel.operators.windows import rank_topk
 from cartwheel.plans.features import build_feature_matrix, clean_transactions, offer_score
-from cartwheel.session import shared_path
+from cartwheel.session import materialize, shared_path
 
 FEATURES = ["cp_prev_bought", "cp_count_4w", "cp_count_12w", "cp_recency_lagged", "cp_prev_bought_lagged",
             "prod_prior_rate", "cust_cat_prior_rate", "x"]
@@ -76,6 +76,8 @@ def weekly_run(tx: DataFrame, customers: DataFrame, products: DataFrame, model_p
     """(ranking for next week, model decision, global contributions)."""
     clean = clean_transactions(tx)
     fm = labelled(build_feature_matrix(clean, customers, products, top_k_candidates))
+    # the gates, the fit, the ranking and the contributions all read the grid: make it once
+    fm = materialize(fm)
     last = fm.agg(F.max("week_idx").alias("_L"))
     fm = fm.crossJoin(F.broadcast(last))
     train = fm.filter(F.col("week_idx") < F.col("_L"))
