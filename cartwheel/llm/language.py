@@ -4,7 +4,9 @@ Training counts the letter n-grams of labelled texts per language.  An n-gram
 belongs to every language in which its rate is at least ``dominance`` times the
 highest rate of any language.  The languages' Bloom filters are stored bit by
 bit next to each other: slot ``p`` holds one mask with a bit per language, so
-``slot[p1] & slot[p2] & slot[p3]`` answers for all languages at once.
+``slot[p1] & slot[p2] & slot[p3]`` answers for all languages of a table at once.
+Languages share a table when they need about as many slots; a table has enough
+of them, by the counted n-grams of the sample, to stay at most half full.
 
 A text's n-grams are looked up, the set bits are counted per language, and each
 count is corrected by the language's false-positive rate (its share of set
@@ -32,11 +34,13 @@ from cartwheel.llm.common import U64, mix, table
 from cartwheel.llm.registry import query
 
 SIZES = (3, 4)          # n-gram lengths in characters
-SLOTS = 1 << 20         # slots of the filter: 8 MB for up to 63 languages
+SLOTS = 1 << 20         # least slots of a table
 HASHES = 3
+ROOM = 4.4              # slots for each n-gram: 1 - exp(-3 / 4.4) is just below one half
 TRAIN_CHARS = 60_000_000  # bound of the training sample, in characters
 DOMINANCE = 0.2
-PER_WORD = 62           # languages to a mask
+PER_TABLE = 32          # languages to a mask
+CHUNK = 1 << 12         # bits of a table that are filled together
 
 
 def letter_table() -> np.ndarray:
@@ -74,12 +78,53 @@ def grams(text: str | None, letters: np.ndarray, sizes: tuple[int, ...] = SIZES)
     return np.concatenate(out) if out else np.zeros(0, U64), True
 
 
+@dataclass
+class SlotTable:
+    """``slots`` masks of ``width`` bits, packed; bit ``b`` is language ``own[b]``."""
+
+    own: list[int]
+    slots: int
+    width: int
+    packed: np.ndarray
+
+    def fill(self, b: int) -> float:
+        """Share of the slots in which language ``own[b]`` is set."""
+        bits = sum(1 << x for x in range(b % 8, 8, min(8, self.width)))
+        return int(np.bitwise_count(self.packed[b // 8::max(1, self.width // 8)] & np.uint8(bits)).sum()) / self.slots
+
+    def masks(self, hashes: np.ndarray) -> np.ndarray:
+        """For each hash, the mask of the languages that hold it."""
+        m = np.full(len(hashes), (1 << self.width) - 1, U64)
+        for j in range(HASHES):
+            at = ((hashes & U64(0xFFFFFFFF)) + U64(j) * (hashes >> U64(32) | U64(1))) % U64(self.slots)
+            if self.width < 8:
+                bit = at * U64(self.width)
+                m &= self.packed[(bit >> U64(3)).astype(np.int64)] >> (bit & U64(7))
+            else:
+                m &= self.packed.view(f"<u{self.width // 8}")[at.astype(np.int64)]
+        return m
+
+
+def slot_tables(distinct: list[int]) -> list[SlotTable]:
+    """Empty tables for languages with so many distinct n-grams."""
+    by: dict[int, list[int]] = {}
+    for i, n in enumerate(distinct):
+        by.setdefault(max(0, int(np.ceil(np.log2(max(1, n) * ROOM / SLOTS)))), []).append(i)
+    out = []
+    for alike in by.values():
+        for own in (alike[x:x + PER_TABLE] for x in range(0, len(alike), PER_TABLE)):
+            slots = -(-max(SLOTS, int(max(distinct[i] for i in own) * ROOM)) // 8) * 8
+            width = 1 << (len(own) - 1).bit_length()
+            out.append(SlotTable(own, slots, width, np.zeros(slots * width // 8, np.uint8)))
+    return out
+
+
 @dataclass
 class LanguageFilter:
-    """Bit-sliced filters of ``langs``; ``masks`` has one column per 62 languages."""
+    """Bit-sliced filters of ``langs`` in ``tables``."""
 
     langs: list[str]
-    masks: np.ndarray
+    tables: list[SlotTable]
     false_rate: np.ndarray
     fallback: str
     letters: np.ndarray
@@ -87,12 +132,10 @@ class LanguageFilter:
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         """Per language, the n-grams that its filter holds, corrected."""
         hits = np.zeros(len(self.langs))
-        for w in range(self.masks.shape[1]):
-            m = np.full(len(hashes), ~U64(0))
-            for j in range(HASHES):
-                m &= self.masks[((hashes >> U64(20 * j)) & U64(SLOTS - 1)).astype(np.int64), w]
-            for bit in range(min(PER_WORD, len(self.langs) - w * PER_WORD)):
-                hits[w * PER_WORD + bit] = int(((m >> U64(bit)) & U64(1)).sum())
+        for t in self.tables:
+            m = t.masks(hashes)
+            for b, i in enumerate(t.own):
+                hits[i] = int(((m >> U64(b)) & U64(1)).sum())
         return np.maximum(0, (hits - len(hashes) * self.false_rate) / (1 - self.false_rate))
 
     def decide(self, text: str | None) -> tuple[str, float, float]:
@@ -130,22 +173,44 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train
                                                  ["lang", "h", "n"])
 
     seen = rows.mapInArrow(count, "lang string, h long, n long").groupBy("h", "lang").agg(F.sum("n").alias("n")).persist()
-    totals = {r.lang: r.n for r in seen.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    found = {r.lang: r for r in seen.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
+    totals = {x: r.n for x, r in found.items()}
     langs = sorted(totals)
-    masks = np.zeros((SLOTS, max(1, -(-len(langs) // PER_WORD))), U64)
+    tables = slot_tables([found[x].distinct for x in langs])
+    false_rate = np.zeros(len(langs))
     if langs:
-        scale = docs.sparkSession.createDataFrame([(x, i, totals[x]) for i, x in enumerate(langs)], "lang string, i int, total long")
+        place = {i: (k, b) for k, t in enumerate(tables) for b, i in enumerate(t.own)}
+        scale = docs.sparkSession.createDataFrame(
+            [(x, *place[i], tables[place[i][0]].slots, tables[place[i][0]].width, totals[x]) for i, x in enumerate(langs)],
+            "lang string, k int, b int, slots long, width int, total long")
         rate = seen.join(F.broadcast(scale), "lang").withColumn("rate", F.col("n") / F.col("total"))
-        top = rate.groupBy("h").agg(F.max("rate").alias("top"), F.collect_list(F.struct("i", "rate")).alias("by"))
-        member = top.select("h", "top", F.explode("by").alias("x")).where(F.col("x.rate") >= dominance * F.col("top"))
-        slot = F.explode(F.array(*[F.expr(f"shiftrightunsigned(h, {20 * j}) & {SLOTS - 1}L") for j in range(HASHES)]))
-        filled = (member.select(slot.alias("p"), (F.col("x.i") / PER_WORD).cast("int").alias("w"), (F.col("x.i") % PER_WORD).alias("b"))
-                  .groupBy("p", "w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("m")).toPandas())
-        masks[filled["p"].to_numpy(np.int64), filled["w"].to_numpy(np.int64)] = filled["m"].to_numpy(np.int64).view(U64)
+        top = rate.groupBy("h").agg(F.max("rate").alias("top"), F.collect_list(F.struct("k", "b", "slots", "width", "rate")).alias("by"))
+        member = top.select("h", "top", F.explode("by").alias("x")).where(F.col("x.rate") >= dominance * F.col("top")).select("h", "x.*")
+        at = F.explode(F.array(*[F.expr(f"((h & 4294967295L) + {j}L * (shiftrightunsigned(h, 32) | 1L)) % slots * width + b")
+                                 for j in range(HASHES)]))
+        bits = member.select("k", at.alias("at")).select("k", F.expr(f"at div {CHUNK}").alias("chunk"), (F.col("at") % CHUNK).cast("int").alias("bit"))
+
+        def pack(batches: Iterator[pa.RecordBatch]):
+            chunks: dict[int, np.ndarray] = {}
+            for b in batches:
+                name = b.column(0).to_numpy().astype(np.int64) << 40 | b.column(1).to_numpy()
+                bit, order = b.column(2).to_numpy(), np.argsort(name, kind="stable")
+                names, first = np.unique(name[order], return_index=True)
+                for v, own in zip(names.tolist(), np.split(bit[order], first[1:])):
+                    into = chunks.setdefault(v, np.zeros(CHUNK // 8, np.uint8))
+                    np.bitwise_or.at(into, own >> 3, (1 << (own & 7)).astype(np.uint8))
+            if chunks:
+                yield pa.RecordBatch.from_arrays([pa.array([v >> 40 for v in chunks], pa.int32()), pa.array([v & (1 << 40) - 1 for v in chunks], pa.int64()),
+                                                  pa.array([x.tobytes() for x in chunks.values()], pa.binary())], ["k", "chunk", "part"])
+
+        for r in bits.repartition("k", "chunk").mapInArrow(pack, "k int, chunk long, part binary").toLocalIterator():
+            into = tables[r.k].packed[r.chunk * CHUNK // 8:][:CHUNK // 8]
+            into[:] = np.frombuffer(r.part, np.uint8)[:len(into)]
+        for t in tables:
+            for b, i in enumerate(t.own):
+                false_rate[i] = t.fill(b) ** HASHES
     seen.unpersist()
-    fill = [((masks[:, i // PER_WORD] >> U64(i % PER_WORD)) & U64(1)).mean() for i in range(len(langs))]
-    return LanguageFilter(langs, masks, np.minimum(0.99, np.array(fill) ** HASHES),
-                          max(langs, key=lambda x: (totals[x], x), default="und"), letters)
+    return LanguageFilter(langs, tables, false_rate, max(langs, key=lambda x: (totals[x], x), default="und"), letters)
 
 
 def identify(docs: DataFrame, model: LanguageFilter, text_col: str = "text", into: str = "") -> DataFrame:

@@ -250,3 +250,21 @@ def test_html_text_edge_cases(spark):
     got = sorted((r.page_id, len(r.text)) for r in html_text.extract(pages).collect())
     assert got == [(1, 0), (1, 1), (2, 20_000 * 6 - 2)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_language_large_alphabet(spark):
+    """Millions of distinct n-grams of one language don't take over the others."""
+    rng = np.random.default_rng(5)
+    signs = np.array([chr(c) for c in range(0x4E00, 0x4E00 + 20000)])
+    parts = ["".join(w) for w in rng.choice(signs, (50_000, 4))]
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)) for n in rng.integers(3, 9, 4000)]
+
+    def text(of, n, gap):
+        return gap.join(of[i] for i in rng.integers(0, len(of), n))
+
+    rows = [(f"z{i}", text(parts, 500, ""), "zh") for i in range(1500)] + [(f"e{i}", text(words[:2000], 100, " "), "en") for i in range(300)]
+    model = language.train(spark.createDataFrame(rows, "doc_id string, text string, lang string").repartition(8))
+    assert max(language.SLOTS, *(t.slots for t in model.tables)) > 10_000_000 and max(model.false_rate) < 0.126
+    assert {model.decide(text(parts, 20, ""))[0] for _ in range(50)} == {"zh"}
+    assert {model.decide(text(words[1000:3000], 60, " "))[0] for _ in range(50)} == {"en"}  # half of the words are new
+    assert max(model.decide("".join(rng.choice([chr(c) for c in range(0x430, 0x450)], 2000)))[2] for _ in range(20)) < 0.1
