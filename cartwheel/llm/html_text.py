@@ -3,8 +3,11 @@
 A page is cut into blocks at block-level tags.  The first pass labels blocks on
 their own: chrome (menus, headers, footers, sidebars, notices, adverts, forms,
 reader comments) and link-dense blocks are bad, long blocks with enough stop
-words are good, the rest stays open.  The second pass gives open short blocks
-the label of their nearest decided neighbours (at equal distance from a good and
+words are good, the rest stays open.  Where no list's stop words are frequent on
+the page (another language, or hardly any prose), length and link density decide
+alone; elsewhere long blocks with few stop words stay open, and paragraphs and
+table rows among them are kept from ``LONG`` characters on.  Wide characters count
+two.  The second pass gives open blocks the label of their nearest decided neighbours (at equal distance from a good and
 a bad one, paragraphs are good).  Inside an explicit article or
 main element the page itself vouches for the text, so a block there needs no
 stop words and looks to neighbours inside that element only.
@@ -34,7 +37,7 @@ LONG = 200        # characters above which stop words decide alone
 STOP_LOW, STOP_HIGH = 0.12, 0.25
 
 # fixed values: frequent function words of en, de, fr, es, it, pt, nl
-STOP_WORDS = frozenset("""
+STOP_LISTS = [frozenset(line.split()) for line in """
 a an the of and to in is it that for on with as was at by be are this from or have not but they his her which you were had
 der die das und in zu den von mit für ist im nicht ein eine auf sich dem des auch es an werden aus er hat dass sie nach wird bei
 le la les de des du et en un une que qui dans pour pas sur avec est au ce il par plus ne se sont
@@ -42,7 +45,8 @@ el los las y que en un una por con no para es del se lo como más su al o
 il di che e per non una sono con del della i gli
 o os as do da em um uma não com para
 het een van en dat op te zijn met voor niet aan
-""".split())
+""".strip().splitlines()]
+STOP_WORDS = frozenset().union(*STOP_LISTS)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "select", "textarea", "button", "title", "canvas")
@@ -64,6 +68,7 @@ TOKEN = re.compile(
     r"|([^<]+|<)", re.S | re.I)
 ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 WORD = re.compile(r"\w+")
+WIDE = re.compile("[\u1100-\u115f\u2e80-\ua4cf\uac00-\ud7a3\uf900-\ufaff\ufe30-\ufe6f\uff01-\uff60\uffe0-\uffe6\U00020000-\U0003fffd]")
 
 
 @dataclass
@@ -74,6 +79,7 @@ class Block:
     inside: int            # number of the article or main element, 0 outside
     heading: bool
     paragraph: bool
+    cell: bool             # in a table
     label: str = field(default="")
 
 
@@ -103,7 +109,7 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks in order, with what the labelling needs."""
     out: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, in chrome, number of the article, in a paragraph
+    stack: list[tuple[str, bool, int, bool, bool]] = [("", False, 0, False, False)]  # tag, in chrome, number of the article, in a paragraph, in a table
     articles = linked = depth = 0
     heading = False
 
@@ -111,7 +117,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked, heading
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, linked, stack[-1][1], stack[-1][2], heading, stack[-1][3]))
+            out.append(Block(text, linked, stack[-1][1], stack[-1][2], heading, stack[-1][3], stack[-1][4]))
         parts.clear()
         linked, heading = 0, False
 
@@ -144,7 +150,7 @@ def blocks(page: str) -> list[Block]:
             depth = 1
         if tag in VOID or m[4].endswith("/"):
             continue
-        _, chrome, inside, paragraph = stack[-1]
+        _, chrome, inside, paragraph, cell = stack[-1]
         if tag in ("article", "main") and not inside:
             articles += 1
             inside = articles
@@ -153,15 +159,19 @@ def blocks(page: str) -> list[Block]:
         if tag in ("p", "li", "tr", "dt", "dd") and stack[-1][0] == tag:
             stack.pop()  # such an element ends where the next one begins
         paragraph = tag in ("p", "pre", "blockquote") or paragraph and tag not in BLOCK
-        stack.append((tag, chrome, inside, paragraph))
+        stack.append((tag, chrome, inside, paragraph, cell or tag == "table"))
         heading = heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6")
     close()
     return out
 
 
+def _size(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + len(WIDE.findall(text))
+
+
 def _first_pass(b: Block) -> str:
-    size = len(b.text)
-    if b.chrome or b.links > MAX_LINK_DENSITY * size or "\N{COPYRIGHT SIGN}" in b.text and size < LONG and not b.inside:
+    size = _size(b.text)
+    if b.chrome or b.links > MAX_LINK_DENSITY * len(b.text) or "\N{COPYRIGHT SIGN}" in b.text and size < LONG and not b.inside:
         return "bad"
     if size < SHORT or b.heading:
         return ""
@@ -170,13 +180,27 @@ def _first_pass(b: Block) -> str:
     words = WORD.findall(b.text.lower())
     stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if stop < STOP_LOW:
-        return "bad"
+        return "few"
     return "good" if size >= LONG and stop >= STOP_HIGH else "near"
 
 
+def _listed(found: list[Block], first: list[str]) -> bool:
+    """Whether the stop words of one list are frequent in the page's text."""
+    words = [w for b, x in zip(found, first) if x != "bad" for w in WORD.findall(b.text.lower())]
+    return any(sum(w in stop for w in words) >= STOP_LOW * len(words) for stop in STOP_LISTS)
+
+
 def label(found: list[Block]) -> None:
     """Both passes: leaves ``good`` or ``bad`` in every block."""
     first = [_first_pass(b) for b in found]
+    if "few" in first:
+        listed = _listed(found, first)
+        for i, b in enumerate(found):
+            if first[i] == "few":
+                if not listed:
+                    first[i] = "good"
+                else:
+                    first[i] = "near" if _size(b.text) >= LONG and (b.paragraph or b.cell) else ""
     vouched = any(x in ("good", "near") or b.inside for x, b in zip(first, found))
 
     # a run of open blocks shares its neighbours, so each direction is one sweep

@@ -268,3 +268,30 @@ def test_language_large_alphabet(spark):
     assert {model.decide(text(parts, 20, ""))[0] for _ in range(50)} == {"zh"}
     assert {model.decide(text(words[1000:3000], 60, " "))[0] for _ in range(50)} == {"en"}  # half of the words are new
     assert max(model.decide("".join(rng.choice([chr(c) for c in range(0x430, 0x450)], 2000)))[2] for _ in range(20)) < 0.1
+
+
+OTHER = {
+    "pl": "Dom, który stał na wzgórzu, należał kiedyś do człowieka znanego wszystkim mieszkańcom miasteczka, ponieważ odwiedził prawie każdy kraj świata. ",
+    "sv": "Huset som stod uppe på kullen tillhörde länge mannen som besökt nästan alla länder och därför var känd bland stadens invånare. ",
+    "ru": "Дом, который стоял на холме, принадлежал человеку, известному всем жителям города, потому что он побывал почти во всех странах мира. ",
+    "zh": "山上的那座房子曾经属于一个全城居民都认识的人,因为他几乎去过世界上所有的国家,人们常常谈起他的故事。",
+}
+
+
+@pytest.mark.parametrize("lang", OTHER)
+def test_html_text_unlisted_language(lang):
+    long, short = (OTHER[lang] * 2).strip(), OTHER[lang].strip()
+    page = (f"<body><nav><a href=a>{short}</a></nav><div>{long}</div><p>{short}</p><p>{short[:20]}</p><div>{long}</div>"
+            f"<div><a href=b>{short}</a></div><div class=cookie>{long}</div><footer>{long}</footer></body>")
+    assert html_text.main_text(page) == "\n\n".join([long, short, short[:20].strip(), long])
+
+
+def test_html_text_few_stop_words():
+    """Code, table rows and terse paragraphs between an English page's paragraphs."""
+    code = "int total = 0; while (cursor.next()) { total += cursor.value(); } printf(total);"
+    row = "Oslo 1234 5678 9012 3456 Bergen 7890 1234 5678 Trondheim 9012 3456 7890 Stavanger 42"
+    terse = "Ingredients: 200 g flour, 100 g sugar, 50 g butter, three eggs, vanilla, salt, baking powder, milk. " * 3
+    page = (f"<nav>Menu</nav><p>{LONG_TEXT}</p><pre>{code}</pre><p>{LONG_TEXT}</p><table><tr><td>{row}</td></tr></table><p>{LONG_TEXT}</p>"
+            f"<footer>About</footer><p>{terse}</p><div class=ads>{terse}</div><div><a href=x>{row}</a></div>")
+    assert html_text.main_text(page) == "\n\n".join([LONG_TEXT, code, LONG_TEXT, row, LONG_TEXT, terse.strip()])
+    assert html_text.main_text(f"<nav>Menu</nav><pre>{code}</pre><table><tr><td>{row}</td></tr></table><footer>About</footer>") == f"{code}\n\n{row}"
