@@ -29,8 +29,8 @@ sets link when ``den * intersection >= num * union``.
   against the allowed difference; what passes is recomputed from whole texts.
 
 Defined cases: a null text, or one without words, is an empty set, linked with
-nothing; fewer than k words are one shingle; ids may repeat (rows with one id
-share its component); a null id never names a component that has another id;
+nothing; fewer than k words are one shingle; ids may repeat (each row has the
+component of its own text, and only near copies are dropped); a null id never names a component that has another id;
 an empty table gives no rows; other columns are ignored and pass through
 ``drop_near_copies``.  Classes bear 64 bits of the 128-bit hash as their name."""
 
@@ -377,10 +377,8 @@ def _labels(docs: DataFrame, text_col: str, buckets: DataFrame, sets: DataFrame,
     return buckets.selectExpr("sid AS node", "sid AS root").limit(0) if labels is None else labels
 
 
-def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id (the smallest id
-    reachable by links of similarity ``num / den`` and more, its own included)."""
+def _named(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, sid, n, component_id), one row per row of ``docs``."""
     profile = written(_profile(docs, id_col, text_col, k))
     rows = profile.where("hot is null")
     often = profile.where("hot is not null").groupBy("hot").agg(F.sum("n").alias("c"))
@@ -393,17 +391,40 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     smallest = written(sets.groupBy("root").agg(F.min("first").alias("component_id")))
     named = written(sets.join(smallest, "root").select("sid", "component_id"))
     return (rows.join(named, "sid", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+            .select("id", "sid", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+
+
+def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id (the smallest id
+    reachable by links of similarity ``num / den`` and more, its own included)."""
+    return _named(docs, k, num, den, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``docs`` with the smallest id of each component; columns unchanged.
-    Rows with a null id stay."""
-    found = link_components(docs, k, num, den, id_col, text_col)
-    lost = written(found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_lost")).distinct())
-    return docs.join(lost, docs[id_col] == F.col("_lost"), "left_anti")
+    Rows with a null id stay.  Of a repeated id only the near copies go."""
+    found = _named(docs, k, num, den, id_col, text_col).where("id is not null")
+    copy = F.col("component_id") != F.col("id")
+    lost = written(found.groupBy(F.col("id").alias("_lost")).agg(F.bool_and(copy).alias("_whole"), F.collect_set(F.when(copy, F.col("sid"))).alias("_sets"))
+                   .where(F.size("_sets") > 0))
+    kept = docs.join(lost, docs[id_col] == F.col("_lost"), "left_anti")
+    mixed = lost.where(~F.col("_whole"))
+    if mixed.isEmpty():
+        return kept
+
+    # ids that have a near copy and another text: by the set of each row
+    both = docs.join(mixed, docs[id_col] == F.col("_lost")).drop("_lost", "_whole")
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        sets = Sets(k)
+        for b in batches:
+            stays = [sets.name(sets.of(t)) not in own for t, own in zip(text_bytes(b.column(at)), b.column(b.num_columns - 1).to_pylist())]
+            yield b.select(range(b.num_columns - 1)).filter(pa.array(stays, pa.bool_()))
+
+    return kept.unionByName(both.mapInArrow(run, docs.schema))
 
 
 @query("op4_near_join")

@@ -145,6 +145,15 @@ def test_near_join_edge_cases(spark):
     assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 6, 7, 9]
 
 
+def test_drop_near_copies_of_a_repeated_id(spark):
+    """An id with a near copy of a smaller id's text loses that row only."""
+    one, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, one), (2, one + " x"), (2, other), (2, other), (2, None), (3, other + " y"), (4, one + " z"), (None, one)]
+    kept = near_join.drop_near_copies(docs(spark, rows))
+    assert kept.columns == DOCS.replace(" long", "").replace(" string", "").replace(" int", "").split(", ")
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, one), (2, other), (2, other), (2, None), (None, one)])
+
+
 def test_components_of_a_long_chain(spark):
     n = 300
     order = np.random.default_rng(0).permutation(n).tolist()
