@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 MODULES = ["language", "secrets", "packing", "near_join", "url_filter", "warc", "decontaminate",
-           "tool_calls", "exact_dedup", "html_text", "token_align", "periodic_runs"]
+           "tool_calls", "exact_dedup", "html_text", "quality_rules", "token_align", "periodic_runs"]
 
 
 def query(name: str, sql: str | None = None):
