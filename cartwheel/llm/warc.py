@@ -53,18 +53,30 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                         digest(payload).alias("payload_digest"))
 
 
+def _references(t: Column) -> Column:
+    """Named references decoded in one pass over the pieces between ampersands."""
+    def piece(x):
+        known = F.when(F.lit(False), x)
+        for name, char in REFERENCES:
+            known = known.when(x.startswith(name[1:]), F.concat(F.lit(char), F.substring(x, len(name), 1 << 30)))
+        return known.otherwise(F.concat(F.lit("&"), x))
+
+    pieces = F.split(t, "&")
+    return F.array_join(F.transform(pieces, lambda x, i: F.when(i == 0, x).otherwise(piece(x))), "")
+
+
 def plain_text(page: Column) -> Column:
-    """The page's text, a line per block-level element."""
-    t = F.regexp_replace(page, r"(?s)<!--.*?(?:-->|\z)", " ")
-    for tag in DROPPED:
-        t = F.regexp_replace(t, rf"(?is)<{tag}\b.*?(?:</{tag}\s*>|\z)", " ")
+    """The page's text, a line per block-level element; references are left as they are."""
+    # one pass from left to right: a comment or a tag inside a dropped element opens nothing
+    t = F.regexp_replace(page, rf"(?is)<!--.*?(?:-->|\z)|<({'|'.join(DROPPED)})\b.*?(?:</\1\s*>|\z)", " ")
     t = F.regexp_replace(t, r"[\x20\t\r\n\f]{2,}|[\t\r\n\f]", " ")  # lone blanks stay as they are
     t = F.regexp_replace(t, rf"(?i)</?(?:{LINE_TAGS.replace(' ', '|')})\b[^>]*>", "\n")
-    t = F.regexp_replace(t, r"<[A-Za-z/!][^>]*>", "")
-    for name, char in REFERENCES:
-        t = F.replace(t, F.lit(name), F.lit(char))
-    t = F.regexp_replace(t, r"\x20{2,}", " ")
-    return F.regexp_replace(F.regexp_replace(t, r"\x20?\n[\x20\n]*", "\n"), r"^[\x20\n]+|[\x20\n]+\z", "")
+    return F.regexp_replace(t, r"<[A-Za-z/!][^>]*>", "")
+
+
+def tidy_text(t: Column) -> Column:
+    """Blanks joined and lines trimmed, once references are decoded."""
+    return F.btrim(F.regexp_replace(F.regexp_replace(t, r"\x20{2,}", " "), r"\x20?\n[\x20\n]*", "\n"), F.lit(" \n"))
 
 
 def _lines(*fields: tuple[str, Column]) -> Column:
@@ -80,6 +92,11 @@ def derive(source: DataFrame) -> DataFrame:
     of = {k: record_id(F.lit(k), F.col("record_id")) for k in ("metadata", "conversion")}
     title = F.trim(F.regexp_replace(F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title", 1), r"[\x20\t\r\n\f]+", " "))
     links = F.regexp_extract_all("payload", F.lit(r'(?i)<a\b[^>]*\bhref="([^"\r\n]*)"'), 1)
+    # what several expressions below read is made once
+    t = F.col("_text")
+    source = (source.withColumns({"_links": links, "_text": plain_text(F.col("payload"))})
+              .withColumn("_text", F.when(t.contains("&"), _references(t)).otherwise(t)).withColumn("_text", tidy_text(t)))
+    links = F.col("_links")
     # the source's own headers follow, one field each
     heads = F.regexp_replace(F.regexp_replace("http", r"^[^\r\n]*(?:\r\n)?", ""), r"(?m)^", "http-")
     fields = F.concat(_lines(("status", F.regexp_extract("http", r"^HTTP/[0-9.]+ ([0-9]{3})", 1)), ("title", title),
@@ -89,7 +106,7 @@ def derive(source: DataFrame) -> DataFrame:
         F.struct(F.lit("metadata").alias("record_type"), of["metadata"].alias("id"), of["conversion"].alias("related"),
                  F.lit("application/warc-fields").alias("content_type"), fields.alias("block"), F.lit(True).alias("there")),
         F.struct(F.lit("conversion").alias("record_type"), of["conversion"].alias("id"), of["metadata"].alias("related"),
-                 F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("payload")).alias("block"), textual.alias("there")))
+                 F.lit("text/plain; charset=utf-8").alias("content_type"), F.col("_text").alias("block"), textual.alias("there")))
     rows = source.select("source_id", F.col("record_id").alias("refers_to"), "target_uri", "date", "payload_digest", textual.alias("both"),
                          F.explode(made).alias("r")).where("r.there")
     rows = rows.select("source_id", "r.record_type", F.col("r.id").alias("record_id"), "refers_to",
@@ -129,9 +146,8 @@ _UUID = ("'<urn:uuid:' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || su
 
 
 def _sql() -> str:
-    t = "regexp_replace(payload, '(?s)<!--.*?(?:-->|\\z)', ' ', 'g')"
-    for tag in ("script", "style", "noscript", "template"):
-        t = f"regexp_replace({t}, '(?is)<{tag}\\b.*?(?:</{tag}\\s*>|\\z)', ' ', 'g')"
+    dropped = "|".join(["<!--.*?(?:-->|\\z)", *(f"<{tag}\\b.*?(?:</{tag}\\s*>|\\z)" for tag in ("script", "style", "noscript", "template"))])
+    t = f"regexp_replace(payload, '(?is){dropped}', ' ', 'g')"
     t = f"regexp_replace({t}, '[\\x20\\t\\r\\n\\f]+', ' ', 'g')"
     t = f"regexp_replace({t}, '(?i)</?(?:{LINE_TAGS.replace(' ', '|')})\\b[^>]*>', chr(10), 'g')"
     t = f"regexp_replace({t}, '<[A-Za-z/!][^>]*>', '', 'g')"

@@ -299,6 +299,10 @@ def test_warc_edge_cases(spark):
     assert got[1, "conversion"].block == "a b\nx&y\nz" and got[2, "metadata"].related_id is None and got[3, "conversion"].block == ""
     meta = got[1, "metadata"].block.split("\r\n")
     assert meta[:3] == ["status: 404", "title: a b", "outlinks: 0"] and meta[3:] == ["http-X-A: b", "http-Content-Type: TEXT/HTML"]
+    nested = [("a<script>'<!--'</script>b", "a b"), ("a<style><script></style>b", "a b"), ("a<!-- <script> -->b", "a b"), ("a<TEMPLATE>x</template >b<noscript>c", "a b"),
+              ("&amp;lt; &nbsp;&&copy;&copy &quot;&#39;&", "&lt; &©&copy \"'&")]
+    text = [r.block for r in warc.derive(warc.responses(pages(spark, [("u", h) for h, _ in nested]))).where("record_type = 'conversion'").orderBy("source_id").collect()]
+    assert text == [t for _, t in nested]
     empty = pages(spark, [(None, None), (None, None)])
     assert warc.derive(warc.responses(empty)).count() == 4 and warc.derive(warc.responses(empty.limit(0))).count() == 0
 
