@@ -238,17 +238,25 @@ def held_out(id_col: str = "doc_id"):
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                min_coverage: float = 0.2) -> DataFrame:
     """``docs`` without texts that have no letter, or of whose n-grams no
-    language holds ``min_coverage``.  Columns are unchanged."""
-    model = train(docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)), text_col, lang_col)
-    shared, at = docs.sparkSession.sparkContext.broadcast(vars(model)), docs.columns.index(text_col)
+    language holds ``min_coverage``.  Columns are unchanged.
+
+    A text never vouches for itself: ids are dealt to two halves by crc32, and
+    each half is judged by filters that were learned from the other (held-out
+    rows and null ids are in no training).  Copies under another id do count."""
+    half = F.coalesce(F.pmod(F.shiftrightunsigned(F.crc32(F.col(id_col).cast("string").cast("binary")), 2), F.lit(2)), F.lit(0)).cast("int")
+    learn = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col))
+    models = [vars(train(learn.where(half != k), text_col, lang_col)) for k in (0, 1)]
+    names = docs.columns
+    shared, at = docs.sparkSession.sparkContext.broadcast(models), names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        model = LanguageFilter(**shared.value)
+        models = [LanguageFilter(**m) for m in shared.value]
         for b in batches:
-            got = [model.decide(t) for t in b.column(at).to_pylist()]
-            yield b.filter(pa.array([g[0] != "und" and g[2] >= min_coverage for g in got], pa.bool_()))
+            got = [models[k].decide(t) for t, k in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
+            kept = b.filter(pa.array([g[0] != "und" and g[2] >= min_coverage for g in got], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.select("*", half.alias("half of " + id_col)).mapInArrow(run, docs.schema)
 
 
 @query("op1_language")

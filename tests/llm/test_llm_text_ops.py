@@ -93,6 +93,18 @@ def test_keep_known(spark):
     assert kept.columns == some.columns and sorted(r.doc_id for r in kept.collect()) == list(range(12))
 
 
+def test_keep_known_needs_other_documents(spark):
+    """Labelled keyboard noise doesn't vouch for itself; ordinary texts stay, null ids too."""
+    noise = ["xqzj vkwp zzqx jjkq wxvz qpzk " * 5, "asdf jkl; qwer uiop zxcv bnm, " * 4, "gkjh tyrw pqmz xcvn lskd " * 6, "hjkl yuio vbnm fghj rtyu " * 3]
+    some = docs(spark, *["the cat and the dog sat on the mat with a hat"] * 20, *noise)
+    some = some.unionByName(some.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
+    kept = language.keep_known(some)
+    assert {r.doc_id for r in kept.collect()} == {None, *range(20)} and kept.columns == some.columns
+    docs_ = table(spark, "documents")
+    lost = docs_.join(language.keep_known(docs_), "doc_id", "left_anti").where("lang is not null and length(text) > 40").count()
+    assert lost == 0
+
+
 # ---------------------------------------------------------------- secrets
 
 def plain_base(text):
