@@ -1,10 +1,11 @@
 """Text retrieval (V1-V5) as Spark jobs.
 
 Chunks are generated with ``sequence`` + ``posexplode`` (whole texts, every
-chunk).  Cosine and keyword search score every chunk against the queries,
-broadcast in batches of measured size, then keep the top-k per query with a
-``row_number`` filter that Spark pre-limits per task, so that no more than
-k rows a query and task are shuffled.
+chunk).  Cosine, keyword and semantic search score every chunk against the
+queries, broadcast in batches of measured size, then keep the top-k per query
+with a ``row_number`` filter that Spark pre-limits per task, so that no more
+than k rows a query and task are shuffled.  ``lsh.lsh_topk`` is the cosine
+search that compares likely neighbours only.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import tokenize
+from cartwheel.operators.sparse import hashed, smooth_idf, sparse_topk
 
 BATCH_BYTES = 64 << 20  # of queries in one broadcast
 
@@ -69,24 +71,37 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "que
     """Top-k chunks per query by the number of shared distinct tokens; ties
     by chunk id; zero-score chunks fill the list when fewer than k overlap.
 
-    Query tokens are broadcast into the chunk-token stream, so a very common
-    token never becomes a shuffle key.  The chunks are partitioned by id once;
-    counting per (query, chunk) then needs no further shuffle, though nearly
-    every pair shares a token."""
-    qt = queries.select(F.col(q_id).alias("query_id"), F.explode(F.array_distinct(tokenize(q_text))).alias("tok"))
-    ct = chunks.select(F.col(c_id).alias("chunk_id"), F.col(c_text).alias("_c")).repartition("chunk_id")
-    ct = ct.select("chunk_id", F.explode(F.array_distinct(tokenize("_c"))).alias("tok"))
-    hits = _union([ct.join(b, "tok").groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).alias("score"))
-                   for b in _batches(qt, F.octet_length("tok") + 64)])
+    A block of chunks at a time is scored against the queries' inverted list
+    (``sparse_topk``): a common token makes no row for each pair that shares it."""
+    terms = lambda df, i, t, name: df.select(F.col(i).alias(name), F.array_distinct(tokenize(t)).alias("terms"))
+    hits = sparse_topk(terms(queries, q_id, q_text, "query_id"), terms(chunks, c_id, c_text, "doc_id"), k)
+    hits = hits.select("query_id", F.col("doc_id").alias("chunk_id"), F.col("score").cast("bigint").alias("score"))
+    return _filled(hits, queries, chunks, k, q_id, c_id)
+
+
+def _filled(hits: DataFrame, queries: DataFrame, chunks: DataFrame, k: int, q_id: str, c_id: str) -> DataFrame:
+    """Ranks of the hits, with chunks of score zero where fewer than k have one:
+    the k smallest chunk ids, for every query (k x queries rows)."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")
-    hits = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("rank")
-    # zero-score fillers: the k smallest chunk ids, for every query (k × queries rows)
     first_k = chunks.select(F.col(c_id).alias("chunk_id")).distinct().orderBy("chunk_id").limit(k)
-    fill = queries.select(F.col(q_id).alias("query_id")).crossJoin(F.broadcast(first_k)).withColumn("score", F.lit(0).cast("bigint"))
+    fill = queries.select(F.col(q_id).alias("query_id")).crossJoin(F.broadcast(first_k)).withColumn("score", F.lit(0).cast(hits.schema["score"].dataType))
     cand = hits.unionByName(fill).groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def semantic_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "query_id", q_text: str = "text",
+                  c_id: str = "chunk_id", c_text: str = "chunk", buckets: int = 1 << 18) -> DataFrame:
+    """Top-k chunks per query by the cosine of hashed tf-idf vectors; ties by
+    chunk id, fillers as in ``keyword_topk``.
+
+    A vector has a place for each of ``buckets`` token hashes; it is kept sparse.
+    The weights of the buckets (at most ``buckets`` numbers) are broadcast."""
+    terms = lambda df, i, t, name: df.select(F.col(i).alias(name), hashed(tokenize(t), buckets).alias("terms"))
+    docs = terms(chunks, c_id, c_text, "doc_id")
+    hits = sparse_topk(terms(queries, q_id, q_text, "query_id"), docs, k, smooth_idf(docs, buckets))
+    return _filled(hits.select("query_id", F.col("doc_id").alias("chunk_id"), "score"), queries, chunks, k, q_id, c_id)
+
+
 # V4
 def build_context(ranked: DataFrame, texts: DataFrame, q_id: str = "query_id", c_id: str = "chunk_id",
                   text: str = "chunk") -> DataFrame:
@@ -99,19 +114,20 @@ def build_context(ranked: DataFrame, texts: DataFrame, q_id: str = "query_id", c
 # V5
 def retrieval_grid(docs: DataFrame, queries: DataFrame, sizes: Sequence[int] = (500, 1000, 2000),
                    ks: Sequence[int] = (1, 3, 5, 10), overlap: int = 200, id_col: str = "doc_id") -> DataFrame:
-    """Keyword retrieval for every (chunk size, k): per configuration the number
-    of retrieved chunks, queries answered and mean shared-token score.  One
-    chunking, one scoring and one aggregate per size, for all k."""
+    """Keyword and semantic retrieval for every (chunk size, k): per configuration
+    the number of retrieved chunks, queries answered and mean score (shared
+    tokens or cosine).  One chunking, one scoring and one aggregate per size and
+    kind of search, for all k."""
     kmax = max(ks)
     parts = []
     for size in sizes:
         ch = chunk(docs, id_col, size=size, overlap=overlap)
         ch = ch.withColumn("chunk_id", F.concat_ws(":", F.col(id_col).cast("string"), F.lpad(F.col("chunk_no").cast("string"), 6, "0")))
-        top = keyword_topk(queries, ch, kmax)
-        # every query that has rows has one of rank 1
-        row = lambda k: F.struct(
-            F.lit(size).alias("chunk_size"), F.lit(k).alias("k"), F.lit("keyword").alias("search"),
-            F.count_if(F.col("rank") <= k).alias("n_retrieved"), F.count_if(F.col("rank") == 1).alias("n_queries"),
-            F.round(F.avg(F.when(F.col("rank") <= k, F.col("score"))), 6).alias("mean_score"))
-        parts.append(top.agg(F.array(*[row(k) for k in ks]).alias("_r")).select(F.inline("_r")))
+        for kind, find in (("keyword", keyword_topk), ("semantic", semantic_topk)):
+            # every query that has rows has one of rank 1
+            row = lambda k: F.struct(
+                F.lit(size).alias("chunk_size"), F.lit(k).alias("k"), F.lit(kind).alias("search"),  # noqa: B023
+                F.count_if(F.col("rank") <= k).alias("n_retrieved"), F.count_if(F.col("rank") == 1).alias("n_queries"),
+                F.round(F.avg(F.when(F.col("rank") <= k, F.col("score"))), 6).alias("mean_score"))
+            parts.append(find(queries, ch, kmax).agg(F.array(*[row(k) for k in ks]).alias("_r")).select(F.inline("_r")))
     return _union(parts)

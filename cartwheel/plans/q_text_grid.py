@@ -65,6 +65,25 @@ ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORD
            WHERE rank <= {k})"""
 
 
+# hashed tf-idf vectors: the first 32 bits of a token's md5 choose its place
+SEM_SQL = """cb AS (SELECT chunk_id, unnest(list_transform({ctok}, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT % {buckets})) AS b FROM chunks),
+ctf AS (SELECT chunk_id, b, count(*) AS tf FROM cb GROUP BY 1, 2),
+total AS (SELECT count(*) AS n FROM chunks),
+idf AS (SELECT b, ln((1 + n) / (1 + count(*))) + 1 AS w FROM ctf, total GROUP BY b, n),
+cw AS (SELECT chunk_id, b, tf * w AS w FROM ctf JOIN idf USING (b)),
+cn AS (SELECT chunk_id, sqrt(sum(w * w)) AS norm FROM cw GROUP BY 1),
+qb AS (SELECT item_id AS query_id, unnest(list_transform({qtok}, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT % {buckets})) AS b FROM benchmark),
+qw AS (SELECT query_id, b, count(*) * coalesce(any_value(w), ln(1 + any_value(n)) + 1) AS w FROM qb LEFT JOIN idf USING (b), total GROUP BY 1, 2),
+qn AS (SELECT query_id, sqrt(sum(w * w)) AS norm FROM qw GROUP BY 1),
+hits AS (SELECT query_id, chunk_id, round(sum(qw.w * cw.w) / any_value(qn.norm * cn.norm), 9) AS score
+         FROM cw JOIN qw USING (b) JOIN cn USING (chunk_id) JOIN qn USING (query_id) GROUP BY 1, 2),
+fill AS (SELECT item_id AS query_id, chunk_id, 0 AS score FROM benchmark,
+         (SELECT chunk_id FROM (SELECT DISTINCT chunk_id FROM chunks) ORDER BY chunk_id LIMIT {k})),
+cand AS (SELECT query_id, chunk_id, max(score) AS score FROM (SELECT * FROM hits UNION ALL SELECT * FROM fill) GROUP BY 1, 2),
+ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM cand)
+           WHERE rank <= {k})"""
+
+
 def _kw_sql(k, size=1000, step=800):
     return (CHUNKS_SQL.format(step=step, size=size) + ",\n" +
             KW_SQL.format(qtok=token_sql("text"), ctok=token_sql("chunk"), k=k))
@@ -95,9 +114,21 @@ def _grid_sql():
             body = _kw_sql(10, size=size, step=size - 200)
             parts.append(f"""SELECT {size} AS chunk_size, {k} AS k, 'keyword' AS search, count(*) AS n_retrieved,
   count(DISTINCT query_id) AS n_queries, round(avg(score), 6) AS mean_score FROM (WITH {body} SELECT * FROM ranked) WHERE rank <= {k}""")
+    for size in (500, 1000, 2000):
+        body = CHUNKS_SQL.format(step=size - 200, size=size) + ",\n" + SEM_SQL.format(qtok=token_sql("text"), ctok=token_sql("chunk"), k=10, buckets=1 << 18)
+        parts.append(f"""SELECT {size} AS chunk_size, k, 'semantic' AS search, count(*) AS n_retrieved, count(DISTINCT query_id) AS n_queries,
+  round(avg(score), 6) AS mean_score FROM (WITH {body} SELECT * FROM ranked) JOIN (VALUES (1), (3), (5), (10)) AS ks(k) ON rank <= k GROUP BY k""")
     return "\nUNION ALL ".join(parts)
 
 
+@query("v3_semantic_topk", f"""WITH {CHUNKS_SQL.format(step=800, size=1000)},
+{SEM_SQL.format(qtok=token_sql("text"), ctok=token_sql("chunk"), k=5, buckets=1 << 18)}
+SELECT query_id, rank::INTEGER AS rank, round(score, 6) AS score FROM ranked""")
+def q_v3s(t):
+    r = R.semantic_topk(t.benchmark.select(F.col("item_id").alias("query_id"), "text"), _chunks(t), 5)
+    return r.select("query_id", F.col("rank").cast("int").alias("rank"), F.round("score", 6).alias("score"))
+
+
 @query("v5_retrieval_grid", _grid_sql())
 def q_v5(t):
     return R.retrieval_grid(t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), "text"))

@@ -5,6 +5,8 @@ unseen categories; plus algebraic invariants of the metrics."""
 import datetime as dt
 import itertools
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,14 +308,39 @@ def test_running_sums_by_key_and_mid_ranks_with_a_hot_value(spark):
 
 def test_keyword_search_in_batches_without_a_shuffle_of_pairs(spark, monkeypatch):
     import re
-    from cartwheel.operators import retrieval
+    from cartwheel.operators import retrieval, sparse
     qs = spark.createDataFrame([(i, f"common w{i} w{i + 1}") for i in range(9)] + [(99, "absent"), (100, None)], "query_id int, text string")
     ch = spark.createDataFrame([(f"c{i:02d}", f"common w{i % 5} w{i % 7}") for i in range(40)] + [("c90", None), ("c91", "")], "chunk_id string, chunk string")
     plain = rows(retrieval.keyword_topk(qs, ch, 3), "query_id", "rank", "chunk_id", "score")
-    monkeypatch.setattr(retrieval._batches, "__defaults__", (400,))  # several broadcasts
+    monkeypatch.setattr(sparse, "BATCH_BYTES", 400)  # several broadcasts
+    monkeypatch.setattr(sparse, "BLOCK_CELLS", 20)  # and blocks of a few chunks
+    monkeypatch.setattr(sparse, "BLOCK_TERMS", 7)
     assert rows(retrieval.keyword_topk(qs, ch, 3), "query_id", "rank", "chunk_id", "score") == plain
     words = lambda t: set(re.findall(r"\w+", t or ""))
     chunks = [(r["chunk_id"], words(r["chunk"])) for r in ch.collect()]
     for q in qs.collect():
         best = sorted((-len(words(q["text"]) & w), c) for c, w in chunks)[:3]
         assert [(-s, c) for s, c in best] == [(r[3], r[2]) for r in plain if r[0] == q["query_id"]]
+
+
+def test_semantic_search_matches_plain_tf_idf(spark, monkeypatch):
+    import hashlib
+    from collections import Counter
+    from cartwheel.operators import retrieval, sparse
+    monkeypatch.setattr(sparse, "BLOCK_CELLS", 30)
+    qs = spark.createDataFrame([(i, f"alpha w{i} w{i} w{i + 2}") for i in range(9)] + [(99, "absent"), (100, None)], "query_id int, text string")
+    ch = spark.createDataFrame([(f"c{i:02d}", f"alpha alpha w{i % 5} w{i % 7} x{i}") for i in range(40)] + [("c90", None), ("c91", "")], "chunk_id string, chunk string")
+    got = {(r["query_id"], r["rank"]): r for r in retrieval.semantic_topk(qs, ch, 4, buckets=97).collect()}
+    vec = lambda t: Counter(int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 97 for w in (t or "").split())
+    chunks = [(r["chunk_id"], vec(r["chunk"])) for r in ch.collect()]
+    df = Counter(b for _, v in chunks for b in v)
+    idf = lambda b: math.log((1 + len(chunks)) / (1 + df[b])) + 1
+    unit = lambda v: {b: n * idf(b) / math.sqrt(sum((m * idf(c)) ** 2 for c, m in v.items())) for b, n in v.items()}
+    for q in qs.collect():
+        u = unit(vec(q["text"]))
+        best = sorted((-round(sum(w * unit(v).get(b, 0) for b, w in u.items()), 9), c) for c, v in chunks)[:4]
+        for i, (s, c) in enumerate(best):
+            r = got[q["query_id"], i + 1]
+            assert r["chunk_id"] == c and abs(r["score"] + s) < 1e-8
+    plan = retrieval.semantic_topk(qs, ch, 4)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan
