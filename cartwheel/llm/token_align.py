@@ -10,8 +10,9 @@ id pairs of a batch and Spark merges the counts of all batches.
 Tokens that end together cover the same last bytes, so one's bytes end with the
 other's.  The pairs that can ever be counted are therefore bounded by the two
 vocabularies (``pair_bound``; 324,297 for the given ones), whatever the corpus,
-and the merged counts are collected and broadcast.  Texts are tokenised once:
-the links, as pair numbers, are written between the two passes.  The vocabulary
+and the merged counts are collected and broadcast.  Texts are tokenised once,
+a distinct segment between blanks once a task (``Segments``): the links, as
+pair numbers, are written between the two passes.  The vocabulary
 files are read by the driver and broadcast, so executors need no copy.
 
 Defined cases: a text that is null, empty, or not rebuilt byte by byte by both
@@ -27,6 +28,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -41,7 +43,9 @@ from cartwheel.llm.registry import query
 
 FOLDER = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-SLICE_BYTES = 1 << 20  # texts tokenised at a time, at least one
+SLICE_BYTES = 1 << 18   # texts aligned at a time, at least one
+CACHE_SEGMENTS = 1 << 18  # distinct segments whose tokens a task remembers
+SEGMENT = re.compile(r"(?<=[^\s▁])(?= (?s:.))")  # a lone last blank stays with its word
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -70,8 +74,16 @@ class ByteTokens:
                              for t, i in self.model.get_vocab(with_added_tokens=True).items()})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of a blank and each text."""
         return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
+    def splits(self) -> bool:
+        """Whether no token crosses from another character to a blank: the
+        splitting pattern of byte-level models starts a new part there."""
+        model = json.loads(self.model.to_str())
+        split = model.get("pre_tokenizer") or {}
+        return not model.get("normalizer") and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+
 
 class PieceTokens:
     """A vocabulary of pieces with byte fallback; it puts the blank itself."""
@@ -87,6 +99,9 @@ class PieceTokens:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def splits(self) -> bool:
+        return not any(re.search("[^▁]▁", self.model.id_to_piece(i)) for i in range(self.model.get_piece_size()))
+
 
 def pair_bound(a: pa.Array, b: pa.Array) -> int:
     """How many pairs of entries can end together: one's bytes end with the other's."""
@@ -107,30 +122,86 @@ def _ends(lists: pa.Array, entry_bytes: pa.Array) -> tuple[pa.Array, pa.Array, p
     return flat, parent, pc.subtract(total, base.take(parent)), joined
 
 
-def _lists(encoded: list[list[int]], keep: list[bool]) -> pa.Array:
-    return pa.array([e if k else [] for e, k in zip(encoded, keep)], pa.list_(pa.int32()))
+def _only(lists: pa.Array, keep: list[bool]) -> pa.Array:
+    """The lists, those not kept emptied."""
+    return pc.if_else(pa.array(keep), lists, pa.array([[]] * len(lists), lists.type))
+
+
+class Numbers(dict):
+    """Numbers keys in the order in which they come."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
+class Segments:
+    """Tokens of segments of text, remembered by segment.
+
+    A text is cut before each blank that follows a character that is not white
+    space (or the mark that piece vocabularies write for a blank).  Neither tokenizer has a token across such a place (``splits``), so a
+    text's tokens are those of its segments in order, and most segments are
+    words that come again.  New segments are encoded in one piece and cut by
+    their byte ends; if their bytes do not come back, one by one."""
+
+    def __init__(self, *sides):
+        self.sides, self.cut = sides, all(s.splits() for s in sides)
+        self.clear()
+
+    def clear(self):
+        self.known = Numbers()
+        self.lists = [pa.array([], pa.list_(pa.int32())) for _ in self.sides]
+
+    def tokens(self, texts: list[str]) -> list[pa.Array]:
+        """For each side, the token ids of a blank and each text (of empty texts, none)."""
+        if len(self.known) > CACHE_SEGMENTS:
+            self.clear()
+        parts = [(SEGMENT.split(" " + t) if self.cut else [" " + t]) if t else [] for t in texts]
+        first = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
+        old = len(self.known)
+        at = list(map(self.known.__getitem__, chain.from_iterable(parts)))
+        if len(self.known) > old:
+            new = list(islice(self.known, old, None))
+            ragged = [s[-1].isspace() or s[-1] == "▁" for s in new]  # ends of texts: what follows would join them
+            order = np.argsort(ragged, kind="stable")
+            joined, rest = [s for s, r in zip(new, ragged) if not r], [s for s, r in zip(new, ragged) if r]
+            for k, side in enumerate(self.sides):
+                self.lists[k] = pa.concat_arrays([self.lists[k], self._encode(side, joined, rest).take(pa.array(np.argsort(order)))])
+        out = []
+        for lists in self.lists:
+            lists = lists.take(pa.array(at, pa.int64()))
+            out.append(pa.ListArray.from_arrays(lists.offsets.take(pa.array(first)), lists.values) if len(lists)
+                       else pa.array([[]] * len(texts), pa.list_(pa.int32())))
+        return out
+
+    def _encode(self, side, joined: list[str], rest: list[str]) -> pa.Array:
+        kind = pa.list_(pa.int32())
+        if len(joined) > 1:
+            text = "".join(joined)
+            ids = pa.array(side.encode([text[1:]])[0], pa.int32())
+            own = side.bytes.take(ids)
+            ends = np.cumsum(pc.binary_length(own).to_numpy())
+            want = np.cumsum(pc.binary_length(pa.array(joined)).to_numpy())
+            at = np.searchsorted(ends, want)
+            if pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), b"")[0].as_py() == text.encode() and (ends[at] == want).all():
+                whole = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], at + 1)), pa.int32()), ids)
+                return pa.concat_arrays([whole, pa.array(side.encode([s[1:] for s in rest]), kind)])
+        return pa.array(side.encode([s[1:] for s in joined + rest]), kind)
 
 
 class Aligner:
     def __init__(self, a, b):
-        self.a, self.b = a, b
+        self.a, self.b, self.segments = a, b, Segments(a, b)
         self.width = len(b.bytes)
         self.pair_type = pa.int32() if len(a.bytes) * self.width < 1 << 31 else pa.int64()
 
     def align(self, texts: list[bytes], with_groups: bool = False) -> list[pa.Array]:
         """n_a, n_b, n_groups, n_links, groups (or null), groups_sha256, pairs of each text."""
-        strings = [t.decode("utf-8", "replace") for t in texts]
-        at = [i for i, t in enumerate(strings) if t]
-        a_ids, b_ids = [[]] * len(texts), [[]] * len(texts)
-        for ids, side in ((a_ids, self.a), (b_ids, self.b)):
-            for i, e in zip(at, side.encode([strings[i] for i in at]) if at else []):
-                ids[i] = e
-        keep = [bool(t) for t in texts]
-        a_list, b_list = _lists(a_ids, keep), _lists(b_ids, keep)
+        a_list, b_list = self.segments.tokens([t.decode("utf-8", "replace") for t in texts])
         a, b = _ends(a_list, self.a.bytes), _ends(b_list, self.b.bytes)
-        same = [k and x == y == b" " + t for k, x, y, t in zip(keep, a[3], b[3], texts)]
-        if same != keep:
-            a_list, b_list = _lists(a_ids, same), _lists(b_ids, same)
+        keep = [not t or x == y == b" " + t for x, y, t in zip(a[3], b[3], texts)]
+        if not all(keep):
+            a_list, b_list = (_only(x, keep) for x in (a_list, b_list))
             a, b = _ends(a_list, self.a.bytes), _ends(b_list, self.b.bytes)
 
         stride = max(map(len, texts), default=0) + 2
@@ -143,7 +214,7 @@ class Aligner:
         pairs = pc.add(pc.multiply(pc.cast(links["a"], pa.int64()), self.width), links["b"]).cast(self.pair_type).combine_chunks()
         pairs = pa.ListArray.from_arrays(_offsets(link_key, docs), pairs)
 
-        cuts = np.unique(link_key)
+        cuts = link_key[np.diff(link_key, prepend=-1) != 0]  # in order, as the tokens are
         sides = [pc.binary_join(pa.ListArray.from_arrays(_offsets(key.to_numpy(), cuts, "right", True), pc.cast(ids, pa.string())), ",")
                  for key, ids in ((key_a, a[0]), (key_b, b[0]))]
         of_doc = _offsets(cuts, docs)
@@ -159,13 +230,14 @@ def _offsets(keys: np.ndarray, cuts: np.ndarray, side: str = "left", first: bool
     return pa.array(np.concatenate(([0], at)) if first else at, pa.int32())
 
 
-def _slices(texts: list[bytes]) -> Iterator[slice]:
+def _slices(texts: pa.Array) -> Iterator[slice]:
+    """Rows of about ``SLICE_BYTES`` bytes of text, at least one."""
     first, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and size + len(t) > SLICE_BYTES:
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > first and size + n > SLICE_BYTES:
             yield slice(first, i)
             first, size = i, 0
-        size += len(t)
+        size += n
     yield slice(first, len(texts))
 
 
@@ -192,9 +264,8 @@ def align_tokens(docs: DataFrame, a_file: str = f"{FOLDER}/{A_FILE}", b_file: st
     def align(batches: Iterator[pa.RecordBatch]):
         aligner = Aligner(a_kind(files.value[0]), b_kind(files.value[1]))
         for b in batches:
-            texts = text_bytes(b.column(1))
-            for part in _slices(texts):
-                yield pa.RecordBatch.from_arrays([b.column(0)[part], *aligner.align(texts[part], with_groups)], ["id", *NAMES])
+            for part in _slices(b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0)[part], *aligner.align(text_bytes(b.column(1)[part]), with_groups)], ["id", *NAMES])
 
     def count(batches: Iterator[pa.RecordBatch]):
         for b in batches:

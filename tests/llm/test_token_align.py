@@ -62,6 +62,20 @@ def test_query_against_plain_python(spark, sides):
             na, nb, g.count("|"), links, best, total, sha), k
 
 
+def test_segments_give_the_tokens_of_whole_texts(sides, monkeypatch):
+    """Cut at blanks, remembered, forgotten: always the tokens of the whole text."""
+    import random
+    monkeypatch.setattr(A, "CACHE_SEGMENTS", 50)
+    rng = random.Random(4)
+    alphabet = ["a", "the", " ", " ", "  ", "\n", "\t", " \n ", "'s", "'", "é", "日本", "\u00a0", "\u2003", "\x1c", "\x85", "12", "!?", "▁", "🙂", "\u0301", "<s>", "<|endoftext|>", "ing"]
+    segments = A.Segments(*sides)
+    assert segments.cut
+    for _ in range(60):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 40))) for _ in range(20)]
+        for got, side in zip(segments.tokens(texts), sides):
+            assert got.to_pylist() == [side.encode([t])[0] if t else [] for t in texts]
+
+
 def test_edge_rows(spark, sides, monkeypatch):
     monkeypatch.setattr(A, "SLICE_BYTES", 200)
     texts = [None, "", " ", "a", "a", "<|endoftext|> </s> <s>", "naïve café 日本語 🙂 ‍", "x▁y", "tab\tline\n\n  end ",
