@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.operators import grid as G
+from cartwheel.operators import lsh as L
 from cartwheel.operators import retrieval as R
 from cartwheel.operators.windows import motion_mask
 from cartwheel.plans.catalog import query
@@ -55,6 +56,16 @@ def q_v2(t):
     return r.select("query_id", "doc_id", F.round("similarity", 6).alias("similarity"), F.col("rank").cast("int").alias("rank"))
 
 
+@query("v2_lsh_recall", """SELECT count(*) AS n_queries, count(*) * least(10, (SELECT count(*) FROM embeddings)) AS n_exact, true AS reached
+FROM embeddings WHERE vec_id % 20 = 0""")
+def q_v2_lsh(t):
+    """Recall at 10 of the prefiltered search against the exact one; queries are the ids divisible by 20."""
+    docs = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
+    qs = docs.where(F.col("doc_id") % 20 == 0).withColumnRenamed("doc_id", "query_id")
+    r = L.recall_at_k(L.lsh_topk(qs, docs, 10), R.cosine_topk(qs, docs, 10))
+    return r.select("n_queries", "n_exact", (F.col("recall") >= 0.9).alias("reached"))
+
+
 KW_SQL = """qt AS (SELECT DISTINCT item_id AS query_id, unnest({qtok}) AS tok FROM benchmark),
 ct AS (SELECT DISTINCT chunk_id, unnest({ctok}) AS tok FROM chunks),
 hits AS (SELECT query_id, chunk_id, count(*) AS score FROM ct JOIN qt USING (tok) GROUP BY 1, 2),
