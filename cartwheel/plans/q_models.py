@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators import explain as X
 from cartwheel.operators import models as M
 from cartwheel.operators import prep, splits, topk, windows
+from cartwheel.operators import trees as R
 from cartwheel.plans.catalog import query
 from cartwheel.plans.q_prep import NUM4, RANKS, _spearman_sql
 from cartwheel.session import shared_path
@@ -274,6 +275,116 @@ def _lr_model(t):
     return M.fit_logreg(tr, "label", "weight", regParam=0.01), tr, te
 
 
+# fixed values: a hand-made ensemble over the document features (tree, node, left, right, feature, threshold)
+TREES = [(0, 0, 1, 2, 1, 250.0), (0, 1, 3, 4, 3, 0.75), (0, 2, 5, 6, 2, 4.9), (0, 3, -1, -1, None, None), (0, 4, -1, -1, None, None),
+         (0, 5, -1, -1, None, None), (0, 6, 7, 8, 0, 4000.0), (0, 7, -1, -1, None, None), (0, 8, -1, -1, None, None),
+         (1, 0, 1, 2, 2, 5.2), (1, 1, 3, 4, 2, 4.8), (1, 2, 5, 6, 3, 0.7), (1, 3, -1, -1, None, None), (1, 4, -1, -1, None, None),
+         (1, 5, -1, -1, None, None), (1, 6, -1, -1, None, None)]
+
+
+def _fixed_nodes(t):
+    nodes = t.spark.createDataFrame([(*r, None, None, None, None) for r in TREES], R.NODES)
+    return R.measured(nodes, V.clf(t), CLF4, "quality")
+
+
+def _tree_sql():
+    """Counts of every node, from the conditions on its path, and per leaf its path."""
+    rows = {(r[0], r[1]): r for r in TREES}
+    paths = {}
+
+    def walk(key, path):
+        paths[key] = path
+        _, _, left, right, f, th = rows[key]
+        if left >= 0:
+            walk((key[0], left), [*path, (f, f"{CLF4[f]} <= {th!r}", key, (key[0], left))])
+            walk((key[0], right), [*path, (f, f"{CLF4[f]} > {th!r}", key, (key[0], right))])
+
+    for tree in sorted({k[0] for k in rows}):
+        walk((tree, 0), [])
+    name = lambda k: f"{k[0]}_{k[1]}"
+    cond = {k: " AND ".join(x[1] for x in p) or "true" for k, p in paths.items()}
+    stats = "st AS (SELECT " + ", ".join(
+        f"count(*) FILTER ({c}) AS n_{name(k)}, count(*) FILTER ({c} AND quality = 1) AS p_{name(k)}" for k, c in cond.items()) + " FROM clf)"
+    leaves = [(k, p) for k, p in paths.items() if rows[k][2] < 0]
+    n_trees = len({k[0] for k in rows})
+    return stats, leaves, rows, name, n_trees
+
+
+def _x1_kinds_sql():
+    stats, _, rows, name, _ = _tree_sql()
+    share = lambda k: f"coalesce(p_{name(k)} / nullif(n_{name(k)}, 0), 0)"
+    gini = lambda k: f"(2 * {share(k)} * (1 - {share(k)}))"
+    n = lambda k: f"n_{name(k)}"
+    splits = []
+    for k, (t, _, left, right, f, _) in rows.items():
+        if left >= 0:
+            a, b = (t, left), (t, right)
+            gain = f"coalesce({gini(k)} - ({n(a)} * {gini(a)} + {n(b)} * {gini(b)}) / nullif({n(k)}, 0), 0)"
+            splits.append(f"SELECT '{CLF4[f]}' AS feature, {n(k)} AS n, {gain} AS gain FROM st")
+    feats = ", ".join(f"('{c}')" for c in CLF4)
+    return f"""WITH {stats}, s AS ({' UNION ALL '.join(splits)}), a AS (SELECT feature, count(*) AS weight, avg(n) AS cover, avg(gain) AS gain FROM s GROUP BY 1),
+f AS (SELECT v.feature, coalesce(weight, 0) AS weight, coalesce(cover, 0) AS cover, coalesce(gain, 0) AS gain FROM (VALUES {feats}) AS v(feature) LEFT JOIN a USING (feature)),
+l AS (SELECT feature, 'weight' AS kind, weight AS v FROM f UNION ALL SELECT feature, 'cover', cover FROM f UNION ALL SELECT feature, 'gain', gain FROM f),
+i AS (SELECT kind, feature, v / sum(v) OVER (PARTITION BY kind) AS x FROM l)
+SELECT kind, feature, round(x, 6) AS importance, CAST(row_number() OVER (PARTITION BY kind ORDER BY x DESC, feature) AS INTEGER) AS rank FROM i"""
+
+
+@query("x1_importances_by_kind", _x1_kinds_sql(), ("clf",))
+def q_x1k(t):
+    i = R.importances_by_kind(_fixed_nodes(t), CLF4)
+    return i.select("kind", "feature", F.round("importance", 6).alias("importance"), F.col("rank").cast("int").alias("rank"))
+
+
+@query("x1_importances_fitted", "SELECT * FROM (VALUES ('cover', true), ('gain', true), ('weight', true)) AS v(kind, sums_to_one)")
+def q_x1f(t):
+    """Every kind of a fitted boosted ensemble sums to one."""
+    tr, _ = _clf_split(t)
+    nodes = R.node_table(M.fit_gbt(tr, "label", maxIter=10, maxDepth=3), t.spark)
+    i = R.importances_by_kind(nodes, CLF4)
+    return i.groupBy("kind").agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+
+
+def _x4_tree_sql():
+    """All 16 coalitions: the margin where known features decide and the others count by their share of rows."""
+    stats, leaves, _, name, n_trees = _tree_sql()
+
+    def worth(subset):
+        parts = []
+        for k, path in leaves:
+            factors = [f"CAST({c} AS INTEGER)" if f in subset else f"coalesce(n_{name(b)} / nullif(n_{name(a)}, 0), 0)" for f, c, a, b in path]
+            parts.append(f"coalesce(p_{name(k)} / nullif(n_{name(k)}, 0), 0) / {n_trees} * " + " * ".join(factors))
+        return " + ".join(parts)
+
+    subsets = [tuple(j for j in range(4) if b >> j & 1) for b in range(16)]
+    values = ", ".join(f"{worth(s)} AS v{b}" for b, s in enumerate(subsets))
+    weight = [1 / 4, 1 / 12, 1 / 12, 1 / 4]
+    phi = [" + ".join(f"{weight[bin(b).count('1')]!r} * (v{b | 1 << i} - v{b})" for b in range(16) if not b >> i & 1) for i in range(4)]
+    long = " UNION ALL ".join(f"SELECT doc_id, '{CLF4[i]}' AS feature, {phi[i]} AS x FROM w" for i in range(4))
+    return f"""WITH {stats}, w AS (SELECT doc_id, {values} FROM clf, st)
+SELECT doc_id, feature, round(x, 6) AS contribution FROM ({long}) UNION ALL SELECT doc_id, '(base)', round(v0, 6) FROM w"""
+
+
+@query("x4_shapley_trees", _x4_tree_sql(), ("clf",))
+def q_x4t(t):
+    """Shapley values of the hand-made ensemble for every document, and its base value."""
+    nodes, c = _fixed_nodes(t), V.clf(t)
+    phi = R.tree_contributions(nodes, c, CLF4, "doc_id").withColumn("contribution", F.round("contribution", 6))
+    base = c.select("doc_id", F.lit("(base)").alias("feature"), F.round(F.lit(R.base_value(nodes)), 6).alias("contribution"))
+    return phi.unionByName(base)
+
+
+@query("x4_shapley_fitted", "SELECT count(*) AS n_rows, true AS additive FROM clf", ("clf",))
+def q_x4f(t):
+    """Contributions of a fitted boosted ensemble and its base value add up to the model's own margin on every row."""
+    tr, te = _clf_split(t)
+    m = M.fit_gbt(tr, "label", maxIter=10, maxDepth=4)
+    nodes, rows = R.node_table(m, t.spark), tr.unionByName(te)
+    total = R.tree_contributions(nodes, rows, CLF4, "doc_id").groupBy("doc_id").agg(F.sum("contribution").alias("s"))
+    margin = m.transform(rows).select("doc_id", vector_to_array("rawPrediction")[1].alias("m"))
+    off = F.abs(F.col("s") + R.base_value(nodes) - F.col("m"))
+    return margin.join(total, "doc_id").agg(F.count("*").alias("n_rows"), (F.max(off) < 1e-9).alias("additive"))
+
+
 @query("x2_permutation_importance")
 def q_x2(t):
     m, _, te = _lr_model(t)
