@@ -7,6 +7,8 @@ go through ONE ``model.transform``, and the metric is a grouped aggregate.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
@@ -237,3 +239,66 @@ def find_rule(df: DataFrame, row: dict, cols: Sequence[str], label: str, target_
         if prec >= target_precision:
             break
     return trail
+
+
+def precision_bound(hits: int, n: int, delta: float) -> float:
+    """Lower bound of a share of which ``hits`` of ``n`` rows were seen: the true
+    share lies above it but for a chance of ``delta`` (relative entropy bound,
+    rounded down to four places)."""
+    if not n or not hits:
+        return 0.0
+    p, need = hits / n, -math.log(delta)
+
+    def far(g):  # g / 10^4 is too small a share to give p
+        q = g / 1e4
+        return q <= 0 or n * (p * math.log(p / q) + ((1 - p) * math.log((1 - p) / (1 - q)) if p < 1 else 0.0)) >= need
+
+    lo, hi = 0, int(math.floor(p * 1e4))
+    while lo < hi:  # shares below p are the farther the smaller
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if far(mid) else (lo, mid - 1)
+    return lo / 1e4
+
+
+def quartile_edges(df: DataFrame, cols: Sequence[str]) -> dict[str, list[float]]:
+    from cartwheel.functions.quantiles import column_quantiles
+    return {c: e for c, (_, e) in column_quantiles(df, list(cols), [0.25, 0.5, 0.75]).items()}
+
+
+def anchor_rule(df: DataFrame, row: dict, cols: Sequence[str], label: str, target: float = 0.95, delta: float = 0.05,
+                max_len: int = 4, beam: int = 6, edges: dict[str, list[float]] | None = None) -> dict:
+    """A short rule that fits ``row`` and whose rows have the row's label with a
+    precision of at least ``target``, by beam search over predicates "feature in
+    the row's quartile".
+
+    Each length is one aggregate over all extensions of the beam, on all rows.
+    A rule is accepted when the lower bound of its precision reaches the target;
+    ``delta`` is shared by all rules that could be looked at, so the bound holds
+    for whatever rule the search ends with.  Of the accepted rules of the
+    least length the one that covers most rows is returned (ties: by column
+    order).  If none is accepted, ``reached`` is False and the rule with the
+    highest bound is returned (ties: more rows, then shorter)."""
+    cols = list(cols)
+    edges = edges or quartile_edges(df, cols)
+    quartile = {c: sum(row[c] > x for x in edges[c]) for c in cols}
+    fits = {c: F.coalesce(sum((F.col(c) > float(x)).cast("int") for x in edges[c]) == quartile[c], F.lit(False)) for c in cols}
+    share = delta / sum(math.comb(len(cols), k) for k in range(1, min(max_len, len(cols)) + 1))
+    marked = df.select(*[fits[c].alias(f"f{i}") for i, c in enumerate(cols)], (F.col(label) == row[label]).alias("same"))
+    total, found, front = None, [], [()]
+    for _ in range(min(max_len, len(cols))):
+        tried = sorted({tuple(sorted({*rule, i})) for rule in front for i in range(len(cols)) if i not in rule})
+        both = {r: functools.reduce(lambda a, b: a & b, [F.col(f"f{i}") for i in r]) for r in tried}
+        got = marked.agg(F.count("*").alias("all"), *[F.count_if(m).alias(f"n{k}") for k, m in enumerate(both.values())],
+                         *[F.count_if(m & F.col("same")).alias(f"h{k}") for k, m in enumerate(both.values())]).first()
+        total = got["all"]
+        level = [dict(rule=r, n=got[f"n{k}"], hits=got[f"h{k}"], bound=precision_bound(got[f"h{k}"], got[f"n{k}"], share)) for k, r in enumerate(tried)]
+        found += level
+        if any(r["bound"] >= target for r in level):
+            break
+        front = [r["rule"] for r in sorted(level, key=lambda r: (-r["bound"], -r["n"], r["rule"]))[:beam]]
+    good = [r for r in found if r["bound"] >= target]
+    best = (min(good, key=lambda r: (-r["n"], r["rule"])) if good
+            else min(found, key=lambda r: (-r["bound"], -r["n"], len(r["rule"]), r["rule"])))
+    return {"rule": " AND ".join(f"{cols[i]} in quartile {quartile[cols[i]] + 1}" for i in best["rule"]), "covered": best["n"],
+            "coverage": best["n"] / total if total else 0.0, "precision": best["hits"] / best["n"] if best["n"] else 0.0,
+            "lower_bound": best["bound"], "reached": bool(good)}

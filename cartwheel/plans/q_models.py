@@ -6,6 +6,8 @@ pytest invariants); everything derived deterministically carries a twin."""
 
 from __future__ import annotations
 
+import itertools
+import math
 import uuid
 
 from pyspark.ml import Pipeline
@@ -19,7 +21,7 @@ from cartwheel.operators import prep, splits, topk, windows
 from cartwheel.operators import trees as R
 from cartwheel.plans.catalog import query
 from cartwheel.plans.q_prep import NUM4, RANKS, _spearman_sql
-from cartwheel.session import shared_path
+from cartwheel.session import materialize, shared_path
 from cartwheel.sources import io
 from cartwheel.sources import tables as V
 
@@ -424,6 +426,46 @@ def q_x11(t):
     return t.spark.createDataFrame(trail, "predicate string, precision double, covered long")
 
 
+# the rows to explain and the precision to reach
+ANCHORS = [("most words", "n_words DESC, doc_id", 0.95), ("fewest words", "n_words, doc_id", 0.8), ("longest words", "mean_word_len DESC, doc_id", 0.7)]
+
+
+def _anchor_sql():
+    """Every conjunction of the row's quartiles, and the choice among them by definition."""
+    rules = [r for k in range(1, 5) for r in itertools.combinations(range(4), k)]
+    need = -math.log(0.05 / len(rules))
+    bins = ", ".join(f"CAST({c} > quantile_cont({c}, 0.25) OVER () AS INT) + CAST({c} > quantile_cont({c}, 0.5) OVER () AS INT) "
+                     f"+ CAST({c} > quantile_cont({c}, 0.75) OVER () AS INT) AS q{i}" for i, c in enumerate(CLF4))
+    parts = []
+    for what, order, target in ANCHORS:
+        fits = [(r, " AND ".join(f"b.q{i} = r.q{i}" for i in r)) for r in rules]
+        text = lambda r: " || ' AND ' || ".join(f"'{CLF4[i]} in quartile ' || (any_value(r.q{i}) + 1)" for i in r)
+        seen = " UNION ALL ".join(
+            f"SELECT {k} AS place, {len(r)} AS len, {text(r)} AS rule, count(*) FILTER ({m}) AS n, count(*) FILTER ({m} AND b.quality = r.quality) AS h, count(*) AS total FROM b, r"
+            for k, (r, m) in enumerate(fits))
+        far = f"n * (h / n * ln(h / n / g) + CASE WHEN h < n THEN (1 - h / n) * ln((1 - h / n) / (1 - g)) ELSE 0 END) >= {need!r}"
+        parts.append(f"""SELECT '{what}' AS which, rule, n AS covered, round(n / total, 6) AS coverage, round(h / n, 6) AS precision, bound AS lower_bound,
+  bound >= {target} AS reached FROM (WITH r AS (SELECT * FROM b ORDER BY {order} LIMIT 1), seen AS ({seen}),
+  c AS (SELECT *, CASE WHEN h = 0 THEN 0 ELSE coalesce(list_max(list_filter(list_transform(range(1, CAST(floor(h / n * 1e4) AS BIGINT) + 1), lambda x: x / 1e4),
+        lambda g: {far})), 0) END AS bound FROM seen),
+  ok AS (SELECT min(len) AS len FROM c WHERE bound >= {target})
+  SELECT c.* FROM c, ok ORDER BY (bound >= {target} AND c.len = ok.len) DESC NULLS LAST,
+    CASE WHEN ok.len IS NULL THEN -bound ELSE 0 END, n DESC, c.len, place LIMIT 1)""")
+    return f"WITH b AS (SELECT *, {bins} FROM clf) " + " UNION ALL ".join(f"({p})" for p in parts)
+
+
+@query("x11_anchor_rule", _anchor_sql(), ("clf",))
+def q_x11a(t):
+    """Rules with a guaranteed precision for three documents, or the word that there is none."""
+    c, rows = materialize(V.clf(t)), []
+    edges = X.quartile_edges(c, CLF4)
+    for what, order, target in ANCHORS:
+        row = c.orderBy(*[F.expr(x.split()[0]).desc() if "DESC" in x else F.expr(x) for x in order.split(", ")]).first().asDict()
+        r = X.anchor_rule(c, row, CLF4, "quality", target, edges=edges)
+        rows.append((what, r["rule"], r["covered"], round(r["coverage"], 6), round(r["precision"], 6), r["lower_bound"], r["reached"]))
+    return t.spark.createDataFrame(rows, "which string, rule string, covered long, coverage double, precision double, lower_bound double, reached boolean")
+
+
 WEIGHTS = {"n_chars": 0.0001, "n_words": 0.001, "mean_word_len": 0.3, "distinct_share": -2.0}
 CONTRIB_SQL = "contrib AS (" + " UNION ALL ".join(
     f"SELECT doc_id, '{c}' AS feature, {w!r}::DOUBLE * ({c} - (SELECT avg({c}) FROM clf)) AS contribution FROM clf"

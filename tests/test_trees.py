@@ -99,3 +99,25 @@ def test_fitted_models_read_back(spark, kind, params):
     m = R.measured(nodes, d, ["a", "b", "c"], "label").where("node = 0").first()
     assert m["n"] == 400
     assert R.tree_contributions(nodes, d.limit(0), ["a", "b", "c"], "id").count() == 0
+
+
+def test_precision_bound_holds_the_share():
+    from cartwheel.operators.explain import precision_bound
+    assert precision_bound(0, 10, 0.05) == 0 == precision_bound(0, 0, 0.05)
+    assert precision_bound(1000, 1000, 0.05) == math.floor(1e4 * 0.05 ** (1 / 1000)) / 1e4
+    for n, k in ((50, 45), (500, 480), (20, 3)):
+        b = precision_bound(k, n, 0.01)
+        tail = math.fsum(math.comb(n, j) * b**j * (1 - b)**(n - j) for j in range(k, n + 1))
+        assert 0 < b < k / n and tail <= 0.01  # so many hits are unlikely below the bound
+
+
+def test_anchor_says_whether_it_reaches_the_target(spark):
+    from cartwheel.operators.explain import anchor_rule
+    df = spark.range(4000).select("id", (F.col("id") % 100).cast("double").alias("a"), (F.pmod(F.xxhash64("id"), F.lit(97))).cast("double").alias("b"),
+                                  F.lit(1.0).alias("c"))
+    df = df.withColumn("y", F.when((F.col("a") > 74) & (F.col("b") > 72), 1).otherwise((F.pmod(F.xxhash64("id"), F.lit(2)) == 0).cast("int")))
+    row = {"a": 99.0, "b": 96.0, "c": 1.0, "y": 1}
+    r = anchor_rule(df, row, ["a", "b", "c"], "y", 0.95)
+    assert r["reached"] and r["rule"] == "a in quartile 4 AND b in quartile 4" and r["lower_bound"] >= 0.95 and r["precision"] == 1
+    r = anchor_rule(df, {**row, "a": 1.0}, ["a", "b", "c"], "y", 0.95)
+    assert not r["reached"] and r["lower_bound"] < 0.95 and r["covered"] > 0
