@@ -255,28 +255,102 @@ def rare_bucket(df: DataFrame, col: str, min_freq: float, fit_on: DataFrame | No
     return j.withColumn(col, F.coalesce(F.col("code"), F.lit("__rare__"))).drop("code")
 
 
+class FillMissing(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns the exact median or the mean of each column on fit; null and NaN take it on transform."""
+    strategy = Param(Params._dummy(), "strategy", "median or mean", typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, inputCols=None, strategy="median"):
+        super().__init__()
+        self._setDefault(strategy="median")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df):
+        cols = self.getInputCols()
+        seen = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+        row = impute_stats(seen, cols, self.getOrDefault(self.strategy)).first()  # a number per column
+        m = FillMissingModel()
+        m._set(inputCols=cols, fills=[float(row[f"fill_{c}"]) if row[f"fill_{c}"] is not None else 0.0 for c in cols])
+        return m
+
+
+class FillMissingModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """A column without any value on fit is filled with 0."""
+    fills = Param(Params._dummy(), "fills", "value per column", typeConverter=TypeConverters.toListFloat)
+
+    def __init__(self):
+        super().__init__()
+
+    def _transform(self, df):
+        fill = dict(zip(self.getInputCols(), self.getOrDefault(self.fills)))
+        return df.withColumns({f"{c}__imp": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(v)) for c, v in fill.items()})
+
+
+class RareBucket(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns the categories whose share is at least ``minShare`` on fit (at most
+    1 / minShare a column); on transform the others, unseen ones and null are
+    '__rare__', or with ``bucket`` false '__other__', which no column encodes."""
+    minShare = Param(Params._dummy(), "minShare", "least share of a category", typeConverter=TypeConverters.toFloat)
+    bucket = Param(Params._dummy(), "bucket", "whether rare categories have a column", typeConverter=TypeConverters.toBoolean)
+
+    @keyword_only
+    def __init__(self, inputCols=None, minShare=0.01, bucket=True):
+        super().__init__()
+        self._setDefault(minShare=0.01, bucket=True)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df):
+        cols, least = self.getInputCols(), self.getOrDefault(self.minShare)
+        if least <= 0:
+            raise ValueError("minShare bounds the categories that are kept; it must be above 0")
+        n = df.count()
+        kept = []
+        for c in cols:
+            rows = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count().where(F.col("count") >= least * n)
+            kept.append([r.v for r in rows.orderBy(F.desc("count"), "v").collect()])
+        m = RareBucketModel()
+        m._set(inputCols=cols, kept=kept, bucket=self.getOrDefault(self.bucket))
+        return m
+
+
+class RareBucketModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds ``<column>__oh``: a 0/1 vector, a place for each kept category by falling count, then one for the rare ones."""
+    kept = Param(Params._dummy(), "kept", "kept categories per column", typeConverter=TypeConverters.toList)
+    bucket = Param(Params._dummy(), "bucket", "whether rare categories have a column", typeConverter=TypeConverters.toBoolean)
+
+    def __init__(self):
+        super().__init__()
+
+    def _transform(self, df):
+        from pyspark.ml.functions import array_to_vector
+        rare, out = self.getOrDefault(self.bucket), {}
+        for c, kept in zip(self.getInputCols(), self.getOrDefault(self.kept)):
+            v = F.col(c).cast("string")
+            flags = [F.coalesce((v == k).cast("double"), F.lit(0.0)) for k in kept]
+            if rare:
+                flags.append(F.lit(1.0) - sum(flags, F.lit(0.0)))
+            out[f"{c}__oh"] = array_to_vector(F.array(*flags) if flags else F.array().cast("array<double>"))
+        return df.withColumns(out)
+
+
 def build_preprocess(num: Sequence[str], cat: Sequence[str], scaler: str = "standard",
-                     impute_strategy: str = "median") -> Pipeline:
-    """MLlib pipeline — impute → assemble → scale numerics; index →
-    one-hot categoricals (unseen → extra index, dropped by dropLast); one
+                     impute_strategy: str = "median", min_share: float = 0.01, rare: bool = True) -> Pipeline:
+    """one fitted pipeline — exact impute → assemble → scale numerics; rare
+    bucket → one-hot categoricals (with ``rare`` the categories below
+    ``min_share`` and unseen ones share a column, else they are all zeros); one
     features vector."""
-    from pyspark.ml.feature import (Imputer, MinMaxScaler, OneHotEncoder, RobustScaler, StandardScaler,
-                                    StringIndexer, VectorAssembler)
+    from pyspark.ml.feature import MinMaxScaler, RobustScaler, StandardScaler, VectorAssembler
     stages = []
-    num_imp = [f"{c}__imp" for c in num]
     if num:
-        stages.append(Imputer(inputCols=list(num), outputCols=num_imp, strategy=impute_strategy))
-        stages.append(VectorAssembler(inputCols=num_imp, outputCol="_num_vec", handleInvalid="keep"))
+        stages.append(FillMissing(inputCols=list(num), strategy=impute_strategy))
+        stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in num], outputCol="_num_vec", handleInvalid="keep"))
         sc = {"standard": StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True),
               "minmax": MinMaxScaler(inputCol="_num_vec", outputCol="_num_scaled"),
               "robust": RobustScaler(inputCol="_num_vec", outputCol="_num_scaled")}[scaler]
         stages.append(sc)
-    idx = [f"{c}__idx" for c in cat]
-    oh = [f"{c}__oh" for c in cat]
     if cat:
-        stages.append(StringIndexer(inputCols=list(cat), outputCols=idx, handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=oh, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=(["_num_scaled"] if num else []) + oh, outputCol="features"))
+        stages.append(RareBucket(inputCols=list(cat), minShare=min_share, bucket=rare))
+    stages.append(VectorAssembler(inputCols=(["_num_scaled"] if num else []) + [f"{c}__oh" for c in cat], outputCol="features"))
     return Pipeline(stages=stages)
 
 

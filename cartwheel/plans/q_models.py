@@ -10,13 +10,15 @@ import itertools
 import math
 import uuid
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from cartwheel.operators import explain as X
+from cartwheel.operators import extra_trees as E
 from cartwheel.operators import models as M
+from cartwheel.operators import guided as S
 from cartwheel.operators import prep, splits, topk, windows
 from cartwheel.operators import trees as R
 from cartwheel.plans.catalog import query
@@ -70,6 +72,43 @@ def q_m2e(t):
     return M.score(te, M.fit_forest(tr, "extra_trees", "label", "weight", numTrees=30), ["doc_id", "label"])
 
 
+def _extra_root_sql():
+    """The first split of every tree: two drawn features, a drawn threshold each, the better gain."""
+    u = lambda *k: f"('0x' || substr(md5({' || chr(124) || '.join(k)}), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+    long = " UNION ALL ".join(f"SELECT {i} AS f, {c}::DOUBLE AS x, quality FROM clf" for i, c in enumerate(CLF4))
+    gini = lambda p, n: f"(2 * {p} / {n} * (1 - {p} / {n}))"
+    return f"""WITH l AS ({long}), lim AS (SELECT f, min(x) AS lo, max(x) AS hi FROM l GROUP BY f),
+tr AS (SELECT unnest(range(0, 12)) AS tree), pick AS (SELECT tree, f, lo, hi, row_number() OVER (PARTITION BY tree ORDER BY {u("'7'", "tree", "'1'", "f", "'pick'")}, f) AS rn FROM tr, lim),
+cut AS (SELECT tree, f, lo + {u("'7'", "tree", "'1'", "f")} * (hi - lo) AS th FROM pick WHERE rn <= 2),
+st AS (SELECT tree, cut.f, th, count(*) AS n, sum((quality = 1)::INT) AS p, count(*) FILTER (x <= th) AS nl, count(*) FILTER (x <= th AND quality = 1) AS pl
+       FROM cut JOIN l ON l.f = cut.f GROUP BY tree, cut.f, th),
+g AS (SELECT *, {gini("p", "n")} - (nl * {gini("pl", "nl")} + (n - nl) * {gini("(p - pl)", "(n - nl)")}) / n AS gain FROM st WHERE nl BETWEEN 1 AND n - 1)
+SELECT tree, CAST(f AS INTEGER) AS feature, round(th, 6) AS threshold, n, nl AS n_left, round(gain, 6) AS gain FROM (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY gain DESC, f) AS rn FROM g WHERE gain > 1e-12) WHERE rn = 1"""
+
+
+@query("m2_extra_trees_roots", _extra_root_sql(), ("clf",))
+def q_m2r(t):
+    """The first split of each of twelve extremely randomised trees."""
+    nodes = E.fit_extra_trees(V.clf(t), CLF4, "quality", n_trees=12, max_depth=1)
+    child = nodes.where("node = 2").select("tree", F.col("n").alias("n_left"))
+    return nodes.where("node = 1 and left > 0").join(child, "tree").select(
+        F.col("tree").cast("long").alias("tree"), "feature", F.round("threshold", 6).alias("threshold"), "n", "n_left", F.round("gain", 6).alias("gain"))
+
+
+@query("m2_extra_trees_grown", "SELECT count(*) AS n_scored, true AS is_share, true AS children_add_up, true AS unlike_forest FROM clf", ("clf",))
+def q_m2g(t):
+    """Scores are shares, children hold their parent's rows, and no threshold is one that a forest finds."""
+    c = materialize(V.clf(t).withColumn("label", F.col("quality").cast("double")))
+    nodes = materialize(E.fit_extra_trees(c, CLF4, "label", n_trees=20, max_depth=4))
+    kids = nodes.select("tree", F.expr("node div 2").cast("int").alias("node"), F.col("n").alias("c")).groupBy("tree", "node").agg(F.sum("c").alias("c"))
+    whole = nodes.where("left > 0").join(kids, ["tree", "node"], "left").agg(F.every(F.col("n") == F.col("c")).alias("children_add_up"))
+    forest = R.node_table(M.fit_forest(M.assemble(c, CLF4), "forest", numTrees=20, maxDepth=4), t.spark)
+    same = nodes.where("left > 0").join(forest.select("feature", "threshold"), ["feature", "threshold"], "left_semi").agg((F.count("*") == 0).alias("unlike_forest"))
+    s = E.score_trees(nodes, c, CLF4, ["doc_id"]).agg(F.count("*").alias("n_scored"), F.every(F.col("proba").between(0, 1.000000001)).alias("is_share"))
+    return s.crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(same))  # one row each
+
+
 @query("m3_fit_gbt")
 def q_m3(t):
     tr, te = _clf_split(t)
@@ -113,6 +152,31 @@ def q_f11(t):
     return pm.transform(c).select("doc_id", vector_to_array("features").alias("features"))
 
 
+def _f11_sql():
+    q = {c: f"quantile_cont(v{i}, 0.5)" for i, c in enumerate(CLF4)}
+    fill = ", ".join(f"coalesce(v{i}, (SELECT {q[c]} FROM d)) AS z{i}" for i, c in enumerate(CLF4))
+    z = ", ".join(f"round((z{i} - avg(z{i}) OVER ()) / nullif(stddev_samp(z{i}) OVER (), 0), 6) AS {c}" for i, c in enumerate(CLF4))
+    null = ", ".join(f"CASE WHEN doc_id % {5 + 2 * i} <> 0 THEN {c} END AS v{i}" for i, c in enumerate(CLF4))
+    return f"""WITH d AS (SELECT doc_id, lang, source, {null} FROM clf),
+k AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) AS place FROM d WHERE source IS NOT NULL GROUP BY source
+      HAVING count(*) >= 0.08 * (SELECT count(*) FROM d)),
+f AS (SELECT doc_id, source, {fill} FROM d)
+SELECT doc_id, {z}, CAST(coalesce(place, (SELECT count(*) + 1 FROM k)) AS INTEGER) AS source_place FROM f LEFT JOIN k USING (source)"""
+
+
+@query("f11_fitted_matrix", _f11_sql(), ("clf",))
+def q_f11m(t):
+    """Exact medians in place of missing numbers, standardised, and the place of the one-hot flag of ``source`` with its rare bucket."""
+    c = V.clf(t)
+    d = c.select("doc_id", "lang", "source", *[F.when(F.col("doc_id") % (5 + 2 * i) != 0, F.col(x)).alias(x) for i, x in enumerate(CLF4)])
+    m = prep.build_preprocess(CLF4, ["source"], min_share=0.08).fit(d)
+    path = shared_path(t.spark, f"f11_{uuid.uuid4().hex}")
+    m.write().overwrite().save(path)  # the matrix is that of the loaded pipeline
+    x = PipelineModel.load(path).transform(d).select("doc_id", vector_to_array("features").alias("x"))
+    return x.select("doc_id", *[F.round(F.col("x")[i], 6).alias(n) for i, n in enumerate(CLF4)],
+                    (F.array_position(F.slice("x", 5, F.size("x")), 1.0)).cast("int").alias("source_place"))
+
+
 @query("f15_pca")
 def q_f15(t):
     d, cols = V.emb_wide(t, "vec_id")
@@ -160,6 +224,46 @@ def q_m6(t):
     return M.search(tr, te, _make_lr, SPACE, n=4, seed=3, label="label", objective="pr_auc", parallel=2)
 
 
+def _three_parts(t):
+    """TRAIN, VALID and TEST documents: md5 buckets 0-5, 6-7 and 8-9 of ten."""
+    c = materialize(V.clf(t).withColumn("label", F.col("quality").cast("double")).withColumn("_b", V.md5_bucket(F.col("doc_id"), 21, 10)))
+    return [c.where(F.col("_b").between(*x)).drop("_b") for x in ((0, 5), (6, 7), (8, 9))]
+
+
+PARTS_SQL = """(SELECT CASE WHEN b < 6 THEN 'train' WHEN b < 8 THEN 'valid' ELSE 'test' END AS split, quality FROM
+  (SELECT quality, ('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '|21'), 1, 8))::BIGINT % 10 AS b FROM clf))"""
+
+
+@query("m6_guided_search", "SELECT 6 AS n_trials, 0 AS n_failed, 10 AS n_params, true AS scored, true AS named_in_order", ())
+def q_m6g(t):
+    """Six trials in two rounds of random and guided draws, as the run log has them."""
+    train, valid, _ = _three_parts(t)
+    path = shared_path(t.spark, f"m6_runs_{uuid.uuid4().hex}")
+    space = S.SPACE | {"maxIter": (3, 8, "int"), "maxDepth": (2, 4, "int")}
+    S.guided_search(train, valid, CLF4, ["lang", "source"], "label", path, 4, space, parallel=4, startup=3)
+    runs = S.guided_search(train, valid, CLF4, ["lang", "source"], "label", path, 2, space, parallel=2, startup=3)
+    return runs.agg(F.count("*").alias("n_trials"), F.count("artifact").alias("n_failed"), F.max(F.size("params")).alias("n_params"),
+                    F.every(F.col("metrics")["pr_auc"].between(0, 1)).alias("scored"),
+                    (F.array_sort(F.collect_list("run_name")) == F.array(*[F.lit(f"trial_{i:04d}") for i in range(6)])).alias("named_in_order"))
+
+
+@query("m7_report_best", f"SELECT split, count(*) AS n_rows, count(*) FILTER (quality = 1) AS n_pos, true AS one_threshold FROM {PARTS_SQL} GROUP BY split", ("clf",))
+def q_m7r(t):
+    """The best of two trials on VALID, reported on the three parts with VALID's threshold."""
+    parts = _three_parts(t)
+    path = shared_path(t.spark, f"m7_runs_{uuid.uuid4().hex}")
+    space = S.SPACE | {"maxIter": (3, 6, "int"), "maxDepth": (2, 3, "int")}
+    runs = S.guided_search(parts[0], parts[1], CLF4, ["lang"], "label", path, 2, space, parallel=2)
+    got = S.report_best(runs, *parts, CLF4, ["lang"], "label", space)
+    cut = got.agg(F.count_distinct("threshold").alias("k"))
+    pos = None
+    for name, p in zip(("train", "valid", "test"), parts):
+        one = p.agg(F.lit(name).alias("split"), F.count_if(F.col("label") == 1).alias("n_pos"))
+        pos = one if pos is None else pos.unionByName(one)
+    ok = F.col("pr_auc").between(0, 1) & F.col("roc_auc").between(0, 1) & F.col("f1").between(0, 1)
+    return (got.join(pos, "split").crossJoin(F.broadcast(cut)).groupBy("split", "n_rows", "n_pos").agg(F.every(ok & (F.col("k") == 1)).alias("one_threshold")))
+
+
 @query("m7_fit_best")
 def q_m7(t):
     tr, te = _clf_split(t)
