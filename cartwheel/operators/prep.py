@@ -114,70 +114,18 @@ def mllib_imputer(cols: Sequence[str], strategy: str = "mean"):
 
 
 # F4 ------------------------------------------------------------------ kNN imputation
-def impute_knn(df: DataFrame, id_col: str, target: str, features: Sequence[str], k: int = 5,
-               cell: float | None = None) -> DataFrame:
+def impute_knn(df: DataFrame, id_col: str, target: str, features: Sequence[str], k: int = 5) -> DataFrame:
     """Fill ``target`` where null with the inverse-distance-weighted mean of the
     k nearest donors (rows with a target).
 
     The distance is taken over the features that both rows have, scaled up to
-    the number of all features; with none in common, or no donor near, the row
-    takes the donors' mean.  No donor at all leaves nulls.
-
-    Expanding ring search on cells of the first feature (about a thousand donors
-    to a cell): in round R = 1, 2, 4, … a row meets the donors in the cells
-    within ±R of its own (of the nearest donor cell, if it lies outside them);
-    those beyond are at least as far as the ring's edge.  A row is done when its
-    k-th distance is at most that, or when its ring covers all donor cells.
-    Donors without the first feature sit in one extra cell that every ring
-    holds; rows without it see all cells at once.  Rounds end when no row is
-    left, which the doubling reaches for any distance."""
-    from cartwheel.session import ensure_checkpoint_dir
-    f0 = features[0]
-    ensure_checkpoint_dir(df.sparkSession)
-    st = df.where(F.col(target).isNotNull()).agg(F.max(f0).alias("hi"), F.min(f0).alias("lo"), F.count(f0).alias("n"), F.count("*").alias("donors"),
-                                                 F.avg(target).alias("mean")).first()
-    if not st["donors"]:
-        return df
-    low, high = (st["lo"], st["hi"]) if st["n"] else (0.0, 0.0)
-    if cell is None:
-        cell = float(high - low) / max(20, st["n"] // 1000) or 1.0
-    at = F.floor(F.col(f0) / cell).cast("bigint")
-    lo, hi = (df.sparkSession.range(1).select(F.floor(F.lit(float(v)) / cell).cast("bigint").alias("c")).first()["c"] for v in (low, high))
-    extra = lo - 1
-    donors = df.filter(F.col(target).isNotNull()).select(
-        F.col(id_col).alias("_did"), *[F.col(c).alias(f"_d_{c}") for c in features], F.col(target).alias("_dv"),
-        F.coalesce(at, F.lit(extra)).alias("_cell"))
-    todo = df.filter(F.col(target).isNull()).select(id_col, *features).withColumn(
-        "_c0", F.when(at.isNotNull(), F.greatest(F.least(at, F.lit(hi)), F.lit(lo))))
-    parts = [F.pow(F.col(c) - F.col(f"_d_{c}"), 2) for c in features]
-    both = sum((x.isNotNull().cast("int") for x in parts[1:]), parts[0].isNotNull().cast("int"))
-    d2 = sum((F.coalesce(x, F.lit(0.0)) for x in parts[1:]), F.coalesce(parts[0], F.lit(0.0))) * (F.lit(len(parts)) / both)
-    w = Window.partitionBy(id_col).orderBy("_dist", "_did")
-    wt = 1.0 / F.greatest(F.col("_dist"), F.lit(1e-12))
-    done = []
-    radius = 1
-    while True:
-        first = F.greatest(F.coalesce(F.col("_c0") - radius, F.lit(lo)), F.lit(lo))
-        last = F.least(F.coalesce(F.col("_c0") + radius, F.lit(hi)), F.lit(hi))
-        edge = F.least(F.when(first > lo, F.col(f0) - first * cell), F.when(last < hi, (last + 1) * cell - F.col(f0)))
-        ring = todo.withColumn("_edge", edge).withColumn("_all", (first <= lo) & (last >= hi))
-        probe = ring.select("*", F.explode(F.array_append(F.sequence(first, last), F.lit(extra))).alias("_cell"))
-        cand = probe.join(donors, "_cell").where(both > 0).withColumn("_dist", F.sqrt(d2))
-        top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-        got = top.groupBy(id_col).agg(
-            (F.sum(wt * F.col("_dv")) / F.sum(wt)).alias("_fill"), F.count(F.lit(1)).alias("_m"),
-            F.max(F.when(F.col("_dist") == 0, F.col("_dv"))).alias("_exact"), F.max("_dist").alias("_dk"), F.first("_all").alias("_all"), F.first("_edge").alias("_edge"))
-        ok = got.filter(F.col("_all") | ((F.col("_m") >= k) & (F.col("_dk") <= F.col("_edge")))).select(id_col, "_fill", "_exact").checkpoint()
-        done.append(ok)
-        todo = ring.where("not _all").drop("_all", "_edge").join(ok.select(id_col), id_col, "left_anti").checkpoint()
-        if todo.isEmpty():
-            break
-        radius *= 2
-    fills = done[0]
-    for d in done[1:]:
-        fills = fills.unionByName(d)
-    out = df.join(fills, id_col, "left")
-    return out.withColumn(target, F.coalesce(F.col(target), F.col("_exact"), F.col("_fill"), F.lit(st["mean"]))).drop("_fill", "_exact")
+    the number of all features; with none in common the row takes the donors'
+    mean; a donor at distance 0 gives its value (the largest, if there are
+    several).  No donor at all leaves nulls.  The search is that of
+    ``neighbours``: a partition tree over all features with true boxes, in two
+    rounds.  ``neighbours.impute_knn_columns`` fills several columns."""
+    from cartwheel.operators.neighbours import fill_from_neighbours
+    return fill_from_neighbours(df, id_col, target, features, k)
 
 
 # F5 / F6 / F7 ----------------------------------------------------------- scaling

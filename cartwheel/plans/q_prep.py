@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cartwheel.operators import neighbours as N
 from cartwheel.operators import prep, quality
 from cartwheel.plans.catalog import query
 from cartwheel.sources import tables as V
@@ -71,6 +72,35 @@ def q_f4(t):
     return o.select("vec_id", *[F.round(c, 6).alias(c) for c in ("e0", "e1", "e2")])
 
 
+# fixed values: features to fill and what they are divided by
+CLF_KNN = {"n_chars": 1000.0, "n_words": 200.0, "mean_word_len": 1.0, "distinct_share": 0.1}
+
+
+def _knn_columns_sql():
+    """Each column of the documents' features from all pairs of rows."""
+    cols = CLF_KNN
+    null = ", ".join(f"CASE WHEN doc_id % {4 + i} = {i} THEN NULL ELSE {c} / {s!r} END AS {c}" for i, (c, s) in enumerate(cols.items()))
+    ctes, joins, out = [], [], []
+    for c in cols:
+        rest = [o for o in cols if o != c]
+        both = " + ".join(f"(a.{o} IS NOT NULL AND b.{o} IS NOT NULL)::INT" for o in rest)
+        d2 = " + ".join(f"coalesce(pow(a.{o} - b.{o}, 2), 0)" for o in rest)
+        ctes.append(f"""n_{c} AS (SELECT a.doc_id, b.{c} AS dv, sqrt(({d2}) * {len(rest)} / ({both})) AS dist, b.doc_id AS did FROM d a, d b
+  WHERE a.{c} IS NULL AND b.{c} IS NOT NULL AND ({both}) > 0),
+t_{c} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dist, did) AS r FROM n_{c}) WHERE r <= 5),
+f_{c} AS (SELECT doc_id, coalesce(avg(dv) FILTER (dist = 0), sum(dv / greatest(dist, 1e-12)) / sum(1 / greatest(dist, 1e-12))) AS fill FROM t_{c} GROUP BY 1)""")
+        joins.append(f"LEFT JOIN f_{c} ON f_{c}.doc_id = d.doc_id")
+        out.append(f"round(coalesce(d.{c}, f_{c}.fill, (SELECT avg({c}) FROM d)), 6) AS {c}")
+    return f"WITH d AS (SELECT doc_id, {null} FROM clf), " + ", ".join(ctes) + f" SELECT d.doc_id, {', '.join(out)} FROM d {' '.join(joins)}"
+
+
+@query("f4_impute_knn_columns", _knn_columns_sql(), ("clf",))
+def q_f4c(t):
+    d = V.clf(t).select("doc_id", *[F.when(F.col("doc_id") % (4 + i) != i, F.col(c) / s).alias(c) for i, (c, s) in enumerate(CLF_KNN.items())])
+    o = N.impute_knn_columns(d, "doc_id", list(CLF_KNN))
+    return o.select("doc_id", *[F.round(c, 6).alias(c) for c in CLF_KNN])
+
+
 @query("f5_min_max", """SELECT round((l_quantity - min(l_quantity) OVER ()) / (max(l_quantity) OVER () - min(l_quantity) OVER ()), 6) AS l_quantity,
   round((l_extendedprice - min(l_extendedprice) OVER ()) / (max(l_extendedprice) OVER () - min(l_extendedprice) OVER ()), 6) AS l_extendedprice
 FROM lineitem""")
