@@ -15,6 +15,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from cartwheel.operators import density as D
 from cartwheel.operators import explain as X
 from cartwheel.operators import extra_trees as E
 from cartwheel.operators import models as M
@@ -339,6 +340,19 @@ def q_m13c(t):
     return M.dbscan(V.emb_plane(t), 0.05, 4)
 
 
+@query("m13_dbscan_labels", f"""WITH RECURSIVE p AS ({V.EMB_PLANE_SQL}),
+nb AS (SELECT a.id AS i, b.id AS j FROM p a JOIN p b ON sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 0.05),
+core AS (SELECT i FROM nb GROUP BY i HAVING count(*) >= 4),
+ce AS (SELECT nb.i, nb.j FROM nb JOIN core a ON a.i = nb.i JOIN core b ON b.i = nb.j),
+reach AS (SELECT i, i AS r FROM core UNION SELECT ce.j, reach.r FROM reach JOIN ce ON ce.i = reach.i),
+lab AS (SELECT i, min(r) AS label FROM reach GROUP BY i),
+edge AS (SELECT nb.i, min(lab.label) AS label FROM nb JOIN lab ON lab.i = nb.j WHERE nb.i NOT IN (SELECT i FROM core) GROUP BY nb.i)
+SELECT p.id, CASE WHEN lab.label IS NOT NULL THEN 'core' WHEN edge.label IS NOT NULL THEN 'border' ELSE 'noise' END AS kind,
+  coalesce(lab.label, edge.label, -1) AS cluster FROM p LEFT JOIN lab ON lab.i = p.id LEFT JOIN edge ON edge.i = p.id""")
+def q_m13l(t):
+    return D.dbscan_cells(V.emb_plane(t), 0.05, 4)
+
+
 @query("m14_silhouette")
 def q_m14(t):
     m, pred = M.kmeans(_multi(t), 10)
