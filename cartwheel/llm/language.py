@@ -40,6 +40,7 @@ ROOM = 4.4              # slots for each n-gram: 1 - exp(-3 / 4.4) is just below
 TRAIN_CHARS = 60_000_000  # bound of the training sample, in characters
 DOMINANCE = 0.2
 PER_TABLE = 32          # languages to a mask
+COUNTED_GRAMS = 1 << 21  # n-grams that a task holds before it counts them
 CHUNK = 1 << 12         # bits of a table that are filled together
 
 
@@ -162,15 +163,24 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train
     letters = letter_table()
     shared = docs.sparkSession.sparkContext.broadcast(letters)
 
+    def counted(by: dict[str, list[np.ndarray]]):
+        for lang, parts in by.items():
+            h, n = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)],
+                                             ["lang", "h", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]):
+        by: dict[str, list[np.ndarray]] = {}
+        held = 0
         for b in batches:
-            by: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                by.setdefault(lang, []).append(grams(text, shared.value)[0])
-            for lang, parts in by.items():
-                h, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)],
-                                                 ["lang", "h", "n"])
+            for lang, text in zip(b.column(0), b.column(1)):
+                found = grams(text.as_py(), shared.value)[0]
+                by.setdefault(lang.as_py(), []).append(found)
+                held += len(found)
+                if held > COUNTED_GRAMS:
+                    yield from counted(by)
+                    by, held = {}, 0
+        yield from counted(by)
 
     seen = rows.mapInArrow(count, "lang string, h long, n long").groupBy("h", "lang").agg(F.sum("n").alias("n")).persist()
     found = {r.lang: r for r in seen.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
@@ -246,6 +256,7 @@ def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     half = F.coalesce(F.pmod(F.shiftrightunsigned(F.crc32(F.col(id_col).cast("string").cast("binary")), 2), F.lit(2)), F.lit(0)).cast("int")
     learn = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col))
     models = [vars(train(learn.where(half != k), text_col, lang_col)) for k in (0, 1)]
+    models[1]["letters"] = models[0]["letters"]  # sent once
     names = docs.columns
     shared, at = docs.sparkSession.sparkContext.broadcast(models), names.index(text_col)
 
