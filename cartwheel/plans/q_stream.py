@@ -48,7 +48,7 @@ def q_r3(t):
 FROM ev GROUP BY 1, 2""", ("ev",))
 def q_r4(t):
     d = _landed(t, "r4")
-    return S.stream_recency(t.spark, d["landing"], d["sink"], d["ckpt"])
+    return S.stream_recency(t.spark, d["landing"], d["sink"], d["ckpt"], idle="5 days")
 
 
 @query("r5_stream_drift", f"""WITH {EVW}, w AS (SELECT week, avg(CAST(product_id = 'purchase' AS INTEGER)) AS r FROM evw GROUP BY week),

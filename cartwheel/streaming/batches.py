@@ -15,11 +15,11 @@ import uuid
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cartwheel.functions.scalars import week_start
 from cartwheel.session import shared_path
 
+PROGRESS: list = []  # reports of the last query that ended
 EVENT_SCHEMA = ("event_id long, customer_id long, product_id string, ts timestamp_ntz, value double, "
                 "bought int, week date")
 
@@ -56,10 +56,12 @@ def _fresh(spark: SparkSession, path: str, delay: str = "8 days") -> DataFrame:
 
 
 def _run(query_builder, ckpt: str):
+    """Run to the end of the available files; the query's progress reports are kept in ``PROGRESS``."""
     q = query_builder.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    PROGRESS[:] = q.recentProgress
 
 
 # R1
@@ -105,33 +107,77 @@ def stream_dedupe(spark: SparkSession, landing: str, sink: str, ckpt: str, delay
 
 
 # R4
-STATE_OUT = "customer_id long, product_id string, last_period date, n_events long"
-STATE_SCHEMA = "last_period date, n_events long"
-
-
-def stream_recency(spark: SparkSession, landing: str, sink: str, ckpt: str) -> DataFrame:
-    """Running last purchase date and purchase count per pair across batches,
-    kept in per-key state (applyInPandasWithState, update mode)."""
-    def update(key, pdfs, state):
-        last, n = (state.get if state.exists else (None, 0))
-        for pdf in pdfs:
-            if len(pdf):
-                d = pd.to_datetime(pdf["ts"]).dt.date.max()
-                last = d if last is None or d > last else last
-                n += int(len(pdf))
-        state.update((last, n))
-        yield pd.DataFrame({"customer_id": [key[0]], "product_id": [key[1]], "last_period": [last], "n_events": [n]})
-
-    s = _fresh(spark, landing).select("customer_id", "product_id", "ts")
-    out = s.groupBy("customer_id", "product_id").applyInPandasWithState(
-        update, STATE_OUT, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+STATE_OUT = "customer_id long, product_id string, opened long, last_period date, n_events long, closed boolean"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_recency(spark: SparkSession, landing: str, sink: str, ckpt: str, idle: str = "28 days") -> DataFrame:
+    """Running last purchase date and purchase count per pair across batches, in
+    per-key state with an end (``transformWithState``, update mode).
+
+    A pair's state has an event-time timer.  When the watermark is ``idle`` past
+    its last event the pair's row goes to the sink as closed and its state is
+    removed, so the state holds the pairs of the last weeks, not all that ever
+    bought.  A later event opens a new stretch; the answer adds the stretches
+    of a pair, of each of which the latest version counts."""
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Recency(StatefulProcessor):  # nested: tasks receive it by value
+        def init(self, handle):
+            self.handle = handle
+            self.pair = handle.getValueState("pair", "opened long, last_ms long, n_events long")
+
+        def row(self, key, opened, last, n, closed):
+            return pd.DataFrame({"customer_id": [key[0]], "product_id": [key[1]], "opened": [opened],
+                                 "last_period": [pd.Timestamp(last, unit="ms").date()], "n_events": [n], "closed": [closed]})
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+            opened = last = None
+            n = 0
+            if self.pair.exists():
+                opened, last, n = self.pair.get()
+                self.handle.deleteTimer(last + idle_ms)
+            for pdf in rows:
+                if len(pdf):
+                    ms = pdf["et"].astype("datetime64[ms]").astype("int64")
+                    opened = int(ms.iloc[0]) if opened is None else opened
+                    last = int(ms.max()) if last is None else max(last, int(ms.max()))
+                    n += len(pdf)
+            self.pair.update((opened, last, n))
+            self.handle.registerTimer(last + idle_ms)
+            yield self.row(key, opened, last, n, False)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+            if not self.pair.exists():
+                return
+            opened, last, n = self.pair.get()
+            self.pair.clear()
+            yield self.row(key, opened, last, n, True)
+
+        def close(self):
+            pass
+
+    s = _fresh(spark, landing).select("customer_id", "product_id", "et")
+    out = s.groupBy("customer_id", "product_id").transformWithStateInPandas(Recency(), STATE_OUT, "Update", "EventTime")
 
     def per_batch(df: DataFrame, batch_id: int):
         df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-    _run(out.writeStream.outputMode("update").foreachBatch(per_batch), ckpt)
+    # states with timers need the RocksDB store; the setting is this query's alone
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        _run(out.writeStream.outputMode("update").foreachBatch(per_batch), ckpt)
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
     ch = spark.read.parquet(sink)
-    return ch.groupBy("customer_id", "product_id").agg(
-        F.max_by(F.struct("last_period", "n_events"), "batch_id").alias("s")).select("customer_id", "product_id", "s.*")
+    stretch = ch.groupBy("customer_id", "product_id", "opened").agg(
+        F.max_by(F.struct("last_period", "n_events"), F.struct("batch_id", "closed")).alias("s"))
+    return stretch.groupBy("customer_id", "product_id").agg(F.max("s.last_period").alias("last_period"), F.sum("s.n_events").alias("n_events"))
 
 
 # R5
