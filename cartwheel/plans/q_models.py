@@ -21,6 +21,7 @@ from cartwheel.operators import extra_trees as E
 from cartwheel.operators import models as M
 from cartwheel.operators import guided as S
 from cartwheel.operators import prep, splits, topk, windows
+from cartwheel.operators import silhouette as SIL
 from cartwheel.operators import trees as R
 from cartwheel.plans.catalog import query
 from cartwheel.plans.q_prep import NUM4, RANKS, _spearman_sql
@@ -359,6 +360,18 @@ def q_m14(t):
     return t.spark.createDataFrame([(M.silhouette(pred),)], "silhouette double")
 
 
+@query("m14_silhouette_exact", """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+d AS (SELECT a.vec_id, a.label AS own, b.label AS other, count(*) AS n,
+        sum(sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))) AS s FROM e a, e b GROUP BY 1, 2, 3),
+m AS (SELECT vec_id, own, max(CASE WHEN own = other THEN s / greatest(n - 1, 1) END) AS a, max(CASE WHEN own = other THEN n END) AS size,
+        min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY 1, 2),
+r AS (SELECT own, CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END AS x FROM m)
+SELECT CAST(own AS BIGINT) AS cluster, count(*) AS n, round(avg(x), 6) AS silhouette FROM r GROUP BY own UNION ALL SELECT NULL, count(*), round(avg(x), 6) FROM r""")
+def q_m14e(t):
+    """The given labels as clusters of the embeddings."""
+    return SIL.silhouette_exact(t.embeddings, "vec_id", "embedding", "label").withColumn("silhouette", F.round("silhouette", 6))
+
+
 @query("m15_isolation_forest")
 def q_m15(t):
     d, cols = V.emb_wide(t, "vec_id")
