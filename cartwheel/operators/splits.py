@@ -137,13 +137,13 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
 # H7
 def simulate_week(tx: DataFrame, n: int, seed: int) -> DataFrame:
     """Append a simulated next week: n sampled known pairs dated last + 7 days,
-    items 1, payment = the pair's mean payment."""
-    pairs = tx.groupBy("customer_id", "product_id").agg(F.avg("payment").alias("payment"))
+    items 1 and payment 1."""
+    pairs = tx.select("customer_id", "product_id").distinct()
     pairs = pairs.withColumn("_k", F.concat_ws("|", F.col("customer_id").cast("string"), F.col("product_id").cast("string")))
     s = sample_n(pairs, n, seed, "_k").drop("_k")
     last = tx.agg(F.max("purchase_date").alias("_last"))
     new = s.crossJoin(F.broadcast(last)).select(
         "customer_id", "product_id", F.lit(None).cast("bigint").alias("order_id"),
         (F.col("_last") + F.expr("INTERVAL 7 DAYS")).alias("purchase_date"),
-        F.lit(1.0).alias("items"), "payment")
+        F.lit(1.0).alias("items"), F.lit(1.0).alias("payment"))
     return tx.unionByName(new.select(*tx.columns))

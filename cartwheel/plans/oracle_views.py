@@ -15,13 +15,24 @@ SELECT o.o_custkey AS customer_id, p.p_brand AS product_id, o.o_orderkey AS orde
        l.l_extendedprice * (1 - l.l_discount) AS payment
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
 WHERE o.o_orderdate >= date_trunc('week', (SELECT max(o_orderdate) FROM orders)) - INTERVAL 364 DAY""",
-    # C1 on TXD: first row per (customer, product, date) by (order_id, items, payment)
+    "txb": """
+SELECT o.o_custkey AS customer_id, p.p_brand AS product_id, o.o_orderkey AS order_id,
+       o.o_orderdate AS purchase_date, l.l_quantity AS items,
+       l.l_extendedprice * (1 - l.l_discount) AS payment
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey""",
+    # C1 on TXB and on TXD: first row per (customer, product, date) by (order_id, items, payment)
     "txc": """
 SELECT customer_id, product_id, order_id, purchase_date, items, payment FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id, product_id, purchase_date
                                ORDER BY order_id, items, payment) AS _rn
   FROM txd WHERE customer_id IS NOT NULL AND product_id IS NOT NULL
              AND purchase_date IS NOT NULL AND payment > 0) WHERE _rn = 1""",
+    "txbc": """
+SELECT customer_id, product_id, order_id, purchase_date, items, payment FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id, product_id, purchase_date
+                               ORDER BY order_id, items, payment) AS _rn
+  FROM txb WHERE customer_id IS NOT NULL AND product_id IS NOT NULL
+             AND purchase_date IS NOT NULL AND payment > 0) WHERE _rn = 1""",
     "ev": """
 SELECT event_id, user_id AS customer_id, event_type AS product_id, ts, CAST(ts AS DATE) AS period,
        value, 1 AS bought FROM events""",
@@ -69,8 +80,8 @@ FROM (SELECT vec_id, unnest(embedding) AS e, unnest(generate_series(1, len(embed
 }
 
 # dependency order of the views (a view may use the ones before it)
-ORDER = ["tx", "txd", "txc", "ev", "cust", "prod", "brand_dim", "ret", "num", "numn", "clf", "sc", "grid"]
-DEPS = {"txc": ["txd"], "sc": ["clf"]}
+ORDER = ["tx", "txb", "txbc", "txd", "txc", "ev", "cust", "prod", "brand_dim", "ret", "num", "numn", "clf", "sc", "grid"]
+DEPS = {"txc": ["txd"], "txbc": ["txb"], "sc": ["clf"]}
 
 
 def with_views(sql: str, *names: str) -> str:

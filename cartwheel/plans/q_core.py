@@ -17,7 +17,7 @@ from cartwheel.sources import tables as V
 
 
 def _clean(t):
-    return clean_transactions(V.txd(t))
+    return clean_transactions(V.txb(t))
 
 
 # ------------------------------------------------------------------ sources
@@ -86,7 +86,7 @@ def q_s8(t):
 
 
 @query("s9_write_table", """SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week,
-  count(*) AS num_tx, 1 AS bought FROM txc GROUP BY 1, 2, 3""", ("txc",))
+  count(*) AS num_tx, 1 AS bought FROM txbc GROUP BY 1, 2, 3""", ("txbc",))
 def q_s9(t):
     path = shared_path(t.spark, f"s9_weekly_{uuid.uuid4().hex}")
     io.write_table(aggs.weekly_activity(_clean(t)), path, partition_by=["week"])
@@ -347,15 +347,16 @@ def q_c5(t):
     return quality.assert_m1(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
-@query("c6_quality_report", """WITH w AS (SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week FROM txc)
-SELECT 'no_negative_payment' AS test, coalesce(bool_and(payment >= 0), true) AS passed FROM txc
-UNION ALL SELECT 'no_negative_items', coalesce(bool_and(items IS NULL OR items >= 0), true) FROM txc
-UNION ALL SELECT 'keys_not_null', coalesce(bool_and(customer_id IS NOT NULL AND product_id IS NOT NULL), true) FROM txc
-UNION ALL SELECT 'dates_in_range', coalesce(bool_and(purchase_date BETWEEN TIMESTAMP '2000-07-31' AND TIMESTAMP '2001-07-31'), true) FROM txc
-UNION ALL SELECT 'weekly_key_unique', coalesce(max(n), 0) <= 1 FROM (SELECT count(*) AS n FROM w GROUP BY customer_id, product_id, week)""", ("txc",))
+@query("c6_quality_report", """WITH w AS (SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week FROM txbc)
+SELECT 'no_negative_payment' AS test, coalesce(bool_and(payment >= 0), true) AS passed FROM txbc
+UNION ALL SELECT 'no_negative_items', coalesce(bool_and(items IS NULL OR items >= 0), true) FROM txbc
+UNION ALL SELECT 'keys_not_null', coalesce(bool_and(customer_id IS NOT NULL AND product_id IS NOT NULL), true) FROM txbc
+UNION ALL SELECT 'dates_in_range', coalesce(bool_and(purchase_date BETWEEN (SELECT min(o_orderdate) FROM orders) AND (SELECT max(o_orderdate) FROM orders)), true) FROM txbc
+UNION ALL SELECT 'weekly_key_unique', coalesce(max(n), 0) <= 1 FROM (SELECT count(*) AS n FROM w GROUP BY customer_id, product_id, week)""", ("txbc",))
 def q_c6(t):
     c = _clean(t)
-    return quality.quality_report(c, c.withColumn("week", P.week_start("purchase_date")), "2000-07-31", "2001-07-31")
+    first = t.orders.agg(F.min("o_orderdate").cast("string").alias("d")).first().d
+    return quality.quality_report(c, c.withColumn("week", P.week_start("purchase_date")), first, V.last_order(t))
 
 
 NUMN_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -425,14 +426,14 @@ def q_c13(t):
 
 @query("a2_weekly_quantities", """SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week,
   coalesce(sum(items), 0) AS qty, count(*) AS num_lines, CAST(coalesce(sum(items), 0) > 0 OR count(*) > 0 AS INTEGER) AS bought
-FROM txc GROUP BY 1, 2, 3""", ("txc",))
+FROM txbc GROUP BY 1, 2, 3""", ("txbc",))
 def q_a2(t):
     return aggs.weekly_quantities(_clean(t))
 
 
 @query("a3_coverage", """SELECT count(DISTINCT customer_id) AS n_customers, count(DISTINCT product_id) AS n_products,
   count(DISTINCT CAST(date_trunc('week', purchase_date) AS DATE)) AS n_weeks,
-  CAST(min(purchase_date) AS DATE) AS first_date, CAST(max(purchase_date) AS DATE) AS last_date FROM txc""", ("txc",))
+  CAST(min(purchase_date) AS DATE) AS first_date, CAST(max(purchase_date) AS DATE) AS last_date FROM txbc""", ("txbc",))
 def q_a3(t):
     return aggs.coverage(_clean(t))
 
@@ -451,22 +452,22 @@ def q_a5(t):
 
 
 @query("a6_basket_breadth", """WITH cw AS (SELECT customer_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week,
-  count(DISTINCT product_id) AS k FROM txc GROUP BY 1, 2), c AS (SELECT customer_id, avg(k) AS avg_k FROM cw GROUP BY 1)
-SELECT round(avg(avg_k), 6) AS mean_breadth, round(quantile_cont(avg_k, 0.5), 6) AS median_breadth FROM c""", ("txc",))
+  count(DISTINCT product_id) AS k FROM txbc GROUP BY 1, 2), c AS (SELECT customer_id, avg(k) AS avg_k FROM cw GROUP BY 1)
+SELECT round(avg(avg_k), 6) AS mean_breadth, round(quantile_cont(avg_k, 0.5), 6) AS median_breadth FROM c""", ("txbc",))
 def q_a6(t):
     return aggs.basket_breadth(aggs.weekly_activity(_clean(t)))
 
 
 @query("a7_volume_series_day", """SELECT CAST(purchase_date AS DATE) AS period, count(*) AS n_rows, round(sum(payment), 6) AS payment,
-  count(DISTINCT customer_id) AS n_customers FROM txd GROUP BY 1""", ("txd",))
+  count(DISTINCT customer_id) AS n_customers FROM txb GROUP BY 1""", ("txb",))
 def q_a7d(t):
-    return aggs.volume_series(V.txd(t), "day")
+    return aggs.volume_series(V.txb(t), "day")
 
 
 @query("a7_volume_series_week", """SELECT CAST(date_trunc('week', purchase_date) AS DATE) AS period, count(*) AS n_rows,
-  round(sum(payment), 6) AS payment, count(DISTINCT customer_id) AS n_customers FROM txd GROUP BY 1""", ("txd",))
+  round(sum(payment), 6) AS payment, count(DISTINCT customer_id) AS n_customers FROM txb GROUP BY 1""", ("txb",))
 def q_a7w(t):
-    return aggs.volume_series(V.txd(t), "week")
+    return aggs.volume_series(V.txb(t), "week")
 
 
 VISITS_SQL = """v AS (SELECT customer_id, invoice, max(invoice_date) AS visit_date, coalesce(sum(quantity * price), 0) AS spend
@@ -490,9 +491,9 @@ def q_a9(t):
     return aggs.lrmfp(V.ret(t))
 
 
-@query("a10_repurchase_interval", """WITH d AS (SELECT DISTINCT customer_id, product_id, CAST(purchase_date AS DATE) AS d FROM txc),
+@query("a10_repurchase_interval", """WITH d AS (SELECT DISTINCT customer_id, product_id, CAST(purchase_date AS DATE) AS d FROM txbc),
 g AS (SELECT product_id, d - lag(d) OVER (PARTITION BY customer_id, product_id ORDER BY d) AS gap FROM d)
-SELECT product_id, round(avg(gap), 6) AS mean_days, count(*) AS support FROM g WHERE gap IS NOT NULL GROUP BY 1""", ("txc",))
+SELECT product_id, round(avg(gap), 6) AS mean_days, count(*) AS support FROM g WHERE gap IS NOT NULL GROUP BY 1""", ("txbc",))
 def q_a10(t):
     return aggs.repurchase_interval(_clean(t))
 

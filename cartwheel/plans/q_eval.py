@@ -13,39 +13,45 @@ from cartwheel.sources import tables as V
 
 
 def _weekly(t):
-    return aggs.weekly_activity(clean_transactions(V.txd(t)))
+    return aggs.weekly_activity(clean_transactions(V.txb(t)))
 
 
 WEEKLY = """weekly AS (SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week,
-  count(*) AS num_tx, 1 AS bought FROM txc GROUP BY 1, 2, 3)"""
-# H1 on 53 weeks: 51 effective → 35 train, 7 valid, 9 test; weeks 35 and 43 purged
-HOLDOUT = """hw AS (SELECT week, CASE WHEN i < 35 THEN 'train' WHEN i >= 36 AND i < 43 THEN 'valid'
-  WHEN i >= 44 AND i < 53 THEN 'test' ELSE 'gap' END AS split
-  FROM (SELECT week, row_number() OVER (ORDER BY week) - 1 AS i FROM (SELECT DISTINCT week FROM weekly))),
+  count(*) AS num_tx, 1 AS bought FROM txbc GROUP BY 1, 2, 3)"""
+# H1: of the weeks left after two gaps, 70 % and 15 % rounded down, the rest is test
+HOLDOUT = """hw AS (SELECT week, CASE WHEN i < a THEN 'train' WHEN i > a AND i <= a + b THEN 'valid' WHEN i > a + b + 1 THEN 'test' ELSE 'gap' END AS split
+  FROM (SELECT week, row_number() OVER (ORDER BY week) - 1 AS i, CAST(floor((count(*) OVER () - 2) * 0.7::DOUBLE) AS INTEGER) AS a,
+               CAST(floor((count(*) OVER () - 2) * 0.15::DOUBLE) AS INTEGER) AS b FROM (SELECT DISTINCT week FROM weekly))),
 holdout AS (SELECT * FROM hw WHERE split <> 'gap')"""
+# H2: 35 weeks, a gap, 7 weeks, a gap, the rest
+FIXED = """holdout AS (SELECT week, CASE WHEN i < 35 THEN 'train' WHEN i < 43 THEN 'valid' ELSE 'test' END AS split
+  FROM (SELECT week, row_number() OVER (ORDER BY week) - 1 AS i FROM (SELECT DISTINCT week FROM weekly)) WHERE i NOT IN (35, 43))"""
 
 
 def _holdout(t):
     return splits.temporal_holdout(_weekly(t))
 
 
-@query("h1_temporal_holdout", f"WITH {WEEKLY}, {HOLDOUT} SELECT * FROM holdout", ("txc",))
+@query("h1_temporal_holdout", f"WITH {WEEKLY}, {HOLDOUT} SELECT * FROM holdout", ("txbc",))
 def q_h1(t):
     return _holdout(t)
 
 
-@query("h2_fixed_holdout", f"WITH {WEEKLY}, {HOLDOUT} SELECT * FROM holdout", ("txc",))
+@query("h2_fixed_holdout", f"WITH {WEEKLY}, {FIXED} SELECT * FROM holdout", ("txbc",))
 def q_h2(t):
     return splits.fixed_holdout(_weekly(t))
 
 
-@query("h3_check_split", "SELECT 'one_split_per_week' AS \"check\", true AS passed UNION ALL SELECT 'ordered_in_time', true")
+@query("h3_check_split", f"""WITH {WEEKLY}, {HOLDOUT}, s AS (SELECT split, min(week) AS lo, max(week) AS hi FROM holdout GROUP BY split)
+SELECT 'one_split_per_week' AS "check", (SELECT max(k) = 1 FROM (SELECT count(DISTINCT split) AS k FROM holdout GROUP BY week)) AS passed
+UNION ALL SELECT 'ordered_in_time', (SELECT hi FROM s WHERE split = 'train') < (SELECT lo FROM s WHERE split = 'valid')
+  AND (SELECT hi FROM s WHERE split = 'valid') < (SELECT lo FROM s WHERE split = 'test')""", ("txbc",))
 def q_h3(t):
     return splits.check_split(_holdout(t))
 
 
 @query("j5_attach_split", f"WITH {WEEKLY}, {HOLDOUT} SELECT w.*, h.split FROM weekly w JOIN holdout h ON w.week = h.week",
-       ("txc",))
+       ("txbc",))
 def q_j5(t):
     w = _weekly(t)
     return joins.attach_split(w, splits.temporal_holdout(w))
@@ -54,7 +60,7 @@ def q_j5(t):
 @query("a11_split_summary", f"""WITH {WEEKLY}, {HOLDOUT}
 SELECT split, count(*) AS n_rows, count(DISTINCT w.week) AS n_weeks, count(DISTINCT customer_id) AS n_customers,
   count(DISTINCT product_id) AS n_products, min(w.week) AS start, max(w.week) AS "end"
-FROM weekly w JOIN holdout h ON w.week = h.week GROUP BY split""", ("txc",))
+FROM weekly w JOIN holdout h ON w.week = h.week GROUP BY split""", ("txbc",))
 def q_a11(t):
     w = _weekly(t)
     return aggs.split_summary(joins.attach_split(w, splits.temporal_holdout(w)))
@@ -62,7 +68,7 @@ def q_a11(t):
 
 @query("a12_pivot_counts", f"""WITH {WEEKLY}, {HOLDOUT}
 SELECT w.week, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'valid') AS valid,
-  count(*) FILTER (WHERE split = 'test') AS test FROM weekly w JOIN hw h ON w.week = h.week GROUP BY w.week""", ("txc",))
+  count(*) FILTER (WHERE split = 'test') AS test FROM weekly w JOIN hw h ON w.week = h.week GROUP BY w.week""", ("txbc",))
 def q_a12(t):
     w = _weekly(t)
     j = joins.attach_split(w, splits.temporal_holdout(w, keep_gap=True))
@@ -73,7 +79,7 @@ POOL = f"""pool AS (SELECT product_id, sum(bought) AS n FROM weekly w JOIN holdo
   WHERE split = 'train' GROUP BY 1 ORDER BY n DESC, product_id LIMIT 10)"""
 
 
-@query("t2_train_pool", f"WITH {WEEKLY}, {HOLDOUT}, {POOL} SELECT product_id, CAST(n AS BIGINT) AS n FROM pool", ("txc",))
+@query("t2_train_pool", f"WITH {WEEKLY}, {HOLDOUT}, {POOL} SELECT product_id, CAST(n AS BIGINT) AS n FROM pool", ("txbc",))
 def q_t2(t):
     w = _weekly(t)
     return topk.train_pool(joins.attach_split(w, splits.temporal_holdout(w)), 10)
@@ -89,7 +95,7 @@ draw AS (SELECT customer_id, week, split, slot,
 SELECT d.customer_id, d.week, d.split, CAST(d.slot AS INTEGER) AS slot, p.product_id, 0 AS bought
 FROM draw d JOIN pidx p ON d._pi = p._pi
 WHERE NOT EXISTS (SELECT 1 FROM weekly x WHERE x.customer_id = d.customer_id AND x.week = d.week AND x.product_id = p.product_id)""",
-       ("txc",))
+       ("txbc",))
 def q_h5(t):
     w = _weekly(t)
     lab = joins.attach_split(w, splits.temporal_holdout(w))
@@ -105,7 +111,7 @@ draw AS (SELECT customer_id, week, ('0x' || substr(md5(CAST(customer_id AS VARCH
 neg AS (SELECT d.customer_id, d.week, p.product_id, 0 AS bought FROM draw d JOIN pidx p ON d._pi = p._pi
   WHERE NOT EXISTS (SELECT 1 FROM weekly x WHERE x.customer_id = d.customer_id AND x.week = d.week AND x.product_id = p.product_id))
 SELECT w.customer_id, w.week, w.product_id, w.bought FROM weekly w JOIN holdout h ON w.week = h.week
-UNION ALL SELECT * FROM neg""", ("txc",))
+UNION ALL SELECT * FROM neg""", ("txbc",))
 def q_u2(t):
     w = _weekly(t)
     lab = joins.attach_split(w, splits.temporal_holdout(w)).drop("split")
@@ -127,13 +133,13 @@ def q_h6(t):
     return splits.sample_n(t.orders, 50, 3, "o_orderkey")
 
 
-@query("h7_simulate_week", """WITH pairs AS (SELECT customer_id, product_id, avg(payment) AS payment FROM txc GROUP BY 1, 2),
+@query("h7_simulate_week", """WITH pairs AS (SELECT DISTINCT customer_id, product_id FROM txbc),
 s AS (SELECT * FROM pairs ORDER BY md5(CAST(customer_id AS VARCHAR) || '|' || product_id || '|9') LIMIT 40)
-SELECT customer_id, product_id, order_id, purchase_date, items, round(payment, 6) AS payment FROM txc
-UNION ALL SELECT customer_id, product_id, NULL, (SELECT max(purchase_date) FROM txc) + INTERVAL 7 DAY, 1.0, round(payment, 6) FROM s""",
-       ("txc",))
+SELECT customer_id, product_id, order_id, purchase_date, items, round(payment, 6) AS payment FROM txbc
+UNION ALL SELECT customer_id, product_id, NULL, (SELECT max(purchase_date) FROM txbc) + INTERVAL 7 DAY, 1.0, 1.0 FROM s""",
+       ("txbc",))
 def q_h7(t):
-    out = splits.simulate_week(clean_transactions(V.txd(t)), 40, 9)
+    out = splits.simulate_week(clean_transactions(V.txb(t)), 40, 9)
     return out.withColumn("payment", F.round("payment", 6))
 
 
@@ -141,20 +147,22 @@ def q_h7(t):
 
 @query("j3_expand_weeks", f"""WITH {WEEKLY}
 SELECT c.customer_id, c.product_id, w.week FROM (SELECT DISTINCT customer_id, product_id FROM weekly) c
-CROSS JOIN (SELECT DISTINCT week FROM weekly WHERE week >= DATE '2001-05-01') w""", ("txc",))
+CROSS JOIN (SELECT DISTINCT week FROM weekly WHERE week > (SELECT max(week) FROM weekly) - INTERVAL 84 DAY) w""", ("txbc",))
 def q_j3(t):
+    """Every pair in each of the last twelve weeks."""
     w = _weekly(t)
-    cal = w.filter(F.col("week") >= "2001-05-01").select("week").distinct()
+    weeks = w.select("week").distinct()
+    cal = weeks.crossJoin(F.broadcast(weeks.agg(F.max("week").alias("_l")))).where(F.col("week") > F.date_sub("_l", 84)).select("week")
     return joins.expand_weeks(w.select("customer_id", "product_id").distinct(), cal)
 
 
 @query("a15_list_lengths", """WITH r AS (SELECT customer_id, product_id FROM (
   SELECT customer_id, product_id, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_id) AS rank
-  FROM txc GROUP BY 1, 2) WHERE rank <= 3), per AS (SELECT customer_id, count(*) AS k FROM r GROUP BY 1)
+  FROM txbc GROUP BY 1, 2) WHERE rank <= 3), per AS (SELECT customer_id, count(*) AS k FROM r GROUP BY 1)
 SELECT CAST(sum(k) AS BIGINT) AS n_rows, count(*) AS n_customers, round(avg(k), 6) AS mean_len, max(k) AS max_len FROM per""",
-       ("txc",))
+       ("txbc",))
 def q_a15(t):
-    g = clean_transactions(V.txd(t)).groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    g = clean_transactions(V.txb(t)).groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
     return aggs.list_lengths(windows.rank_topk(g, 3, score="n"))
 
 
@@ -323,12 +331,13 @@ def q_k12(t):
 # ------------------------------------------------------------------ drift on EV (first vs last 15 days)
 
 def _drift_frames(t):
-    e = V.ev(t).withColumn("value_shifted", F.col("value") + F.when(F.col("period") >= "2024-01-16", 1.0).otherwise(0.0))
-    return e.filter(F.col("period") < "2024-01-16"), e.filter(F.col("period") >= "2024-01-16")
+    mid = V.ev_middle(t)
+    e = V.ev(t).withColumn("value_shifted", F.col("value") + F.when(F.col("period") >= mid, 1.0).otherwise(0.0))
+    return e.filter(F.col("period") < mid), e.filter(F.col("period") >= mid)
 
 
-DRIFT_SQL = """e AS (SELECT *, value + CASE WHEN period >= DATE '2024-01-16' THEN 1.0 ELSE 0.0 END AS value_shifted,
-  CASE WHEN period < DATE '2024-01-16' THEN 'ref' ELSE 'new' END AS sample FROM ev)"""
+DRIFT_SQL = """e AS (SELECT *, value + CASE WHEN period >= (SELECT CAST(min(period) + INTERVAL 15 DAY AS DATE) FROM ev) THEN 1.0 ELSE 0.0 END AS value_shifted,
+  CASE WHEN period < (SELECT CAST(min(period) + INTERVAL 15 DAY AS DATE) FROM ev) THEN 'ref' ELSE 'new' END AS sample FROM ev)"""
 
 
 @query("d1_rate_drift", f"""WITH {DRIFT_SQL}, r AS (SELECT avg(CAST(product_id = 'purchase' AS INTEGER)) AS a FROM e WHERE sample = 'ref'),

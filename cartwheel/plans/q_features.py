@@ -59,12 +59,22 @@ FM = f"""fm AS (
   LEFT JOIN cust_cat_prior_rate q ON q.customer_id = f.customer_id AND q.category = f.category AND q.week_idx = f.week_idx)"""
 CHAIN = ",\n".join([ACT, TOP20, CAND, WEEKS, DENSE, FEAT, PRIORS, FM])
 BASE_VIEWS = ("txc", "cust", "brand_dim")
+WHOLE_VIEWS = ("txbc", "cust", "brand_dim")
 
 
 def _clean(t):
     return clean_transactions(V.txd(t))
 
 
+def _all(t):
+    """All orders, for the queries that are not of the dense grid."""
+    return clean_transactions(V.txb(t))
+
+
+def _whole(sql: str) -> str:
+    return sql.replace("txc", "txbc")
+
+
 def _fm(t):
     return build_feature_matrix(_clean(t), V.cust(t), V.brand_dim(t))
 
@@ -89,25 +99,25 @@ def q_offer(t):
 
 # ------------------------------------------------------------------ A1 / U1 / J3-J4 / W*
 
-@query("c1_clean_transactions", "SELECT * FROM txc", ("txc",))
-def q_clean(t):
-    return _clean(t)
+@query("c1_clean_transactions", "SELECT * FROM txbc", ("txbc",))
+def q_all(t):
+    return _all(t)
 
 
-@query("a1_weekly_activity", f"WITH {ACT} SELECT * FROM act", ("txc",))
+@query("a1_weekly_activity", f"WITH {_whole(ACT)} SELECT * FROM act", ("txbc",))
 def q_a1(t):
-    return aggs.weekly_activity(_clean(t))
+    return aggs.weekly_activity(_all(t))
 
 
-@query("t1_global_top", """SELECT product_id, count(*) AS n FROM txc GROUP BY product_id
-ORDER BY n DESC, product_id LIMIT 20""", ("txc",))
+@query("t1_global_top", """SELECT product_id, count(*) AS n FROM txbc GROUP BY product_id
+ORDER BY n DESC, product_id LIMIT 20""", ("txbc",))
 def q_t1(t):
-    return topk.global_top(_clean(t), 20)
+    return topk.global_top(_all(t), 20)
 
 
-@query("u1_candidate_pairs", f"WITH {TOP20}, {CAND} SELECT * FROM cand", BASE_VIEWS)
+@query("u1_candidate_pairs", f"WITH {_whole(TOP20)}, {_whole(CAND)} SELECT * FROM cand", WHOLE_VIEWS)
 def q_u1(t):
-    c = _clean(t)
+    c = _all(t)
     return topk.candidate_pairs(c, V.cust(t), topk.global_top(c, 20))
 
 
@@ -124,9 +134,9 @@ def q_fm(t):
 
 
 @query("w9_period_index", """SELECT week, CAST(row_number() OVER (ORDER BY week) - 1 AS INTEGER) AS week_idx
-FROM (SELECT DISTINCT CAST(date_trunc('week', purchase_date) AS DATE) AS week FROM txc)""", ("txc",))
+FROM (SELECT DISTINCT CAST(date_trunc('week', purchase_date) AS DATE) AS week FROM txbc)""", ("txbc",))
 def q_w9(t):
-    return windows.period_index(aggs.weekly_activity(_clean(t)).select("week").distinct())
+    return windows.period_index(aggs.weekly_activity(_all(t)).select("week").distinct())
 
 
 @query("w10_inter_event_days", """SELECT customer_id, invoice, invoice_date,
@@ -140,28 +150,30 @@ def q_w10(t):
 @query("w11_latest_per_pair", """SELECT customer_id, product_id, week, num_tx, bought FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id, product_id ORDER BY week DESC) AS rn
   FROM (SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week,
-               count(*) AS num_tx, 1 AS bought FROM txc GROUP BY 1, 2, 3)
-  WHERE week <= DATE '2001-06-30') WHERE rn = 1""", ("txc",))
+               count(*) AS num_tx, 1 AS bought FROM txbc GROUP BY 1, 2, 3)
+  WHERE week <= (SELECT max(o_orderdate)::DATE FROM orders) - INTERVAL 30 DAY) WHERE rn = 1""", ("txbc",))
 def q_w11(t):
+    """The latest week of each pair as of a month before the last order."""
     import datetime
-    return windows.latest_per_pair(aggs.weekly_activity(_clean(t)), datetime.date(2001, 6, 30))
+    day = datetime.date.fromisoformat(V.last_order(t)[:10]) - datetime.timedelta(days=30)
+    return windows.latest_per_pair(aggs.weekly_activity(_all(t)), day)
 
 
 @query("w12_rank_topk", """SELECT customer_id, product_id, n, CAST(rank AS INTEGER) AS rank FROM (
   SELECT customer_id, product_id, count(*) AS n,
          row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_id) AS rank
-  FROM txc GROUP BY 1, 2) WHERE rank <= 3""", ("txc",))
+  FROM txbc GROUP BY 1, 2) WHERE rank <= 3""", ("txbc",))
 def q_w12(t):
-    g = _clean(t).groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    g = _all(t).groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
     return windows.rank_topk(g, 3, score="n").withColumn("rank", F.col("rank").cast("int"))
 
 
 @query("w13_customer_top_products", """SELECT customer_id, string_agg(product_id, ',' ORDER BY rank) AS top_products FROM (
   SELECT customer_id, product_id,
          row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_id) AS rank
-  FROM txc GROUP BY 1, 2) WHERE rank <= 20 GROUP BY customer_id""", ("txc",))
+  FROM txbc GROUP BY 1, 2) WHERE rank <= 20 GROUP BY customer_id""", ("txbc",))
 def q_w13(t):
-    r = windows.customer_top_products(_clean(t), 20)
+    r = windows.customer_top_products(_all(t), 20)
     return r.select("customer_id", F.array_join("top_products", ",").alias("top_products"))
 
 
@@ -175,17 +187,17 @@ def q_j1(t):
     return joins.enrich(V.tx(t), V.cust(t), V.prod(t))
 
 
-@query("j2_cross_top", f"WITH {TOP20} SELECT c.customer_id, t.product_id FROM cust c CROSS JOIN top t", BASE_VIEWS)
+@query("j2_cross_top", f"WITH {_whole(TOP20)} SELECT c.customer_id, t.product_id FROM cust c CROSS JOIN top t", WHOLE_VIEWS)
 def q_j2(t):
-    return joins.cross_top(V.cust(t), topk.global_top(_clean(t), 20))
+    return joins.cross_top(V.cust(t), topk.global_top(_all(t), 20))
 
 
 @query("j6_drop_observed", """SELECT c.customer_id, t.product_id FROM cust c CROSS JOIN
-  (SELECT product_id FROM txc GROUP BY product_id ORDER BY count(*) DESC, product_id LIMIT 5) t
-WHERE NOT EXISTS (SELECT 1 FROM txc x WHERE x.customer_id = c.customer_id AND x.product_id = t.product_id)""",
-       ("txc", "cust"))
+  (SELECT product_id FROM txbc GROUP BY product_id ORDER BY count(*) DESC, product_id LIMIT 5) t
+WHERE NOT EXISTS (SELECT 1 FROM txbc x WHERE x.customer_id = c.customer_id AND x.product_id = t.product_id)""",
+       ("txbc", "cust"))
 def q_j6(t):
-    c = _clean(t)
+    c = _all(t)
     neg = joins.cross_top(V.cust(t), topk.global_top(c, 5))
     return joins.drop_observed(neg, c, ["customer_id", "product_id"])
 
@@ -208,36 +220,36 @@ def q_j8(t):
 
 # ------------------------------------------------------------------ set operations
 
-@query("u3_pair_sets", """WITH p AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period < DATE '2024-01-16'),
-     q AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period >= DATE '2024-01-16')
+@query("u3_pair_sets", """WITH p AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period < (SELECT CAST(min(period) + INTERVAL 15 DAY AS DATE) FROM ev)),
+     q AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period >= (SELECT CAST(min(period) + INTERVAL 15 DAY AS DATE) FROM ev))
 SELECT (SELECT count(*) FROM (SELECT * FROM p INTERSECT SELECT * FROM q)) AS tp,
        (SELECT count(*) FROM (SELECT * FROM p EXCEPT SELECT * FROM q)) AS fp,
        (SELECT count(*) FROM (SELECT * FROM q EXCEPT SELECT * FROM p)) AS fn""", ("ev",))
 def q_u3(t):
-    e = V.ev(t)
-    return topk.pair_sets(e.filter(F.col("period") < "2024-01-16"), e.filter(F.col("period") >= "2024-01-16"))
+    e, mid = V.ev(t), V.ev_middle(t)
+    return topk.pair_sets(e.filter(F.col("period") < mid), e.filter(F.col("period") >= mid))
 
 
-@query("u4_pair_universe", """WITH p AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period < DATE '2024-01-16'),
-     q AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period >= DATE '2024-01-16')
+@query("u4_pair_universe", """WITH p AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period < (SELECT CAST(min(period) + INTERVAL 15 DAY AS DATE) FROM ev)),
+     q AS (SELECT DISTINCT customer_id, product_id FROM ev WHERE period >= (SELECT CAST(min(period) + INTERVAL 15 DAY AS DATE) FROM ev))
 SELECT coalesce(p.customer_id, q.customer_id) AS customer_id, coalesce(p.product_id, q.product_id) AS product_id,
        CASE WHEN p.customer_id IS NULL THEN 0 ELSE 1 END AS y_pred, CASE WHEN q.customer_id IS NULL THEN 0 ELSE 1 END AS y_true
 FROM p FULL OUTER JOIN q ON p.customer_id = q.customer_id AND p.product_id = q.product_id""", ("ev",))
 def q_u4(t):
-    e = V.ev(t)
-    return topk.pair_universe(e.filter(F.col("period") < "2024-01-16"), e.filter(F.col("period") >= "2024-01-16"))
+    e, mid = V.ev(t), V.ev_middle(t)
+    return topk.pair_universe(e.filter(F.col("period") < mid), e.filter(F.col("period") >= mid))
 
 
 @query("t5_recommend", """WITH own AS (
   SELECT customer_id, string_agg(product_id, ',' ORDER BY rank) AS l FROM (
     SELECT customer_id, product_id, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_id) AS rank
-    FROM txc GROUP BY 1, 2) WHERE rank <= 3 GROUP BY 1),
+    FROM txbc GROUP BY 1, 2) WHERE rank <= 3 GROUP BY 1),
 g AS (SELECT string_agg(product_id, ',' ORDER BY n DESC, product_id) AS l FROM
-  (SELECT product_id, count(*) AS n FROM txc GROUP BY 1 ORDER BY n DESC, product_id LIMIT 3))
+  (SELECT product_id, count(*) AS n FROM txbc GROUP BY 1 ORDER BY n DESC, product_id LIMIT 3))
 SELECT c.customer_id, coalesce(o.l, g.l) AS products, o.l IS NOT NULL AS personal
-FROM cust c LEFT JOIN own o ON o.customer_id = c.customer_id CROSS JOIN g""", ("txc", "cust"))
+FROM cust c LEFT JOIN own o ON o.customer_id = c.customer_id CROSS JOIN g""", ("txbc", "cust"))
 def q_t5(t):
-    c = _clean(t)
+    c = _all(t)
     own = windows.customer_top_products(c, 3)
     g = topk.global_top(c, 3)
     glist = g.agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("product_id").alias("p")))),

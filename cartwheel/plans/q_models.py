@@ -744,4 +744,7 @@ def q_d7(t):
 def q_d8(t):
     from cartwheel.plans import weekly as W
     tx, cust, prod = _weekly_inputs(t)
-    return W.score_week(tx, cust, prod, "2001-06-25", 26, W.model_dir(t.spark, f"d8_{uuid.uuid4().hex}"), k=10)
+    import datetime
+    last = datetime.date.fromisoformat(V.last_order(t)[:10])
+    week = last - datetime.timedelta(days=last.weekday() + 35)  # a Monday, five weeks before the last one
+    return W.score_week(tx, cust, prod, str(week), 26, W.model_dir(t.spark, f"d8_{uuid.uuid4().hex}"), k=10)

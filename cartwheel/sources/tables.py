@@ -16,7 +16,6 @@ TABLE_NAMES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Start of the dense 53-week window of the TXD view (fixed value of the fixture).
 TXD_WEEKS = 53  # weeks of history of the dense view, the last one included
 
 
@@ -70,13 +69,12 @@ def tx(t: Tables) -> DataFrame:
     )
 
 
-def txd(t: Tables, weeks: int = TXD_WEEKS) -> DataFrame:
-    """TXD: TX at brand grain over the last ``weeks`` weeks, counted back from
-    the latest order (dense repeat purchases)."""
+def txb(t: Tables, start: Column | None = None) -> DataFrame:
+    """TXB: TX at brand grain (dense repeat purchases), all orders or those from ``start`` on."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
-    last = t.orders.agg(F.max("o_orderdate").cast("string").alias("d")).first().d
-    start = F.date_trunc("week", F.lit(last).cast("timestamp_ntz")) - F.expr(f"INTERVAL {7 * (weeks - 1)} DAYS")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").filter(F.col("o_orderdate") >= start.cast("timestamp_ntz"))
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    if start is not None:
+        o = o.filter(F.col("o_orderdate") >= start)
     p = t.part.select("p_partkey", "p_brand")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return j.select(
@@ -89,6 +87,23 @@ def txd(t: Tables, weeks: int = TXD_WEEKS) -> DataFrame:
     )
 
 
+def last_order(t: Tables) -> str:
+    """The latest order date, as text."""
+    return t.orders.agg(F.max("o_orderdate").cast("string").alias("d")).first().d
+
+
+def txd(t: Tables, weeks: int = TXD_WEEKS) -> DataFrame:
+    """TXD: TXB over the last ``weeks`` weeks, counted back from the latest
+    order: the history window of the dense weekly grid."""
+    start = F.date_trunc("week", F.lit(last_order(t)).cast("timestamp_ntz")) - F.expr(f"INTERVAL {7 * (weeks - 1)} DAYS")
+    return txb(t, start.cast("timestamp_ntz"))
+
+
+def ev_middle(t: Tables):
+    """The day 15 days after the first event: drift and set queries compare the time before and from it."""
+    return t.events.agg(F.date_add(F.min(F.to_date("ts")), 15).alias("d")).first().d
+
+
 def ev(t: Tables) -> DataFrame:
     """EV: events as (customer, product, period) purchases."""
     return t.events.select(
