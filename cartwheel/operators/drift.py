@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -77,16 +78,28 @@ def chi2_drift(ref: DataFrame, new: DataFrame, cols: Sequence[str], min_freq: fl
                        ((F.col("k") - 1) * (F.col("s") - 1)).cast("bigint").alias("dof"))
 
 
-def chi2_pvalues(ref: DataFrame, new: DataFrame, col: str) -> float:
-    """p-value of the chi-square test for one feature via MLlib's ChiSquareTest
-    (distributed contingency counts)."""
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.stat import ChiSquareTest
-    both = (ref.select(F.col(col).cast("string").alias("v")).withColumn("label", F.lit(0.0))
-            .unionByName(new.select(F.col(col).cast("string").alias("v")).withColumn("label", F.lit(1.0))))
-    idx = StringIndexer(inputCol="v", outputCol="vi", handleInvalid="keep").fit(both).transform(both)
-    vec = VectorAssembler(inputCols=["vi"], outputCol="features").transform(idx)
-    return ChiSquareTest.test(vec, "features", "label").first().pValues[0]
+def chi2_tail(stat, dof):
+    """P(a chi-square with ``dof`` degrees of freedom exceeds ``stat``): one less
+    the series of the lower incomplete gamma function."""
+    a, x = dof / 2.0, stat / 2.0
+    whole = F.floor(dof / 2).cast("int")
+    # ln gamma(a + 1) from gamma(1) or gamma(1/2) upwards
+    half = dof % 2 == 1
+    first = F.when(half, F.lit(0.5)).otherwise(F.lit(1.0))
+    log_gamma = F.aggregate(F.sequence(F.lit(0), whole), F.when(half, F.lit(0.5 * math.log(math.pi))).otherwise(F.lit(0.0)),
+                            lambda s, i: s + F.when(half | (i < whole), F.log(first + i)).otherwise(0.0))
+    terms = F.ceil(F.least(x, F.lit(2000.0)) * 2 + 200).cast("int")
+    series = F.aggregate(F.sequence(F.lit(1), terms), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
+                         lambda c, n: F.struct((c["t"] * x / (a + n)).alias("t"), (c["s"] + c["t"] * x / (a + n)).alias("s")), lambda c: c["s"])
+    lower = F.exp(a * F.log(x) - x - log_gamma) * series
+    # far beyond the mean nothing is left (and the series would be long)
+    return F.when(stat <= 0, 1.0).when(x > a + 30 * F.sqrt(a) + 60, 0.0).otherwise(F.least(F.greatest(1 - lower, F.lit(0.0)), F.lit(1.0)))
+
+
+def chi2_flags(stats: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """``chi2_drift`` with p_value and the flag; a feature with one category has p 1."""
+    p = F.when(F.col("dof") > 0, chi2_tail(F.col("statistic"), F.greatest(F.col("dof"), F.lit(1)))).otherwise(1.0)
+    return stats.withColumn("p_value", p).withColumn("drift", (F.col("p_value") < alpha).cast("int"))
 
 
 # D4

@@ -416,6 +416,15 @@ def q_c12(t):
     return quality.skewed_columns(quality.numeric_summary(V.num(t), NUMN_COLS))
 
 
+CLF_SKEW = ["n_chars", "n_words", "mean_word_len", "distinct_share"]
+
+
+@query("c12_skewed_document_columns", f"SELECT \"column\", skew FROM ({_summary_sql('clf', CLF_SKEW)}) WHERE skew > 0.25", ("clf",))
+def q_c12d(t):
+    """Document features with a long right tail."""
+    return quality.skewed_columns(quality.numeric_summary(V.clf(t), CLF_SKEW), 0.25)
+
+
 @query("c13_class_balance", """SELECT lang, quality, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY lang), 6) AS share
 FROM clf GROUP BY lang, quality""", ("clf",))
 def q_c13(t):

@@ -376,6 +376,34 @@ def q_d3(t):
     return drift.chi2_drift(r, n, ["product_id"])
 
 
+CHI2_SQL = """chi_long AS (SELECT sample, 'product_id' AS feature, product_id AS v FROM e UNION ALL SELECT sample, 'weekday', dayofweek(ts)::VARCHAR FROM e),
+c AS (SELECT feature, v, sample, count(*) AS n FROM chi_long GROUP BY 1, 2, 3),
+rt AS (SELECT feature, v, sum(n) AS rt FROM c GROUP BY 1, 2), ct AS (SELECT feature, sample, sum(n) AS ct FROM c GROUP BY 1, 2), tot AS (SELECT feature, sum(n) AS total FROM c GROUP BY 1),
+g AS (SELECT rt.feature, rt.v, ct.sample, rt, ct, total, coalesce(c.n, 0) AS n FROM rt JOIN ct USING (feature) JOIN tot USING (feature)
+      LEFT JOIN c ON c.feature = rt.feature AND c.v = rt.v AND c.sample = ct.sample),
+chi AS (SELECT feature, round(sum(pow(n - rt * ct / total, 2) / (rt * ct / total)), 6) AS statistic, (count(DISTINCT v) - 1) * (count(DISTINCT sample) - 1) AS dof FROM g GROUP BY 1),
+chip AS (SELECT *, greatest(0, 1 - list_sum(list_transform(range(0, 2000), lambda k: exp((dof / 2.0 + k) * ln(statistic / 2) - statistic / 2 - lgamma(dof / 2.0 + k + 1))))) AS p FROM chi)"""
+
+
+@query("d3_chi2_flags", f"""WITH {DRIFT_SQL}, {CHI2_SQL}
+SELECT feature, statistic, CAST(dof AS BIGINT) AS dof, round(p, 6) AS p_value, CAST(p < 0.05 AS INTEGER) AS drift FROM chip""", ("ev",))
+def q_d3f(t):
+    r, n = (x.withColumn("weekday", (F.dayofweek("ts") - 1).cast("string")) for x in _drift_frames(t))
+    return drift.chi2_flags(drift.chi2_drift(r, n, ["product_id", "weekday"])).withColumn("p_value", F.round("p_value", 6))
+
+
+@query("d4_drift_score_all", f"""WITH {KS_SQL}, {CHI2_SQL.replace("c AS (SELECT feature, v, sample", "cc AS (SELECT feature, v, sample").replace("FROM c GROUP", "FROM cc GROUP").replace("LEFT JOIN c ON c.feature = rt.feature AND c.v = rt.v AND c.sample", "LEFT JOIN cc c ON c.feature = rt.feature AND c.v = rt.v AND c.sample")},
+p AS (SELECT feature, D, (SELECT count(*) FROM e WHERE sample = 'ref') AS na, (SELECT count(*) FROM e WHERE sample = 'new') AS nb FROM ks),
+f AS (SELECT CAST(D > 1.358 * sqrt((na + nb) / (na * nb)) AS INTEGER) AS drift FROM p UNION ALL SELECT CAST(p < 0.05 AS INTEGER) FROM chip)
+SELECT round(avg(drift), 6) AS drift_score, count(*) AS n_features, avg(drift) >= 0.3 AS drifted FROM f""", ("ev",))
+def q_d4a(t):
+    """Numeric features by KS, categorical ones by chi-square."""
+    r, n = (x.withColumn("weekday", (F.dayofweek("ts") - 1).cast("string")) for x in _drift_frames(t))
+    flags = drift.ks_drift(r, n, ["value", "value_shifted"]).select("feature", "drift").unionByName(
+        drift.chi2_flags(drift.chi2_drift(r, n, ["product_id", "weekday"])).select("feature", "drift"))
+    return drift.drift_score(flags)
+
+
 @query("d4_drift_score", f"""WITH {KS_SQL}, p AS (SELECT feature, D, (SELECT count(*) FROM e WHERE sample = 'ref') AS na,
   (SELECT count(*) FROM e WHERE sample = 'new') AS nb FROM ks),
 f AS (SELECT CAST(D > 1.358 * sqrt((na + nb) / (na * nb)) AS INTEGER) AS drift FROM p)

@@ -194,3 +194,17 @@ SELECT feature, round(sum(abs(rho)), 6) AS centrality FROM (SELECT a AS feature,
 def q_f14(t):
     d = t.lineitem.select(F.monotonically_increasing_id().alias("_id"), *NUM4)
     return prep.centrality(prep.spearman(d, NUM4, "_id"))
+
+
+# fixed values: the group of each number
+GROUPS = {"l_quantity": "size", "l_extendedprice": "size", "l_discount": "rate", "l_tax": "rate"}
+
+
+@query("f14_representatives", f"""WITH {RANKS}, c AS ({_spearman_sql()}),
+z AS (SELECT feature, round(sum(abs(rho)), 6) AS centrality FROM (SELECT a AS feature, rho FROM c UNION ALL SELECT b, rho FROM c) GROUP BY 1),
+g AS (SELECT * FROM (VALUES {", ".join(f"('{f}', '{g}')" for f, g in GROUPS.items())}) AS v(feature, grp))
+SELECT grp AS "group", arg_max(feature, centrality) AS representative FROM (SELECT * FROM z JOIN g USING (feature) ORDER BY centrality DESC, feature) GROUP BY 1""")
+def q_f14r(t):
+    d = t.lineitem.select(F.monotonically_increasing_id().alias("_id"), *NUM4)
+    groups = t.spark.createDataFrame(list(GROUPS.items()), "feature string, group string")
+    return prep.pick_representatives(prep.centrality(prep.spearman(d, NUM4, "_id")), groups)
