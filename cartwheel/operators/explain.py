@@ -173,6 +173,26 @@ def rfe(train: DataFrame, valid: DataFrame, ranked: Sequence[str], label: str, m
     return train.sparkSession.createDataFrame(rows, "k int, precision double").orderBy(F.desc("precision"), "k")
 
 
+def rfe_refit(train: DataFrame, valid: DataFrame, cols: Sequence[str], label: str, make) -> DataFrame:
+    """Recursive elimination: fit on the features left, drop the least important
+    (ties: the later one), until one is left.  One row a number of features:
+    k, features (by falling importance), accuracy, precision, recall, f1 on
+    VALID at 0.5, chosen (the highest precision; ties: fewer features)."""
+    left, rows = list(cols), []
+    while left:
+        m = make().fit(assemble(train, left))
+        ranked = [n for n, _ in importances(m, left)]
+        s = m.transform(assemble(valid, left)).select(F.col(label).alias("y"), F.col("prediction").alias("p"))
+        r = s.agg(F.count("*").alias("n"), *[F.count_if((F.col("y") == a) & (F.col("p") == b)).alias(f"c{a}{b}") for a in (0, 1) for b in (0, 1)]).first()
+        tp, fp, fn = r["c11"], r["c01"], r["c10"]
+        rows.append((len(left), ranked, (tp + r["c00"]) / r["n"] if r["n"] else 0.0, tp / (tp + fp) if tp + fp else 0.0, tp / (tp + fn) if tp + fn else 0.0,
+                     2 * tp / (2 * tp + fp + fn) if tp + fp + fn else 0.0))
+        left = [c for c in left if c != ranked[-1]]
+    best = max(rows, key=lambda r: (r[3], -r[0]))[0] if rows else None
+    return train.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows],
+                                              "k int, features array<string>, accuracy double, precision double, recall double, f1 double, chosen boolean")
+
+
 # X9
 def fire_rules(df: DataFrame, rules: DataFrame, row_id: str, cols: Sequence[str]) -> DataFrame:
     """Rule conditions (rule, column, op, lo, hi) applied to every row →

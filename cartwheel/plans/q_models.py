@@ -6,6 +6,7 @@ pytest invariants); everything derived deterministically carries a twin."""
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import uuid
@@ -13,6 +14,7 @@ import uuid
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.operators import density as D
@@ -293,6 +295,18 @@ def q_m8(t):
 THRESHOLDS = [0.3, 0.4, 0.5, 0.6]
 
 
+@query("m8_leaderboard_report", "SELECT * FROM (VALUES ('forest', true, true), ('logreg', true, true), ('tree', true, true)) AS v(model, shares, in_order)")
+def q_m8r(t):
+    """Three models ordered on VALID and reported on TEST."""
+    parts = [M.assemble(p, CLF4) for p in _three_parts(t)]
+    got = M.leaderboard_report(*parts, {"logreg": M.make_classifier("logreg", "label"), "tree": M.make_classifier("tree", "label", maxDepth=3),
+                                        "forest": M.make_classifier("forest", "label", numTrees=10)}, "label", parallel=3)
+    w = Window.orderBy("rank")  # a row a model
+    ok = [F.col(c).between(0, 1) for c in ("valid_pr_auc", "valid_f1", "threshold", "test_pr_auc", "test_f1")]
+    return got.select("model", functools.reduce(lambda a, b: a & b, ok).alias("shares"),
+                      F.coalesce(F.lag("valid_pr_auc").over(w) >= F.col("valid_pr_auc"), F.lit(True)).alias("in_order"))
+
+
 @query("m9_select_champion", "SELECT model, accuracy FROM (" + " UNION ALL ".join(
     f"SELECT 't{int(x * 10)}' AS model, round(avg(CAST(CAST(score >= {x} AS INTEGER) = y AS INTEGER)), 6) AS accuracy FROM sc"
     for x in THRESHOLDS) + ") ORDER BY accuracy DESC, model LIMIT 1", ("sc",))
@@ -549,6 +563,19 @@ def q_x8(t):
                  lambda: LogisticRegression(labelCol="label", featuresCol="features", weightCol="weight"), [1, 2, 3, 4])
 
 
+@query("x8_rfe_refit", "SELECT * FROM (VALUES (1, 1, true), (2, 2, true), (3, 3, true), (4, 4, true)) AS v(k, n_features, nested)")
+def q_x8r(t):
+    """Each set of features is the one before without its least important."""
+    train, valid, _ = _three_parts(t)
+    got = X.rfe_refit(train, valid, CLF4, "label", lambda: LogisticRegression(labelCol="label", featuresCol="features", maxIter=30))
+    w = Window.orderBy(F.desc("k"))  # a row a number of features
+    before = F.lag("features").over(w)
+    nested = before.isNull() | (F.array_sort(F.slice(before, 1, F.size(before) - 1)) == F.array_sort("features"))
+    one = F.sum(F.col("chosen").cast("int")).over(Window.partitionBy()) == 1
+    ok = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1")]
+    return got.select("k", F.size("features").alias("n_features"), (nested & one & functools.reduce(lambda a, b: a & b, ok)).alias("nested"))
+
+
 @query("x11_find_rule")
 def q_x11(t):
     c = V.clf(t)
