@@ -10,7 +10,7 @@ size check.  The flagship scores from pair aggregates without the grid.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import drop_null_keys, positive_only
@@ -19,8 +19,9 @@ from cartwheel.operators.joins import expand_weeks
 from cartwheel.operators.quality import dedupe_first
 from cartwheel.operators.topk import candidate_pairs, global_top
 from cartwheel.operators.windows import add_pair_features, period_index, rank_topk
-from cartwheel.session import materialize
+from cartwheel.session import bounded_broadcast, materialize
 
+CURVE_BYTES = 64 << 20  # of product curves in a broadcast
 PAIR_KEYS = ["customer_id", "product_id", "purchase_date"]
 
 
@@ -58,13 +59,16 @@ def _prior_curve(counts: DataFrame, keys: list[str], n_pairs: DataFrame, n_weeks
     every calendar week t as an array of length n_weeks.  On the dense grid a
     key with p candidate pairs has p rows per week, so obs before t = p · t;
     buys come from the (small) activity table only."""
-    m = counts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("week_idx", "n"))).alias("_m"))
+    # one running sum per key over its active weeks (at most n_weeks rows); a sum holds until the next active week
+    w = Window.partitionBy(*keys).orderBy("week_idx")
+    steps = counts.select(*keys, "week_idx", F.sum("n").over(w).alias("cum"), F.lead("week_idx").over(w).alias("next"))
+    m = steps.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("week_idx", "cum", "next"))).alias("_m"))
     j = n_pairs.join(m, keys, "left").crossJoin(F.broadcast(n_weeks))
-    def before(t):
-        return F.aggregate(F.map_entries(F.coalesce(F.col("_m"), F.create_map().cast("map<int,bigint>"))),
-                           F.lit(0).cast("bigint"), lambda acc, e: acc + F.when(e["key"] < t, e["value"]).otherwise(0))
-    curve = F.transform(F.sequence(F.lit(0), F.col("_W") - 1),
-                        lambda t: (before(t) + 1.0) / (F.col("_p") * t + 2.0))
+    held = F.transform("_m", lambda e: F.array_repeat(e["cum"], (F.coalesce(e["next"], F.col("_W") - 1) - e["week_idx"]).cast("int")))
+    zero = F.lit(0).cast("bigint")
+    before = F.when(F.col("_m").isNull(), F.array_repeat(zero, F.col("_W"))).otherwise(
+        F.concat(F.array_repeat(zero, (F.col("_m")[0]["week_idx"] + 1).cast("int")), F.flatten(held)))
+    curve = F.transform(before, lambda n, t: (n + 1.0) / (F.col("_p") * t + 2.0))
     return j.select(*keys, curve.alias("_curve"))
 
 
@@ -91,6 +95,8 @@ def build_feature_matrix(clean: DataFrame, customers: DataFrame, products: DataF
     n_w = cal.select("_W")
     prod_curve = _prior_curve(a.groupBy("product_id", "week_idx").agg(F.count(F.lit(1)).alias("n")), ["product_id"],
                               cand.groupBy("product_id").agg(F.count(F.lit(1)).alias("_p")), n_w)
+    # few products carry most pairs, so their curves aren't joined by key while they fit a broadcast of measured size
+    prod_curve = bounded_broadcast(materialize(prod_curve), CURVE_BYTES // (8 * weeks.count() + 64))
     cc_curve = _prior_curve(a.groupBy("customer_id", "category", "week_idx").agg(F.count(F.lit(1)).alias("n")),
                             ["customer_id", "category"],
                             cand.groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("_p")), n_w)
