@@ -1 +1,8 @@
+"""Operators over DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
+# executors need no copy of this package: its functions travel with the tasks
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.operators.trees import NODES, Ensemble, _matrix
-from cartwheel.session import materialize
+from cartwheel.session import materialize, shipped
 
 
 def _draw(*key) -> float:
@@ -84,12 +85,12 @@ def fit_extra_trees(df: DataFrame, cols: Sequence[str], label: str = "label", we
     nodes: dict[tuple[int, int], dict] = {}
 
     def gather(work, emit, schema, by, *aggs):
-        shared = spark.sparkContext.broadcast((grown, work))
+        shared = shipped(spark, (grown, work))
 
         arrow = _arrow(schema)
 
         def run(batches: Iterator[pa.RecordBatch]):
-            g, work = shared.value
+            g, work = pickle.loads(shared.value)
             for b in batches:
                 if b.num_rows:
                     x, y, w = _matrix(b, 2, d), b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -175,12 +176,13 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def score_trees(nodes: DataFrame, df: DataFrame, cols: Sequence[str], ids: Sequence[str], out: str = "proba") -> DataFrame:
     """ids and the margin of the node table for every row (for ``fit_extra_trees``, P(class 1))."""
     cols, ids = list(cols), list(ids)
-    shared = df.sparkSession.sparkContext.broadcast(Ensemble(nodes.collect()))
+    shared = shipped(df.sparkSession, Ensemble(nodes.collect()))
     rows = df.select(*ids, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
     schema = T.StructType([*rows.schema.fields[:len(ids)], T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]):
+        e = pickle.loads(shared.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(ids)], pa.array(shared.value.margin(_matrix(b, len(ids), len(cols))))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(ids)], pa.array(e.margin(_matrix(b, len(ids), len(cols))))], names=schema.names)
 
     return rows.mapInArrow(run, schema)

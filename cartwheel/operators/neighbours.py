@@ -15,6 +15,7 @@ bounded by ``MAX_LEAVES``."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.session import materialize
+from cartwheel.session import materialize, shipped
 
 LEAF_ROWS = 256
 MAX_LEAVES = 1 << 15
@@ -172,13 +173,13 @@ def nearest_donors(probes: DataFrame, donors: DataFrame, d: int, k: int) -> Data
     kind = (~np.isnan(sample)) @ (1 << np.arange(d, dtype=np.int64))
     for p, n in sorted(counts.items()):
         forest.grow(p, sample[kind == p], -(-n // leaf_rows))
-    cut = spark.sparkContext.broadcast(forest)
+    cut = shipped(spark, forest)
     placed_schema = T.StructType([T.StructField("leaf", T.LongType()), *donors.schema.fields])
 
     def place(batches: Iterator[pa.RecordBatch]):
-        at = placed_schema.names.index("v") - 1
+        at, f = placed_schema.names.index("v") - 1, pickle.loads(cut.value)
         for b in batches:
-            leaf = cut.value.leaf_of(_matrix(b.column(at), d)) if b.num_rows else np.zeros(0, np.int64)
+            leaf = f.leaf_of(_matrix(b.column(at), d)) if b.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(leaf), *b.columns], placed_schema.names)
 
     placed = materialize(donors.mapInArrow(place, placed_schema))
@@ -186,12 +187,12 @@ def nearest_donors(probes: DataFrame, donors: DataFrame, d: int, k: int) -> Data
     number = lambda x: np.nan if x is None else x
     forest.close({r["leaf"]: (np.array([number(r[f"a{i}"]) for i in range(d)]), np.array([number(r[f"z{i}"]) for i in range(d)]), r["n"])
                   for r in own.collect()})  # a row a leaf
-    tree = spark.sparkContext.broadcast(forest)
+    tree = shipped(spark, forest)
     met_schema = T.StructType([probes.schema["pid"], probes.schema["v"], T.StructField("leaf", T.LongType())])
 
     def meet(rows, bounded):
         def run(batches: Iterator[pa.RecordBatch]):
-            f = tree.value
+            f = pickle.loads(tree.value)
             for b in batches:
                 for i in range(0, b.num_rows, 1024):  # frontiers stay small
                     s = b.slice(i, 1024)

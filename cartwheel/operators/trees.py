@@ -10,6 +10,7 @@ broadcast; rows are explained in Arrow batches."""
 from __future__ import annotations
 
 import json
+import pickle
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.session import shared_path
+from cartwheel.session import shared_path, shipped
 
 NODES = ("tree int, node int, left int, right int, feature int, threshold double, categories array<double>, "
          "n long, gain double, value double")
@@ -163,13 +164,14 @@ def tree_contributions(nodes: DataFrame, df: DataFrame, cols: Sequence[str], id_
     """Long form (id, feature, contribution) of path-dependent Shapley values:
     with ``base_value`` they add up to the margin of every row."""
     cols = list(cols)
-    shared = df.sparkSession.sparkContext.broadcast(Ensemble(nodes.collect()))
+    shared = shipped(df.sparkSession, Ensemble(nodes.collect()))
     rows = df.select(id_col, *[F.col(c).cast("double") for c in cols])
     schema = T.StructType([rows.schema[0], T.StructField("phi", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]):
+        e = pickle.loads(shared.value)
         for b in batches:
-            phi = shared.value.shapley(_matrix(b, 1, len(cols)))
+            phi = e.shapley(_matrix(b, 1, len(cols)))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(phi) + 1) * len(cols), pa.int32()), pa.array(phi.ravel()))
             yield pa.RecordBatch.from_arrays([b.column(0), lists], schema.names)
 
@@ -186,10 +188,10 @@ def measured(nodes: DataFrame, df: DataFrame, cols: Sequence[str], label: str) -
     """The node table with n, gain (of the Gini impurity) and value (share of
     label 1 over the number of trees) as ``df`` gives them; 0 where no row comes."""
     cols = list(cols)
-    shared = df.sparkSession.sparkContext.broadcast(Ensemble(nodes.collect()))
+    shared = shipped(df.sparkSession, Ensemble(nodes.collect()))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        e = shared.value
+        e = pickle.loads(shared.value)
         for b in batches:
             left, y = e.goes_left(_matrix(b, 1, len(cols))), b.column(0).to_numpy(zero_copy_only=False)
             got = [_passes(left, steps) for _, steps in e.nodes]

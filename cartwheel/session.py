@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +72,9 @@ def materialize(df: DataFrame) -> DataFrame:
     checkpoint instead of recomputing from the facts."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shipped(spark: SparkSession, value):
+    """A broadcast of ``value`` that brings the classes of its objects along, so
+    that executors need no copy of this package; ``pickle.loads`` restores it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
