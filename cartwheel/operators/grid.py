@@ -1,15 +1,25 @@
 """Grid arithmetic (G1-G8) on the cell relation (frame, channel, y, x, v).
 
 Images become rows; per-pixel arithmetic is a projection, a second image is
-an equi-join on (y, x), and a convolution is a join of output cells × a
-broadcast kernel (≤ 49 rows) with the mirrored source coordinates, summed by
-a grouped aggregate — all partitioned by frame.
+an equi-join on (y, x).  A convolution gathers square tiles with the margin
+that the kernel reaches into, one row a tile, and weighs their cells in Arrow
+batches, so a cell is sent to its own tile and those near it, not once for every
+kernel weight.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+TILE = 32                # side of a tile of the convolution
+RASTER_CELLS = 1 << 20   # of tiles that a task weighs at a time
 
 
 def saturate(x: Column) -> Column:
@@ -101,33 +111,70 @@ def kernels() -> dict[str, tuple[list[list[float]], float]]:
     }
 
 
-def kernel_frame(spark: SparkSession, name: str) -> DataFrame:
-    m, off = kernels()[name]
-    rows = [(i, j, float(m[i][j])) for i in range(len(m)) for j in range(len(m[0]))]
-    return spark.createDataFrame(rows, "ki int, kj int, w double"), off, len(m), len(m[0])
-
-
-def _mirror(i: Column, n: Column) -> Column:
+def _mirror(i: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Symmetric border: -1 → 0, -2 → 1, n → n-1, n+1 → n-2."""
-    return F.when(i < 0, -i - 1).when(i >= n, 2 * n - i - 1).otherwise(i)
+    return np.where(i < 0, -i - 1, np.where(i >= n, 2 * n - i - 1, i))
+
+
+def _weigh(row, y, x, v, n_rows, ty, tx, h, w, kernel: np.ndarray, r: int):
+    """(row, y, x, weighted sum) of the cells that lie in their row's own tile.
+    Cells that come twice count twice, on both sides; missing ones count nothing."""
+    ly, lx = y - ty[row] * TILE + r, x - tx[row] * TILE + r
+    sy, sx = int(ly.max()) + 1, int(lx.max()) + 1
+    at = (row * sy + ly) * sx + lx
+    held = np.bincount(at, v, n_rows * sy * sx)
+    times = np.bincount(at, minlength=n_rows * sy * sx)
+    out = np.flatnonzero(times)
+    row, ly, lx = out // (sy * sx), out // sx % sy, out % sx
+    own = (ly >= r) & (ly < TILE + r) & (lx >= r) & (lx < TILE + r)
+    out, row, ly, lx = out[own], row[own], ly[own], lx[own]
+    y, x = ly + ty[row] * TILE - r, lx + tx[row] * TILE - r
+    total = np.zeros(len(out))
+    kh, kw = kernel.shape
+    across = [_mirror(x + (kw - 1) // 2 - j, w[row]) - tx[row] * TILE + r for j in range(kw)]
+    for i in range(kh):
+        b = _mirror(y + (kh - 1) // 2 - i, h[row]) - ty[row] * TILE + r
+        for j, a in enumerate(across):
+            met = (b >= 0) & (b < sy) & (a >= 0) & (a < sx)
+            total += kernel[i, j] * np.where(met, held[np.where(met, (row * sy + b) * sx + a, 0)], 0.0)
+    return row, y, x, total * times[out]
 
 
 # G6
 def convolve(cells: DataFrame, name: str, keys=("frame", "channel")) -> DataFrame:
     """Same-size 2-D convolution (kernel flipped), symmetric border, saturated.
-    out(y, x) = Σ K[i, j] · in(mirror(y + ch − i), mirror(x + cw − j))."""
-    spark = cells.sparkSession
-    k, off, kh, kw = kernel_frame(spark, name)
-    ch, cw = (kh - 1) // 2, (kw - 1) // 2
+    out(y, x) = Σ K[i, j] · in(mirror(y + ch − i), mirror(x + cw − j)).
+    Coordinates count from 0."""
+    m, off = kernels()[name]
+    kernel = np.array(m, float)
+    r = max(kernel.shape) // 2
     keys = list(keys)
+    cells = cells.where(F.col("y").isNotNull() & F.col("x").isNotNull())
     size = cells.groupBy(*keys).agg((F.max("y") + 1).alias("_h"), (F.max("x") + 1).alias("_w"))
-    out = cells.select(*keys, "y", "x").join(size, keys).crossJoin(F.broadcast(k))  # kernel: ≤ 49 rows
-    src = out.select(*keys, "y", "x", "w",
-                     _mirror(F.col("y") + ch - F.col("ki"), F.col("_h")).alias("sy"),
-                     _mirror(F.col("x") + cw - F.col("kj"), F.col("_w")).alias("sx"))
-    vals = cells.select(*keys, F.col("y").alias("sy"), F.col("x").alias("sx"), "v")
-    j = src.join(vals, keys + ["sy", "sx"])
-    g = j.groupBy(*keys, "y", "x").agg(F.sum(F.col("w") * F.col("v")).alias("_s"))
+    tiles = lambda c: F.explode(F.sequence(F.floor(F.greatest(F.col(c) - r, F.lit(0)) / TILE).cast("int"), F.floor((F.col(c) + r) / TILE).cast("int")))
+    placed = cells.select(*keys, "y", "x", "v").join(size, keys).withColumn("_ty", tiles("y")).withColumn("_tx", tiles("x"))
+    tile = placed.groupBy(*keys, "_ty", "_tx", "_h", "_w").agg(F.collect_list(F.struct(
+        F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.coalesce(F.col("v").cast("double"), F.lit(0.0)).alias("v"))).alias("_l"))
+    kinds = {f.name: f.dataType for f in cells.schema}
+    schema = T.StructType([T.StructField(c, kinds[c]) for c in [*keys, "y", "x"]] + [T.StructField("_s", T.DoubleType())])
+    coords = [{T.ByteType(): pa.int8(), T.ShortType(): pa.int16(), T.LongType(): pa.int64()}.get(kinds[c], pa.int32()) for c in ("y", "x")]
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for whole in batches:
+            n = max(1, RASTER_CELLS // (TILE + 2 * r) ** 2)
+            for lo in range(0, whole.num_rows, n):
+                b = whole.slice(lo, n)
+                lists = b.column("_l")
+                flat = pc.list_flatten(lists)
+                row = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+                y, x, v = (flat.field(f).to_numpy() for f in range(3))
+                at = [b.column(c).to_numpy().astype(np.int64) for c in ("_ty", "_tx", "_h", "_w")]
+                row, y, x, s = _weigh(row, y.astype(np.int64), x.astype(np.int64), v, b.num_rows, *at, kernel, r)
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays([*[b.column(c).take(take) for c in keys], pa.array(y).cast(coords[0]),
+                                                  pa.array(x).cast(coords[1]), pa.array(s)], schema.names)
+
+    g = tile.mapInArrow(run, schema)
     # round away summation-order noise before truncating to uint8
     return g.select(*keys, "y", "x", saturate(saturate(F.round(F.col("_s"), 9)) + off).alias("v"))
 
