@@ -344,3 +344,16 @@ def test_semantic_search_matches_plain_tf_idf(spark, monkeypatch):
             assert r["chunk_id"] == c and abs(r["score"] + s) < 1e-8
     plan = retrieval.semantic_topk(qs, ch, 4)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan
+
+
+def test_candidate_pairs_hash_only_history_outside_the_product(spark):
+    tx = spark.createDataFrame([(1, "a"), (1, "z"), (1, "z"), (9, "a"), (None, "b"), (2, None)], "customer_id int, product_id string")
+    customers = spark.createDataFrame([(1,), (1,), (2,), (None,)], "customer_id int")
+    top = spark.createDataFrame([("a",), ("b",)], "product_id string")
+    got = topk.candidate_pairs(tx, customers, top)
+    want = {(1, "z"), (9, "a"), (2, None)} | {(c, p) for c in (1, 2, None) for p in "ab"}
+    pairs = [tuple(r) for r in got.collect()]
+    assert set(pairs) == want and len(pairs) == len(want)
+    # the customers × top product goes into no aggregate
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Union")
