@@ -357,3 +357,34 @@ def test_candidate_pairs_hash_only_history_outside_the_product(spark):
     # the customers × top product goes into no aggregate
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lstrip().startswith("Union")
+
+
+@pytest.mark.parametrize("copies", [1, 2, 3])
+def test_features_from_active_weeks_equal_the_windows(spark, copies):
+    from pyspark.sql import Window
+    pairs = [(i, [w for w in range(20) if (i >> (w % 7)) * (w + 3 * i) % 5 == 1]) for i in range(40)]
+    df = (spark.createDataFrame(pairs, "customer_id int, act array<int>").withColumn("product_id", F.lit("p"))
+          .withColumn("week_idx", F.explode(F.sequence(F.lit(0), F.lit(19)))).withColumn("n", F.lit(copies))
+          .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn("W", F.lit(20))
+          .withColumn("bought", F.array_contains("act", F.col("week_idx")).cast("int")))
+    got = windows.pair_features_at("act", "week_idx", "n", "i", "W")
+    want = windows.add_pair_features(df).withColumn("label", F.lead("bought", 1).over(
+        Window.partitionBy("customer_id", "product_id").orderBy("week_idx", "i")))
+    # copies of a week are ties of the window's order, so weeks are compared as bags
+    a = df.select("customer_id", "week_idx", *[c.alias(x) for x, c in got.items()])
+    b = want.select(a.columns)
+    assert a.dtypes == b.dtypes
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_feature_matrix_sorts_no_grid_row(spark):
+    from cartwheel.plans.features import build_feature_matrix
+    day = lambda d: dt.datetime(2024, 1, d)
+    clean = spark.createDataFrame([(1, "a", day(1)), (1, "b", day(9)), (2, "a", day(16))], "customer_id int, product_id string, purchase_date timestamp_ntz")
+    customers = spark.createDataFrame([(1, 0.5), (2, 1.5), (2, 2.5)], "customer_id int, x double")
+    fm = build_feature_matrix(clean, customers, spark.createDataFrame([("a", "k"), ("b", "k")], "product_id string, category string"), label=True)
+    got = sorted(tuple(r) for r in fm.where("customer_id = 2 and product_id = 'a'").select("week_idx", "bought", "cp_prev_bought", "label", "x").collect())
+    assert len(got) == 6 and [g[1] for g in got] == [0, 0, 0, 0, 1, 1]
+    assert sorted((g[2], g[3]) for g in got if g[0] == 2) == [(0, 1), (1, None)]
+    plan = fm._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan[:plan.index("Generate")]
