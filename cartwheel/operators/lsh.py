@@ -1,11 +1,11 @@
 """Cosine top-k behind a prefilter: random-hyperplane signatures in several
-tables, probed in more than one bucket, joined on the bucket keys, and verified
+tables, probed in more than one bucket, matched on the bucket keys, and verified
 by the exact cosine (V2).
 
 A table's bucket is the signs of ``bits`` projections.  A query looks into its
-own bucket and into those that differ in its least certain signs.  Rows with
-equal vectors are one class, of which the k smallest ids can rank, so that a
-vector that a third of the rows share is compared once a query.  ``fit`` chooses
+own bucket and into those that differ in its least certain signs.  The buckets
+of the documents are matched in their own tasks (``dense``), so that neither
+vectors nor pairs are shuffled, however little the buckets prune.  ``fit`` chooses
 the number of bits on a bounded sample: the most for which the wanted recall is
 reached there.  (Neighbours in a sample are farther than among all rows, so the
 sample's recall is the harder one.)  Queries that meet fewer than k rows are
@@ -13,7 +13,6 @@ answered by the exact search."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,9 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cartwheel.operators.retrieval import _batches, _dot, _norm, _union, cosine_topk
+from cartwheel.operators.dense import nearest, whole
+from cartwheel.operators.retrieval import _union, cosine_topk
 from cartwheel.session import materialize
 
 SAMPLE_ROWS, SAMPLE_QUERIES = 10_000, 200  # bounds of the sample for ``fit``
@@ -93,22 +92,6 @@ def fit(queries: DataFrame, docs: DataFrame, k: int, recall: float = 0.95, vec:
     return None, 1.0
 
 
-def _keyed(df: DataFrame, id_col: str, p: Planes, probe: bool) -> DataFrame:
-    """(id, key) of every bucket of a vector ``v``."""
-    shared = df.sparkSession.sparkContext.broadcast(vars(p))
-    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("key", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        p = Planes(**shared.value)
-        for b in batches:
-            if b.num_rows:
-                keys = (p.probe_keys if probe else p.keys)(_matrix(b.column(1)))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))),
-                                                  pa.array(keys.ravel())], schema.names)
-
-    return df.select(id_col, "v").mapInArrow(run, schema)
-
-
 def lsh_topk(queries: DataFrame, docs: DataFrame, k: int, q_id: str = "query_id", d_id: str = "doc_id", vec: str = "embedding",
              recall: float = 0.95, tables: int = TABLES, probes: int = PROBES, seed: int = 7) -> DataFrame:
     """(query_id, doc_id, similarity, rank) as ``cosine_topk`` gives, found among
@@ -119,21 +102,12 @@ def lsh_topk(queries: DataFrame, docs: DataFrame, k: int, q_id: str = "query_id"
     p, _ = fit(q, d, k, recall, "v", tables, probes, seed)
     if p is None:
         return cosine_topk(q, d, k, vec="v")
-    # a class has the rows with one vector; no more than k of them can rank
-    w = Window.partitionBy("v").orderBy("doc_id")
-    member = d.where(F.size("v") > 0).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k)
-    classes = materialize(member.groupBy("v").agg(F.min("doc_id").alias("class"), F.sort_array(F.collect_list("doc_id")).alias("ids"))
-                          .withColumn("norm", _norm(F.col("v"))))
-    buckets = _keyed(classes, "class", p, False)
-    probed = _keyed(q.where(F.size("v") > 0), "query_id", p, True).distinct()
-    pairs = materialize(buckets.join(probed, "key").select("query_id", "class").distinct())
-    met = pairs.join(classes, "class")
-    sim = _dot(F.col("v"), F.col("_q")) / (F.col("norm") * F.col("_qn") + 1e-10)
-    side = q.select("query_id", F.col("v").alias("_q")).withColumn("_qn", _norm(F.col("_q")) + 1e-10)
-    scored = _union([met.join(b, "query_id").select("query_id", sim.alias("similarity"), "ids") for b in _batches(side, 8 * F.size("_q") + 64)])
+    dim = len(p.normals)
+    parts = nearest(q.where(whole("v", dim)), d.where(whole("v", dim)), k, dim, p)
+    if not parts:
+        return cosine_topk(q, d, k, vec="v")
     rank = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
-    top = (scored.select("query_id", F.explode("ids").alias("doc_id"), "similarity")
-           .withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k))
+    top = _union(parts).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
     top = materialize(top)
     full = top.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k).select("query_id")
     rest = q.join(full, "query_id", "left_anti")

@@ -13,21 +13,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import tokenize
+from cartwheel.operators.dense import nearest, whole
 from cartwheel.operators.sparse import hashed, smooth_idf, sparse_topk
-
-BATCH_BYTES = 64 << 20  # of queries in one broadcast
-
-
-def _batches(queries: DataFrame, size: Column, limit: int = BATCH_BYTES) -> list[DataFrame]:
-    """The queries (query_id, ...) for broadcasts of about ``limit`` bytes each;
-    ``size`` gives the bytes of a row."""
-    n = -(-(queries.agg(F.sum(size)).first()[0] or 1) // limit)
-    return [F.broadcast(queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i)) for i in range(n)]
-
+from cartwheel.session import materialize
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -44,27 +36,34 @@ def chunk(df: DataFrame, id_col: str, text: str = "text", size: int = 1000, over
     return c.filter(F.length(F.regexp_replace("chunk", r"\s", "")) > 0)
 
 
-def _dot(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
-
-
-def _norm(a):
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
-
-
 # V2
 def cosine_topk(queries: DataFrame, docs: DataFrame, k: int, q_id: str = "query_id", d_id: str = "doc_id",
                 vec: str = "embedding") -> DataFrame:
-    """Top-k documents per query by dot/(|d|·(|q|+1e-10) + 1e-10); ties by doc id."""
-    q = queries.select(F.col(q_id).alias("query_id"), F.col(vec).alias("_q")).withColumn("_qn", _norm(F.col("_q")) + 1e-10)
-    d = docs.select(F.col(d_id).alias("doc_id"), F.col(vec).alias("_d")).withColumn("_dn", _norm(F.col("_d")))
-    sim = _dot(F.col("_d"), F.col("_q")) / (F.col("_dn") * F.col("_qn") + 1e-10)
-    s = _union([d.crossJoin(b).select("query_id", "doc_id", sim.alias("similarity"))
-                for b in _batches(q, 8 * F.size("_q") + 64)])
+    """Top-k documents per query by dot/(|d|·(|q|+1e-10) + 1e-10); ties by doc id.
+
+    All pairs are scored, in tiles inside the tasks (``dense``); a null vector, a null
+    in it or another length than the query's has no cosine and ranks last."""
+    q = queries.select(F.col(q_id).alias("query_id"), F.col(vec).cast("array<double>").alias("v"))
+    d = docs.select(F.col(d_id).alias("doc_id"), F.col(vec).cast("array<double>").alias("v"))
+    q = materialize(q)
+    parts = []
+    for r in q.groupBy(F.size("v").alias("n")).count().collect():  # a row a length
+        if r["n"] is not None and r["n"] >= 0:
+            own = q.where(whole("v", r["n"]))
+            parts += nearest(own, d.where(whole("v", r["n"])), k, r["n"])
+            parts.append(_without_cosine(own, d.where(~whole("v", r["n"])), k))
+    known = F.coalesce(~F.exists("v", lambda x: x.isNull()), F.lit(False))
+    s = _union([_without_cosine(q.where(~known), d, k), *parts])
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _without_cosine(queries: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Documents that have no cosine with the queries rank last, by id: the first k of them can."""
+    first = docs.select("doc_id").orderBy("doc_id").limit(k)
+    return queries.select("query_id").crossJoin(F.broadcast(first)).withColumn("similarity", F.lit(None).cast("double"))
+
+
 # V3
 def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "query_id", q_text: str = "text",
                  c_id: str = "chunk_id", c_text: str = "chunk") -> DataFrame:

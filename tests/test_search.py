@@ -68,3 +68,36 @@ def test_probes_are_buckets_of_changed_signs():
     change = near ^ own[:, :, None]
     assert (change >> 6 == 0).all() and sorted(set(np.bitwise_count(change).ravel().tolist())) == [0, 1, 2]
     assert all(len(set(x)) == len(x) for row in near.tolist() for x in row)
+
+
+def test_exact_search_in_tiles(spark, monkeypatch):
+    """Ties, nulls, lengths and not-a-number rank as a sort of all pairs does, and no pair becomes a row."""
+    from cartwheel.operators import dense
+    monkeypatch.setattr(dense, "TILE_DOCS", 16)
+    monkeypatch.setattr(dense, "TILE_QUERIES", 8)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-2, 3, 6)) for i in range(90)] + [(i, np.ones(6)) for i in range(90, 130)]
+    rows += [(200, None), (201, []), (202, np.ones(3)), (203, [np.nan, 1, 1, 1, 1, 1]), (204, np.zeros(6)), (205, np.ones(6) * 2)]
+    docs = vectors(spark, rows)
+    docs = docs.unionByName(docs.where("doc_id = 90").selectExpr("206L as doc_id", "array(1D, null, 1D, 1D, 1D, 1D) as embedding"))
+    qs = docs.where("doc_id % 10 = 0 or doc_id > 199").withColumnRenamed("doc_id", "query_id")
+    v = {r["doc_id"]: r["embedding"] for r in docs.collect()}
+
+    def cosine(q, d):
+        if q is None or d is None or len(q) != len(d) or None in q or None in d:
+            return None
+        dot = sum((a * b for a, b in zip(q, d)), 0.0)
+        return dot / (sum(a * a for a in d) ** 0.5 * (sum(a * a for a in q) ** 0.5 + 1e-10) + 1e-10)
+
+    def last(s):
+        return (2, 0) if s is None else (0, 0) if s != s else (1, -s)
+
+    plan = retrieval.cosine_topk(qs, docs, 7)
+    got = {(r["query_id"], r["rank"]): r["doc_id"] for r in plan.collect()}
+    want = {}
+    for (q,) in qs.select("query_id").collect():
+        for n, d in enumerate(sorted(v, key=lambda d: (last(cosine(v[q], v[d])), d))[:7]):
+            want[q, n + 1] = d
+    assert got == want
+    assert "zip_with" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in lsh.lsh_topk(qs.where("query_id < 200"), docs.where("size(embedding) = 6"), 7)._jdf.queryExecution().optimizedPlan().toString()
