@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from cartwheel.functions.scalars import tokenize
 from cartwheel.operators.dense import nearest, whole
 from cartwheel.operators.sparse import hashed, smooth_idf, sparse_topk
-from cartwheel.session import materialize
+from cartwheel.session import bounded_broadcast, materialize
+
+RANKED_ROWS = 1 << 18
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -31,9 +33,9 @@ def chunk(df: DataFrame, id_col: str, text: str = "text", size: int = 1000, over
     whitespace-only chunks dropped.  (doc, chunk_no, start, chunk)."""
     step = size - overlap
     starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(step))
-    e = df.select(id_col, text, F.posexplode(starts).alias("chunk_no", "start")).filter(F.length(text) > 0)
-    c = e.select(id_col, "chunk_no", "start", F.substring(F.col(text), F.col("start") + 1, size).alias("chunk"))
-    return c.filter(F.length(F.regexp_replace("chunk", r"\s", "")) > 0)
+    pieces = F.transform(starts, lambda s: F.substring(F.col(text), s + 1, F.lit(size)))  # a row has its piece, not the text
+    c = df.where(F.length(text) > 0).select(id_col, F.posexplode(pieces).alias("chunk_no", "chunk"))
+    return c.where(F.col("chunk").rlike(r"\S")).select(id_col, "chunk_no", (F.col("chunk_no") * step).alias("start"), "chunk")
 
 
 # V2
@@ -72,7 +74,7 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "que
 
     A block of chunks at a time is scored against the queries' inverted list
     (``sparse_topk``): a common token makes no row for each pair that shares it."""
-    terms = lambda df, i, t, name: df.select(F.col(i).alias(name), F.array_distinct(tokenize(t)).alias("terms"))
+    terms = lambda df, i, t, name: df.select(F.col(i).alias(name), tokenize(t).alias("terms"))
     hits = sparse_topk(terms(queries, q_id, q_text, "query_id"), terms(chunks, c_id, c_text, "doc_id"), k)
     hits = hits.select("query_id", F.col("doc_id").alias("chunk_id"), F.col("score").cast("bigint").alias("score"))
     return _filled(hits, queries, chunks, k, q_id, c_id)
@@ -80,11 +82,16 @@ def keyword_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "que
 
 def _filled(hits: DataFrame, queries: DataFrame, chunks: DataFrame, k: int, q_id: str, c_id: str) -> DataFrame:
     """Ranks of the hits, with chunks of score zero where fewer than k have one:
-    the k smallest chunk ids, for every query (k x queries rows)."""
+    the k smallest chunk ids, for every query (k x queries rows).  The chunks are
+    read for that only if a query is short of hits."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")
-    first_k = chunks.select(F.col(c_id).alias("chunk_id")).distinct().orderBy("chunk_id").limit(k)
-    fill = queries.select(F.col(q_id).alias("query_id")).crossJoin(F.broadcast(first_k)).withColumn("score", F.lit(0).cast(hits.schema["score"].dataType))
-    cand = hits.unionByName(fill).groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
+    cand = materialize(hits.groupBy("query_id", "chunk_id").agg(F.max("score").alias("score")))
+    ids = queries.select(F.col(q_id).alias("query_id"))
+    met = cand.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    if not ids.join(met, "query_id", "left_anti").isEmpty():
+        first_k = chunks.select(F.col(c_id).alias("chunk_id")).distinct().orderBy("chunk_id").limit(k)
+        fill = ids.crossJoin(F.broadcast(first_k)).withColumn("score", F.lit(0).cast(hits.schema["score"].dataType))
+        cand = cand.unionByName(fill).groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -93,10 +100,11 @@ def semantic_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "qu
     """Top-k chunks per query by the cosine of hashed tf-idf vectors; ties by
     chunk id, fillers as in ``keyword_topk``.
 
-    A vector has a place for each of ``buckets`` token hashes; it is kept sparse.
+    A vector has a place for each of ``buckets`` token hashes; it is kept sparse,
+    and written once for the weights and the search.
     The weights of the buckets (at most ``buckets`` numbers) are broadcast."""
-    terms = lambda df, i, t, name: df.select(F.col(i).alias(name), hashed(tokenize(t), buckets).alias("terms"))
-    docs = terms(chunks, c_id, c_text, "doc_id")
+    terms = lambda df, i, t, name: hashed(df.select(F.col(i).alias(name), tokenize(t).alias("terms")), buckets)
+    docs = materialize(terms(chunks, c_id, c_text, "doc_id"))
     hits = sparse_topk(terms(queries, q_id, q_text, "query_id"), docs, k, smooth_idf(docs, buckets))
     return _filled(hits.select("query_id", F.col("doc_id").alias("chunk_id"), "score"), queries, chunks, k, q_id, c_id)
 
@@ -104,8 +112,10 @@ def semantic_topk(queries: DataFrame, chunks: DataFrame, k: int, q_id: str = "qu
 # V4
 def build_context(ranked: DataFrame, texts: DataFrame, q_id: str = "query_id", c_id: str = "chunk_id",
                   text: str = "chunk") -> DataFrame:
-    """Top-k texts in rank order joined by a blank line, one row per query."""
-    j = ranked.join(texts.select(F.col(c_id).alias("chunk_id"), F.col(text).alias("_t")), "chunk_id")
+    """Top-k texts in rank order joined by a blank line, one row per query.  Up to
+    ``RANKED_ROWS`` ranks are broadcast, so that the texts stay where they are."""
+    ranked = bounded_broadcast(materialize(ranked), RANKED_ROWS)
+    j = texts.select(F.col(c_id).alias("chunk_id"), F.col(text).alias("_t")).join(ranked, "chunk_id")
     g = j.groupBy(q_id).agg(F.array_sort(F.collect_list(F.struct("rank", "_t"))).alias("_l"))
     return g.select(q_id, F.array_join(F.transform("_l", lambda s: s["_t"]), "\n\n").alias("context"))
 

@@ -8,12 +8,13 @@ only shares a common term."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,7 +113,7 @@ def sparse_topk(queries: DataFrame, docs: DataFrame, k: int, idf: np.ndarray | N
     n = -(-(queries.agg(F.sum(size)).first()[0] or 0) // BATCH_BYTES)
     schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            T.StructField("score", T.DoubleType())])
-    rows = docs.select("doc_id", "terms").where(F.size("terms") > 0)
+    rows = docs.select("doc_id", "terms")  # a filter on the terms would make them twice
     parts = []
     for i in range(n):
         batch = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i).toArrow().combine_chunks()
@@ -136,9 +137,22 @@ def sparse_topk(queries: DataFrame, docs: DataFrame, k: int, idf: np.ndarray | N
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def hashed(tokens: Column, buckets: int) -> Column:
-    """Tokens as bucket numbers: the first 32 bits of their md5, modulo ``buckets``."""
-    return F.transform(tokens, lambda x: F.pmod(F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int"))
+def hashed(rows: DataFrame, buckets: int) -> DataFrame:
+    """(id, terms) with the tokens of ``terms`` as bucket numbers: the first 32 bits
+    of their md5, modulo ``buckets``.  A task hashes a token once a batch."""
+    schema = T.StructType([rows.schema.fields[0], T.StructField("terms", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            lists = b.column(1)
+            flat = pc.list_flatten(lists).dictionary_encode()
+            places = [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % buckets for w in flat.dictionary.to_pylist()]
+            terms = pa.array(places, pa.int32()).take(flat.indices)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            offsets = pa.array(np.concatenate(([0], ends)), pa.int32(), mask=np.append(lists.is_null().to_numpy(zero_copy_only=False), False))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, terms)], schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def smooth_idf(docs: DataFrame, buckets: int) -> np.ndarray:

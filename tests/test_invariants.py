@@ -346,6 +346,30 @@ def test_semantic_search_matches_plain_tf_idf(spark, monkeypatch):
     assert "CartesianProduct" not in plan
 
 
+def test_searches_make_the_tokens_of_a_chunk_once(spark):
+    from cartwheel.operators import retrieval
+    made = spark.sparkContext.accumulator(0)
+
+    def text(s):
+        made.add(1)
+        return s
+
+    qs = spark.createDataFrame([(i, f"common w{i}") for i in range(4)], "query_id int, text string")
+    ch = spark.createDataFrame([(f"c{i:02d}", f"common w{i % 5}") for i in range(40)], "chunk_id string, s string").withColumn("chunk", F.udf(text)("s"))
+    for find in (retrieval.keyword_topk, retrieval.semantic_topk):
+        made.value = 0
+        r = find(qs, ch, 3)
+        assert r.count() == r.count() == 12 and made.value == 40
+    ranked = retrieval.keyword_topk(qs, ch, 3)
+    made.value = 0
+    got = {r["query_id"]: r["context"] for r in retrieval.build_context(ranked, ch).collect()}
+    assert got[1] == "common w1\n\ncommon w1\n\ncommon w1" and made.value <= 40
+    docs = spark.createDataFrame([(1, "ab  cd ef"), (2, ""), (3, None), (4, " \t  x")], "doc_id int, text string")
+    c = retrieval.chunk(docs, "doc_id", size=4, overlap=1)
+    assert rows(c, "doc_id", "chunk_no", "start", "chunk") == [(1, 0, 0, "ab  "), (1, 1, 3, " cd "), (1, 2, 6, " ef"), (4, 1, 3, " x")]
+    assert "start" in c.columns and [f.name for f in c.schema] == ["doc_id", "chunk_no", "start", "chunk"]
+
+
 def test_candidate_pairs_hash_only_history_outside_the_product(spark):
     tx = spark.createDataFrame([(1, "a"), (1, "z"), (1, "z"), (9, "a"), (None, "b"), (2, None)], "customer_id int, product_id string")
     customers = spark.createDataFrame([(1,), (1,), (2,), (None,)], "customer_id int")
