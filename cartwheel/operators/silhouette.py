@@ -3,7 +3,8 @@ cluster, a broadcast block of query rows at a time against all rows.
 
 The work is that of all pairs, which an exact answer needs; ``every`` restricts
 the query rows (the share 1 / every of them, by a hash of the id) where that is
-too much, and what is averaged is then exact for those rows.  No pair becomes a
+too much, and what is averaged is then exact for those rows.  Distances come
+from matrix products.  No pair becomes a
 row: a task adds up a matrix of query rows by clusters and emits it once."""
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from cartwheel.session import materialize
 
 BLOCK_BYTES = 8 << 20  # of query rows in one broadcast
 CELLS = 1 << 21        # distances computed at a time
+PAIRS = 1 << 14        # near pairs taken by difference at a time
+NEAR = 1e-4            # of the squared lengths: nearer pairs are
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -27,9 +30,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):  # by difference, so that equal rows are at distance 0
-        out += (a[:, i, None] - b[None, :, i]) ** 2
+    """By a product of the rows less a common centre; near pairs, where that
+    loses digits, by difference, so that equal rows are at distance 0."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        centre = a.mean(axis=0)
+        x, y = a - centre, b - centre
+        size = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+        out = size - 2 * (x @ y.T)
+        i, j = np.nonzero(~(out > NEAR * size))
+        for lo in range(0, len(i), PAIRS):
+            off = a[i[lo:lo + PAIRS]] - b[j[lo:lo + PAIRS]]
+            out[i[lo:lo + PAIRS], j[lo:lo + PAIRS]] = (off * off).sum(axis=1)
     return np.sqrt(out)
 
 
@@ -40,7 +51,8 @@ def silhouette_rows(df: DataFrame, id_col: str = "id", vec: str = "features", cl
     vectors are left out; with fewer than two clusters there are no rows."""
     spark = df.sparkSession
     rows = materialize(df.where(F.col(cluster).isNotNull() & (F.col(cluster) >= 0) & (F.size(F.col(vec)) > 0)).select(
-        F.col(id_col).alias("id"), F.col(cluster).cast("long").alias("cluster"), F.col(vec).cast("array<double>").alias("v")))
+        F.col(id_col).alias("id"), F.col(cluster).cast("long").alias("cluster"), F.col(vec).cast("array<double>").alias("v"))
+        .repartition(spark.sparkContext.defaultParallelism))  # the work is in the pairs, not in the bytes
     sizes = {r["cluster"]: r["n"] for r in rows.groupBy("cluster").agg(F.count("*").alias("n")).orderBy("cluster").collect()}  # a row a cluster
     schema = f"id {rows.schema['id'].dataType.simpleString()}, cluster long, silhouette double"
     if len(sizes) < 2:

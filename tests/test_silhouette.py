@@ -32,3 +32,18 @@ def test_matches_brute_force_in_blocks(spark, monkeypatch):
     some = S.silhouette_rows(df, every=3).collect()
     assert 0 < len(some) < len(want) and all(r["silhouette"] == pytest.approx(dict(got)[r["id"]]) for r in some if r["id"] != 104)
     assert S.silhouette_exact(df.where("cluster = 1")).count() == 0
+
+
+def test_distances_of_near_and_far_rows(monkeypatch):
+    """Equal rows are at 0 and near ones keep their digits, far from the origin too; far pairs need no differences."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (60, 64)) + 1e4
+    y = np.concatenate((x[:20], x[20:40] + 1e-6, rng.normal(0, 1, (50, 64)) + 1e4))
+    want = np.array([[math.dist(a, b) for b in y.tolist()] for a in x.tolist()])
+    got = S._distances(x, y)
+    assert (np.diag(got)[:20] == 0).all() and got == pytest.approx(want, rel=1e-9)
+    assert np.isinf(S._distances(np.full((1, 2), np.inf), np.zeros((1, 2)))).all()
+    taken = []
+    monkeypatch.setattr(S.np, "nonzero", lambda m, real=np.nonzero: taken.append(int(m.sum())) or real(m))
+    S._distances(x, y)
+    assert taken and sum(taken) <= 60
