@@ -44,6 +44,7 @@ from cartwheel.llm.registry import query
 FOLDER = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SLICE_BYTES = 1 << 18   # texts aligned at a time, at least one
+SLICE_LINKS = 1 << 19   # links counted or scored at a time, at least those of a text
 CACHE_SEGMENTS = 1 << 18  # distinct segments whose tokens a task remembers
 SEGMENT = re.compile(r"(?<=[^\s▁])(?= (?s:.))")  # a lone last blank stays with its word
 
@@ -230,27 +231,45 @@ def _offsets(keys: np.ndarray, cuts: np.ndarray, side: str = "left", first: bool
     return pa.array(np.concatenate(([0], at)) if first else at, pa.int32())
 
 
-def _slices(texts: pa.Array) -> Iterator[slice]:
-    """Rows of about ``SLICE_BYTES`` bytes of text, at least one."""
+def _slices(sizes: pa.Array, most: int) -> Iterator[slice]:
+    """Rows of no more than ``most`` in all, at least one."""
     first, size = 0, 0
-    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
-        if i > first and size + n > SLICE_BYTES:
+    for i, n in enumerate(pc.fill_null(sizes, 0).to_pylist()):
+        if i > first and size + n > most:
             yield slice(first, i)
             first, size = i, 0
         size += n
-    yield slice(first, len(texts))
+    yield slice(first, len(sizes))
+
+
+def count_pairs(lists: pa.Array) -> Iterator[pa.Table]:
+    """(pair, n) of the lists, a slice at a time."""
+    for part in _slices(pc.list_value_length(lists), SLICE_LINKS):
+        t = pa.table({"pair": pc.list_flatten(lists[part])}).group_by("pair", use_threads=False).aggregate([("pair", "count")])
+        yield pa.table({"pair": pc.cast(t["pair"], pa.int64()), "n": t["pair_count"]})
+
+
+def score_pairs(lists: pa.Array, pair: np.ndarray, n: np.ndarray, best: np.ndarray) -> list[pa.Array]:
+    """n_best and count_sum of each list, a slice at a time, from the sorted pairs of the corpus."""
+    sums = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+    for part in _slices(pc.list_value_length(lists), SLICE_LINKS):
+        at = np.searchsorted(pair, pc.list_flatten(lists[part]).to_numpy())
+        first = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists[part]), 0).to_numpy())))
+        for out, x in zip(sums, (best, n)):
+            out.append(np.diff(np.concatenate(([0], np.cumsum(x[at], dtype=np.int64)))[first]))
+    return [pa.array(np.concatenate(x)) for x in sums]
 
 
 NAMES = ["n_a", "n_b", "n_groups", "n_links", "groups", "groups_sha256", "pairs"]
 
 
 def align_tokens(docs: DataFrame, a_file: str = f"{FOLDER}/{A_FILE}", b_file: str = f"{FOLDER}/{B_FILE}",
-                 id_col: str = "doc_id", text_col: str = "text", with_groups: bool = False,
+                 id_col: str = "doc_id", text_col: str = "text", with_groups: bool = False, with_pairs: bool = True,
                  a_kind=ByteTokens, b_kind=PieceTokens) -> DataFrame:
     """One row per row of ``docs``: id, n_a, n_b, n_groups, n_links, groups
     (``a1,a2|b1;...`` in ids; null unless ``with_groups``), groups_sha256,
     pairs (a number for each link, a id times the second vocabulary's size plus
-    b id), n_best (links whose pair is the commonest of its b id), count_sum
+    b id; no such column unless ``with_pairs``), n_best (links whose pair is the commonest of its b id), count_sum
     (links of the corpus that hold the same pair, summed over the links)."""
     spark = docs.sparkSession
     files = spark.sparkContext.broadcast((Path(a_file).read_bytes(), Path(b_file).read_bytes()))
@@ -264,13 +283,15 @@ def align_tokens(docs: DataFrame, a_file: str = f"{FOLDER}/{A_FILE}", b_file: st
     def align(batches: Iterator[pa.RecordBatch]):
         aligner = Aligner(a_kind(files.value[0]), b_kind(files.value[1]))
         for b in batches:
-            for part in _slices(b.column(1)):
+            for part in _slices(pc.binary_length(b.column(1)), SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([b.column(0)[part], *aligner.align(text_bytes(b.column(1)[part]), with_groups)], ["id", *NAMES])
+        del aligner
+        pa.default_memory_pool().release_unused()  # the worker lives on for the next pass
 
     def count(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            t = pa.table({"pair": pc.cast(pc.list_flatten(b.column(0)), pa.int64())}).group_by("pair", use_threads=False)
-            yield from t.aggregate([("pair", "count")]).rename_columns(["pair", "n"]).to_batches()
+            for t in count_pairs(b.column(0)):
+                yield from t.to_batches()
 
     aligned = written(rows.mapInArrow(align, schema))
     counts = (aligned.select("pairs").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
@@ -283,18 +304,15 @@ def align_tokens(docs: DataFrame, a_file: str = f"{FOLDER}/{A_FILE}", b_file: st
     def score(batches: Iterator[pa.RecordBatch]):
         pair, n, best = known.value
         for b in batches:
-            lists = b.column(len(schema) - 1)
-            at = np.searchsorted(pair, pc.list_flatten(lists).to_numpy())
-            first = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())))
-            sums = [np.concatenate(([0], np.cumsum(x[at], dtype=np.int64)))[first] for x in (best, n)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(np.diff(s)) for s in sums)], [*schema.names, "n_best", "count_sum"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], *score_pairs(b.column(len(schema) - 1), pair, n, best)], [*schema.names[:len(kept)], "n_best", "count_sum"])
 
-    scored = T.StructType([*schema.fields, T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
+    kept = schema.fields if with_pairs else schema.fields[:-1]
+    scored = T.StructType([*kept, T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
     return aligned.mapInArrow(score, scored).withColumnRenamed("id", id_col)
 
 
 @query("op12_token_align")
 def op12(spark, sf_dir):
     """Tokens of all documents in two vocabularies, aligned by their byte ends."""
-    found = align_tokens(table(spark, sf_dir, "documents"))
+    found = align_tokens(table(spark, sf_dir, "documents"), with_pairs=False)
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -103,3 +103,45 @@ def test_counted_pairs_keep_the_bound(spark, sides):
         x, y = a[p // len(b)], b[p % len(b)]
         assert x.endswith(y) or y.endswith(x)
     assert 1000 < len(pairs) <= bound
+
+
+def test_links_are_counted_and_scored_in_slices(monkeypatch):
+    """Many lists at once take memory for a slice of their links, whatever the batch."""
+    import tracemalloc
+    from itertools import chain
+
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    cuts = np.sort(rng.integers(0, 1_000_000, 2_000))
+    links = rng.integers(0, 500, 1_000_000).astype(np.int32) * 3
+    cuts[:2], cuts[-1] = 0, len(links)
+    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(links))
+    pair, n = np.unique(links, return_counts=True)
+    best = n >= np.median(n)
+    monkeypatch.setattr(A, "SLICE_LINKS", 10_000)
+    tracemalloc.start()
+    got = A.score_pairs(lists, pair, n, best)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    at = np.searchsorted(pair, links)
+    for x, y in zip(got, (best, n)):
+        want = np.concatenate(([0], np.cumsum(y[at], dtype=np.int64)))
+        assert x.to_pylist() == (want[cuts[1:]] - want[cuts[:-1]]).tolist()
+    assert peak < 4_000_000  # eight bytes a link would be 8 MB
+    parts = list(A.count_pairs(lists))
+    assert len(parts) > 50
+    total = Counter()
+    for p, k in chain.from_iterable(zip(t["pair"].to_pylist(), t["n"].to_pylist()) for t in parts):
+        total[p] += k
+    assert total == dict(zip(pair.tolist(), n.tolist()))
+    empty = pa.array([None, []], pa.list_(pa.int32()))
+    assert [x.to_pylist() for x in A.score_pairs(empty, pair, n, best)] == [[0, 0], [0, 0]]
+    assert [x.to_pylist() for x in A.score_pairs(lists[:0], pair, n, best)] == [[], []]
+
+
+def test_pairs_only_when_asked_for(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    both = [A.align_tokens(df, with_pairs=w) for w in (True, False)]
+    assert "pairs" not in both[1].columns and both[0].drop("pairs").columns == both[1].columns
+    assert sorted(map(tuple, both[0].drop("pairs").collect())) == sorted(map(tuple, both[1].collect()))
