@@ -78,3 +78,48 @@ def test_leaves_are_small_and_boxes_bound_the_search(spark, monkeypatch):
     row, leaves = around(f, distinct[:100], np.full(100, 0.02))
     met = f.count[leaves].sum() / 100
     assert met < 0.1 * len(distinct)
+
+
+def test_a_leaf_gives_back_no_more_than_k_donors_within_the_bound(monkeypatch):
+    monkeypatch.setattr(N, "PAIRS", 700)  # several blocks
+    rng = np.random.default_rng(8)
+    x, w = np.round(rng.random((50, 3)), 1), np.round(rng.random((90, 3)), 1)
+    x[rng.random(x.shape) < 0.2], w[rng.random(w.shape) < 0.2] = np.nan, np.nan
+    bound = np.where(rng.random(50) < 0.5, np.inf, 0.3)
+    got = list(zip(*(c.tolist() for c in N.leaf_search(x, w, bound, 4))))
+    want = []
+    for i, a in enumerate(x):
+        far = []
+        for j, b in enumerate(w):
+            both = ~(np.isnan(a) | np.isnan(b))
+            if both.any():
+                far.append((math.sqrt(((a - b)[both] ** 2).sum() * 3 / both.sum()), j))
+        want += [(i, j, pytest.approx(f)) for f, j in sorted(far)[:4] if f <= bound[i]]
+    assert [(i, j) for i, j, _ in got] == [(i, j) for i, j, _ in want] and [g[2] for g in got] == [q[2] for q in want]
+
+
+def test_probes_with_one_feature_meet_few_leaves(spark, monkeypatch):
+    """Trees over the features in common: no search along the others, however many donors there are."""
+    monkeypatch.setattr(N, "LEAF_ROWS", 16)
+    rng = np.random.default_rng(6)
+    x = rng.random((4000, 3))
+    donors = spark.createDataFrame([(i, float(i), r) for i, r in enumerate(x.tolist())], "did long, dv double, v array<double>")
+    asked = [[float(a), None, None] for a in rng.random(40)] + [[None, 0.5, 0.5]]
+    probes = spark.createDataFrame(list(enumerate(asked)), "pid long, v array<double>")
+    seen = spark.sparkContext.accumulator(0)
+    search = N.leaf_search
+
+    def counting(x, w, bound, k):
+        seen.add(len(x) * len(w))
+        return search(x, w, bound, k)
+
+    monkeypatch.setattr(N, "leaf_search", counting)
+    for views, most in ((16, 41 * 16 * 12), (0, 41 * 4000 * 2)):
+        monkeypatch.setattr(N, "MAX_VIEWS", views)
+        before = seen.value
+        top = N.nearest_donors(probes, donors, 3, 5).orderBy("pid", "rank").collect()
+        for p, v in enumerate(asked):
+            own = [i for i in range(3) if v[i] is not None]
+            gap = np.sqrt(sum((x[:, i] - v[i]) ** 2 for i in own) * (3 / len(own)))
+            assert [t["did"] for t in top if t["pid"] == p] == np.argsort(gap, kind="stable")[:5].tolist()
+        assert seen.value - before < most, views
