@@ -10,6 +10,7 @@ path (an idempotent overwrite), which makes retries exactly-once.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 import pandas as pd
@@ -119,9 +120,15 @@ def stream_recency(spark: SparkSession, landing: str, sink: str, ckpt: str, idle
     its last event the pair's row goes to the sink as closed and its state is
     removed, so the state holds the pairs of the last weeks, not all that ever
     bought.  A later event opens a new stretch; the answer adds the stretches
-    of a pair, of each of which the latest version counts."""
+    of a pair, of each of which the latest version counts.
+
+    Each call of the state store is a message between processes and each batch
+    makes them for every pair, so a pair that is known costs one read and one
+    write: its timer stays, and moves on only when it goes off too early."""
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    from pyspark.sql import Row
     from pyspark.sql.streaming import StatefulProcessor
+    epoch = datetime.date(1970, 1, 1)
 
     class Recency(StatefulProcessor):  # nested: tasks receive it by value
         def init(self, handle):
@@ -129,37 +136,37 @@ def stream_recency(spark: SparkSession, landing: str, sink: str, ckpt: str, idle
             self.pair = handle.getValueState("pair", "opened long, last_ms long, n_events long")
 
         def row(self, key, opened, last, n, closed):
-            return pd.DataFrame({"customer_id": [key[0]], "product_id": [key[1]], "opened": [opened],
-                                 "last_period": [pd.Timestamp(last, unit="ms").date()], "n_events": [n], "closed": [closed]})
+            return Row(customer_id=key[0], product_id=key[1], opened=opened,
+                       last_period=epoch + datetime.timedelta(days=last // 86_400_000), n_events=n, closed=closed)
 
         def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-            opened = last = None
-            n = 0
-            if self.pair.exists():
-                opened, last, n = self.pair.get()
-                self.handle.deleteTimer(last + idle_ms)
-            for pdf in rows:
-                if len(pdf):
-                    ms = pdf["et"].astype("datetime64[ms]").astype("int64")
-                    opened = int(ms.iloc[0]) if opened is None else opened
-                    last = int(ms.max()) if last is None else max(last, int(ms.max()))
-                    n += len(pdf)
+            opened, last, n = self.pair.get() or (None, None, 0)
+            new = opened is None
+            for r in rows:
+                opened = r.ms if opened is None else opened
+                last = r.ms if last is None else max(last, r.ms)
+                n += 1
             self.pair.update((opened, last, n))
-            self.handle.registerTimer(last + idle_ms)
+            if new:
+                self.handle.registerTimer(last + idle_ms)
             yield self.row(key, opened, last, n, False)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-            if not self.pair.exists():
+            state = self.pair.get()
+            if state is None:
+                return
+            opened, last, n = state
+            if last + idle_ms > timerValues.getCurrentWatermarkInMs():  # bought since
+                self.handle.registerTimer(last + idle_ms)
                 return
-            opened, last, n = self.pair.get()
             self.pair.clear()
             yield self.row(key, opened, last, n, True)
 
         def close(self):
             pass
 
-    s = _fresh(spark, landing).select("customer_id", "product_id", "et")
-    out = s.groupBy("customer_id", "product_id").transformWithStateInPandas(Recency(), STATE_OUT, "Update", "EventTime")
+    s = _fresh(spark, landing).select("customer_id", "product_id", "et", F.unix_millis("et").alias("ms"))
+    out = s.groupBy("customer_id", "product_id").transformWithState(Recency(), STATE_OUT, "Update", "EventTime")
 
     def per_batch(df: DataFrame, batch_id: int):
         df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")

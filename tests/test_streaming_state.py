@@ -27,3 +27,20 @@ def test_state_shrinks_and_stretches_add_up(spark):
     held = [op["numRowsTotal"] for p in S.PROGRESS for op in [dict(x.jsonValue) if hasattr(x, "jsonValue") else x for x in p["stateOperators"]]
             if "transformWithState" in op["operatorName"]]
     assert max(held) >= 200 and held[-1] < 20
+
+
+def test_a_known_pair_keeps_its_timer(spark):
+    """No timer is taken down and set up again for every batch in which a pair buys."""
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n, hours=1)
+    rows = [(100 * w + c, c, "p", day(7 * w + c % 5)) for w in range(4) for c in range(30)]
+    ev = spark.createDataFrame([(e, c, p, t, 1.0, 1) for e, c, p, t in rows],
+                               "event_id long, customer_id long, product_id string, ts timestamp_ntz, value double, bought int")
+    d = S.fresh_run_dirs(spark, "r4timer")
+    S.land_weekly_files(ev, d["landing"])
+    got = {(r["customer_id"], r["last_period"], r["n_events"]) for r in S.stream_recency(spark, d["landing"], d["sink"], d["ckpt"]).collect()}
+    assert got == {(c, day(21 + c % 5).date(), 4) for c in range(30)}
+    reports = [dict(x.jsonValue) if hasattr(x, "jsonValue") else x for p in S.PROGRESS for x in p["stateOperators"]]
+    reports = [dict(x["customMetrics"]) for x in reports if "transformWithState" in x["operatorName"]]
+    assert reports
+    assert sum(x["numRegisteredTimers"] for x in reports) == 30, reports[0]
+    assert sum(x["numDeletedTimers"] for x in reports) == 0
