@@ -44,3 +44,13 @@ def test_a_known_pair_keeps_its_timer(spark):
     assert reports
     assert sum(x["numRegisteredTimers"] for x in reports) == 30, reports[0]
     assert sum(x["numDeletedTimers"] for x in reports) == 0
+
+
+def test_missing_keys_take_no_events_of_other_pairs(spark):
+    rows = [(i, [None, 1, 2, 3][i % 4], ["p", None, "q"][i % 3], dt.datetime(2024, 1, 1) + dt.timedelta(days=i % 12)) for i in range(120)]
+    ev = spark.createDataFrame([(e, c, p, t, 1.0, 1) for e, c, p, t in rows],
+                               "event_id long, customer_id long, product_id string, ts timestamp_ntz, value double, bought int")
+    d = S.fresh_run_dirs(spark, "r4null")
+    S.land_weekly_files(ev, d["landing"])
+    got = {(r["customer_id"], r["product_id"]): r["n_events"] for r in S.stream_recency(spark, d["landing"], d["sink"], d["ckpt"]).collect()}
+    assert got == {(c, p): 10 for c in (None, 1, 2, 3) for p in ("p", None, "q")}
