@@ -412,3 +412,14 @@ def test_feature_matrix_sorts_no_grid_row(spark):
     assert sorted((g[2], g[3]) for g in got if g[0] == 2) == [(0, 1), (1, None)]
     plan = fm._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan[:plan.index("Generate")]
+
+
+def test_feature_matrix_rows_only_look_values_up(spark):
+    """Lists are walked once a pair; what follows the expansion over the weeks is generated code without a walk."""
+    from cartwheel.plans.features import build_feature_matrix
+    clean = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1)), (1, "b", dt.datetime(2024, 1, 9))], "customer_id int, product_id string, purchase_date timestamp_ntz")
+    customers = spark.createDataFrame([(1, 0.5), (2, 1.5)], "customer_id int, x double")
+    fm = build_feature_matrix(clean, customers, spark.createDataFrame([("a", "k"), ("b", "k")], "product_id string, category string"), label=True)
+    plan = fm._jdf.queryExecution().optimizedPlan().toString()
+    rows = plan[:plan.index("Generate")]
+    assert not [w for w in ("lambda", "array_contains", "sort_array", "transform(", "filter(") if w in rows]
