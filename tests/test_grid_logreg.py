@@ -83,3 +83,19 @@ def test_label_counts_are_those_of_the_rows(spark):
     want = rate_drift(rows(0, n - 5), rows(n - 5, n - 1), "label").first()
     assert rate_drift(grid.label_counts(0, n - 5), grid.label_counts(n - 5, n - 1), "label", weight="weight").first() == want
     assert rate_drift(grid.label_counts(0, 0), grid.label_counts(0, 0), "label", weight="weight").first() == rate_drift(rows(0, 0), rows(0, 0), "label").first()
+
+
+def test_score_week_is_the_fit_on_the_rows_of_its_history(spark, monkeypatch):
+    """D8 ranks as MLlib's fit on the expanded history does, without handing MLlib that history."""
+    clean, customers, products = _grid(spark)
+    tx = clean.withColumn("order_id", F.lit(1)).withColumn("items", F.lit(1)).withColumn("payment", F.lit(1.0))
+    hist = W.history_slice(tx, "purchase_date", "2024-04-08", 12)
+    grid = pair_grid(W.clean_transactions(hist), customers, products, 20, keep=True)
+    n = grid.calendar.first()["_W"]
+    want = LogisticRegression(maxIter=20, regParam=0.01).fit(models.assemble(W.labelled(grid.rows(True, lambda w: w < n - 1)), W.FEATURES))
+    scored = W.score_rows(grid.rows(weeks=lambda w: w == n - 1), W.Choice("retrain", "", want))
+    want = {(r["customer_id"], r["product_id"]): r["score"] for r in scored.collect()}
+    monkeypatch.setattr(LogisticRegression, "fit", lambda *a: pytest.fail("MLlib was given the grid"))
+    got = W.score_week(tx, customers, products, "2024-04-08", 12, W.model_dir(spark, uuid.uuid4().hex), k=3).collect()
+    assert n == 13 and len(got) == 3 * 65 and {r["decision"] for r in got} == {"retrain"}
+    assert all(abs(r["proba_buy_next_week"] - want[r["customer_id"], r["product_id"]]) < 2e-6 for r in got if r["customer_id"] != 3)
